@@ -16,13 +16,12 @@ def generate_file(
     size_mb: int,
     reuse_chance: float = 0.01,
     seed: int = 0,
-    num_partitions: int | None = None,
 ) -> dict:
     """Write generated lines totalling at least ``size_mb * 1,000,000`` characters
     (newlines included) to ``output_path`` as ordered part files; return counts."""
     validate(size_mb, reuse_chance)
     started = time.time()
-    lines = generate_lines(spark, size_mb, seed, reuse_chance, num_partitions=num_partitions)
+    lines = generate_lines(spark, size_mb, seed, reuse_chance)
     write_lines(lines, output_path, "value")
     return {
         "output": output_path,

@@ -1,15 +1,19 @@
 """Synthetic keyed lines (SRC-3, GEN-1..3, NUM-3..6, STR-9..12, WIN-3).
 
-Every random choice for row ``id`` is a hash ``xxhash64(id, seed, salt)``, so a
-row's content depends on its id alone: the same ``seed`` gives the same lines
-under any partitioning, on retries and on any cluster size (``rand(seed)``
-would change with the partitioning).
+Every random choice for row ``id`` except the padding letters is a hash
+``xxhash64(id, seed, salt)``, so it depends on the id alone. Padding letters come
+from ``randstr`` (uniform over letters and digits), which is seeded per
+partition; rows are therefore laid out in a fixed grid, partition k holding ids
+``[k*R, (k+1)*R)`` for a constant R, so the same ``(size, seed, reuse_chance)``
+gives the same lines on any cluster size and on task retries.
 
 Per line: a non-negative 63-bit number, negated with probability 0.01; a text of
 length 10..1024 made of 1..min(9, length/5) words from a fixed list joined by
 spaces and cut to length, then padded with random letters and digits. With
 probability ``reuse_chance`` a row reuses, uniformly, one of the first 1,000 fresh
-texts that came before it (row 0 is always fresh).
+texts that came before it (row 0 is always fresh). Those pool texts (at most
+1,000 x 1,024 characters) are recomputed from the first partitions only and
+broadcast to the reusing rows.
 
 Size: lines are written until the running character count (line + newline)
 reaches the target. The cut row is found without a global window: sizes are
@@ -46,7 +50,8 @@ SIZE_UNIT = 1_000_000  # characters per "MB" of --size
 # Salts of the independent random streams.
 _NUM, _SIGN, _REUSE, _PICK, _LEN, _WC, _WORD, _PAD = 1, 2, 3, 4, 5, 6, 100, 200
 _UNIT = 1_000_000
-_PAD_BLOCK = 80  # padding characters credited per SHA-512 block (86 base64 chars, minus +/=)
+_PAD_BLOCK = 128  # padding characters drawn per randstr call
+ROWS_PER_PARTITION = 25_000  # fixed grid of generated rows (about 13.5 MB of text per task)
 
 
 def _h(id_col: Column, seed: int, salt: int) -> Column:
@@ -79,14 +84,32 @@ def text_length(src: Column, seed: int) -> Column:
     return F.lit(MIN_TEXT) + _below(src, seed, _LEN, MAX_TEXT - MIN_TEXT + 1)
 
 
-def source_id(id_col: Column, seed: int, reuse_chance: float, pool: list[int]) -> Column:
-    """The id whose fresh text row ``id`` carries (itself, or a pool pick)."""
+def pool_table(spark: SparkSession, pool: list[int]) -> DataFrame:
+    """``k, pool_id``: the pool in id order (at most 1,000 rows, so broadcast)."""
+    return spark.createDataFrame([(k, int(p)) for k, p in enumerate(pool)], "k int, pool_id bigint")
+
+
+def with_source(df: DataFrame, seed: int, reuse_chance: float, pool: list[int], out: str = "src") -> DataFrame:
+    """Add ``out``: the id whose fresh text row ``id`` carries (itself, or a pool pick).
+
+    A reusing row picks slot ``k`` uniformly among the ``fill`` pool ids below it
+    (the whole pool past its last id; before that, its rank among the sorted pool
+    ids, computed only for those few rows) and finds the id by a broadcast join
+    with the pool table.
+    """
+    i = F.col("id")
     if not pool or reuse_chance <= 0:
-        return id_col
-    arr = F.array(*[F.lit(int(p)).cast("bigint") for p in pool])
-    fill = F.size(F.filter(arr, lambda x: x < id_col))
-    pick = F.element_at(arr, _below(id_col, seed, _PICK, fill) + F.lit(1))
-    return F.when(is_fresh(id_col, seed, reuse_chance), id_col).otherwise(pick)
+        return df.select("*", i.alias(out))
+    # One SQL literal instead of a thousand client-side ``lit`` calls.
+    arr = F.expr("array(" + ",".join(f"{int(p)}L" for p in pool) + ")")
+    staged = df.select("*", is_fresh(i, seed, reuse_chance).alias("_fresh"))
+    rank = F.array_position(F.sort_array(F.array_union(arr, F.array(i))), i) - F.lit(1)
+    fill = F.when(F.col("_fresh"), F.lit(None).cast("int")).when(i > F.lit(int(pool[-1])), F.lit(len(pool)))
+    staged = staged.select("*", fill.otherwise(rank.cast("int")).alias("_fill"))
+    staged = staged.select("*", F.when(~F.col("_fresh"), _below(i, seed, _PICK, F.col("_fill"))).alias("_k"))
+    table = F.broadcast(pool_table(df.sparkSession, pool))
+    joined = staged.join(table, F.col("_k") == F.col("k"), "left")
+    return joined.select(*df.columns, F.coalesce(F.col("pool_id"), i).alias(out))
 
 
 def word_picks(src: Column, seed: int) -> tuple[Column, Column, list[Column]]:
@@ -121,28 +144,27 @@ def with_text(df: DataFrame, seed: int, src: str = "src") -> DataFrame:
     ).otherwise(F.substr(joined, F.lit(1), length))
     step = step.select("*", cut.alias("_cut")).drop("_joined")
     step = step.select("*", (F.col("_len") - F.char_length("_cut")).alias("_need"))
-    text = F.concat(F.col("_cut"), padding(s, seed, F.col("_need")))
+    text = F.concat(F.col("_cut"), padding(seed, F.col("_need")))
     return step.select("*", text.alias("text")).drop("_len", "_cut", "_need")
 
 
-def padding(src: Column, seed: int, need: Column) -> Column:
+def _block_seed(seed: int, block: int) -> int:
+    # randstr seeds its generator with seed + partition index: keep the streams of
+    # different blocks (and seeds) apart by more than any partition count.
+    return ((int(seed) << 20) + (block << 48)) & 0x7FFFFFFFFFFFFFFF
+
+
+def padding(seed: int, need: Column) -> Column:
     """STR-11: ``need`` random letters/digits, uniform over the 62-character alphabet.
 
-    SHA-512 blocks of the row id give random bytes; base64 maps them uniformly to
-    64 symbols, and deleting ``+``, ``/`` (and ``=``) leaves a uniform draw over
-    the 62 letters and digits. Blocks past the needed length are not computed.
+    ``randstr`` draws whole blocks from the task's seeded generator; blocks past
+    the needed length are not drawn.
     """
-    n_blocks = math.ceil((MAX_TEXT + _PAD_BLOCK) / _PAD_BLOCK)
     blocks = [
-        F.when(
-            (need > F.lit(0)) & (need > F.lit(i * _PAD_BLOCK - _PAD_BLOCK)),
-            F.base64(F.unhex(F.sha2(F.concat_ws(":", src.cast("string"), F.lit(str(seed)), F.lit(str(i))), 512))),
-        )
-        for i in range(n_blocks)
+        F.when(need > F.lit(i * _PAD_BLOCK), F.randstr(F.lit(_PAD_BLOCK), F.lit(_block_seed(seed, i))))
+        for i in range(math.ceil(MAX_TEXT / _PAD_BLOCK))
     ]
-    # (line breaks are removed too, in case base64 output is chunked)
-    pool = F.translate(F.concat_ws("", *blocks), "+/=\r\n", "")
-    return F.rpad(F.substr(pool, F.lit(1), need), need, "a")
+    return F.substr(F.concat_ws("", *blocks), F.lit(1), need)
 
 
 def line_size(number: Column, length: Column) -> Column:
@@ -158,15 +180,12 @@ def pool_ids(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float) -
     return [r.id for r in ids.orderBy("id").limit(POOL_SIZE).collect()]
 
 
-def _sizes(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float, pool: list[int], parts: int):
-    rows = spark.range(0, n_rows, numPartitions=parts)
-    staged = rows.select("id", source_id(F.col("id"), seed, reuse_chance, pool).alias("src"))
+def _sizes(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float, pool: list[int]):
+    staged = with_source(grid(spark, n_rows), seed, reuse_chance, pool)
     return staged.select("id", line_size(number_expr(F.col("id"), seed), text_length(F.col("src"), seed)).alias("size"))
 
 
-def find_cut(
-    spark: SparkSession, target_chars: int, seed: int, reuse_chance: float, parts: int | None = None
-) -> tuple[int, list[int]]:
+def find_cut(spark: SparkSession, target_chars: int, seed: int, reuse_chance: float) -> tuple[int, list[int]]:
     """WIN-3: number of rows whose running size first reaches ``target_chars``.
 
     Returns ``(rows, pool)``. Row budget starts at the expected count (mean line
@@ -175,9 +194,8 @@ def find_cut(
     n_rows = int(target_chars / 540 * 1.05) + 1000
     while True:
         pool = pool_ids(spark, n_rows, seed, reuse_chance)
-        p = parts or _partitions_for(n_rows)
         bucket_rows = max(10_000, n_rows // 1000)
-        sizes = _sizes(spark, n_rows, seed, reuse_chance, pool, p)
+        sizes = _sizes(spark, n_rows, seed, reuse_chance, pool)
         buckets = sizes.groupBy((F.col("id") / bucket_rows).cast("bigint").alias("bucket")).agg(
             F.sum("size").alias("bsum")
         )
@@ -205,8 +223,23 @@ def find_cut(
         return int(last) + 1, pool
 
 
-def _partitions_for(n_rows: int, rows_per_partition: int = 200_000) -> int:
-    return max(1, math.ceil(n_rows / rows_per_partition))
+def grid(spark: SparkSession, n_rows: int) -> DataFrame:
+    """Ids ``[0, n_rows)``, partition k holding ``[k*R, (k+1)*R)`` whatever ``n_rows`` is."""
+    parts = max(1, math.ceil(n_rows / ROWS_PER_PARTITION))
+    return spark.range(0, parts * ROWS_PER_PARTITION, numPartitions=parts).where(F.col("id") < F.lit(n_rows))
+
+
+def _fresh_texts(spark: SparkSession, n_rows: int, seed: int) -> DataFrame:
+    rows = grid(spark, n_rows)
+    return with_text(rows.select("id", F.col("id").alias("src")), seed, "src")
+
+
+def pool_texts(spark: SparkSession, n_rows: int, seed: int, pool: list[int]) -> DataFrame:
+    """``pool_id, pool_text`` for the pool ids: the same grid cells as the output,
+    limited to the partitions that hold a pool id (at most 1,000 rows kept)."""
+    upto = min(n_rows, (max(pool) // ROWS_PER_PARTITION + 1) * ROWS_PER_PARTITION)
+    texts = _fresh_texts(spark, upto, seed)
+    return texts.where(F.col("id").isin(pool)).select(F.col("id").alias("pool_id"), F.col("text").alias("pool_text"))
 
 
 def generated_lines(
@@ -215,16 +248,21 @@ def generated_lines(
     seed: int = 0,
     reuse_chance: float = 0.01,
     pool: list[int] | None = None,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """GEN-3: rows ``id, number, text, value`` for ids ``[0, n_rows)``; ``value`` is the line."""
     if pool is None:
         pool = pool_ids(spark, n_rows, seed, reuse_chance)
-    parts = num_partitions or _partitions_for(n_rows)
-    rows = spark.range(0, n_rows, numPartitions=parts)
     i = F.col("id")
-    staged = rows.select("id", number_expr(i, seed).alias("number"), source_id(i, seed, reuse_chance, pool).alias("src"))
-    out = with_text(staged, seed, "src")
+    rows = with_source(grid(spark, n_rows), seed, reuse_chance, pool, out="_pick")
+    rows = rows.select("id", number_expr(i, seed).alias("number"), i.alias("src"), "_pick")
+    out = with_text(rows, seed, "src")
+    if pool and reuse_chance > 0:
+        reused = F.when(F.col("_pick") != F.col("id"), F.col("_pick"))
+        # At most 1,000 texts of at most 1,024 characters: a bounded broadcast.
+        table = F.broadcast(pool_texts(spark, n_rows, seed, pool))
+        out = out.join(table, reused == F.col("pool_id"), "left")
+        out = out.withColumn("text", F.coalesce(F.col("pool_text"), F.col("text")))
+    out = out.select("id", "number", "text")
     return out.select("id", "number", "text", F.concat(F.col("number").cast("string"), F.lit(". "), "text").alias("value"))
 
 
@@ -242,7 +280,6 @@ def generate_lines(
     seed: int = 0,
     reuse_chance: float = 0.01,
     target_chars: int | None = None,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """SRC-3: generated lines whose total size (with newlines) first reaches
     ``size_mb * 1,000,000`` characters (or ``target_chars``)."""
@@ -252,4 +289,4 @@ def generate_lines(
     elif target_chars <= 0 or not 0.0 <= float(reuse_chance) <= 1.0:
         raise ValueError("target_chars must be positive and reuse_chance in [0, 1]")
     n_rows, pool = find_cut(spark, target_chars, seed, reuse_chance)
-    return generated_lines(spark, n_rows, seed, reuse_chance, pool, num_partitions)
+    return generated_lines(spark, n_rows, seed, reuse_chance, pool)

@@ -46,8 +46,8 @@ def test_text_rule_matches_sequential_loop(spark):
 
 
 def test_reuse_and_reproducible(spark):
-    a = generated_lines(spark, 5000, seed=3, reuse_chance=0.3, num_partitions=3)
-    b = generated_lines(spark, 5000, seed=3, reuse_chance=0.3, num_partitions=7)
+    a = generated_lines(spark, 5000, seed=3, reuse_chance=0.3)
+    b = generated_lines(spark, 5000, seed=3, reuse_chance=0.3)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     stats = a.agg(F.count("*").alias("n"), F.countDistinct("text").alias("d")).first()
     assert stats.d < stats.n * 0.8
@@ -58,6 +58,22 @@ def test_reuse_and_reproducible(spark):
     assert 0 < neg < 200
 
 
+def test_grid_is_independent_of_row_count(spark, monkeypatch):
+    import keyline.sources.generator as G
+
+    monkeypatch.setattr(G, "ROWS_PER_PARTITION", 700)
+    a = G.generated_lines(spark, 3000, seed=5, reuse_chance=0.2).where("id < 1500")
+    b = G.generated_lines(spark, 1500, seed=5, reuse_chance=0.2)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert G.grid(spark, 3000).rdd.getNumPartitions() == 5
+    # every reused text is an earlier fresh text, recomputed from its own grid cell
+    fresh = G.generated_lines(spark, 3000, seed=5, reuse_chance=0.0).select("id", "text")
+    pool = G.pool_ids(spark, 3000, 5, 0.2)
+    texts = set(r.text for r in fresh.where(F.col("id").isin(pool)).collect())
+    reused = a.join(fresh.withColumnRenamed("text", "own"), "id").where("text != own")
+    assert reused.count() > 0 and all(r.text in texts for r in reused.collect())
+
+
 def test_all_reuse_repeats_first_text(spark):
     df = generated_lines(spark, 500, seed=1, reuse_chance=1.0)
     assert df.select("text").distinct().count() == 1
