@@ -29,7 +29,7 @@ from keyline.plans import corpora as C  # noqa: E402
 from keyline.plans.generate_file import generate_file  # noqa: E402
 from keyline.plans.sort_file import sort_file  # noqa: E402
 from keyline.session import local_session  # noqa: E402
-from keyline.functions.record import parse_line  # noqa: E402
+from keyline.functions.record import with_parsed  # noqa: E402
 from keyline.sources.lines import read_lines  # noqa: E402
 from keyline.sources.sinks import write_lines  # noqa: E402
 
@@ -68,7 +68,7 @@ def main() -> None:
     q["sort_documents"], _ = _timed(lambda: sort_file(spark, paths["documents"], paths["documents"] + ".sorted", report_path=None))
 
     def parse_mixed():
-        p = read_lines(spark, paths["mixed"]).select(*parse_line(F.col("value")))
+        p = with_parsed(read_lines(spark, paths["mixed"]))
         return p.groupBy(F.coalesce(reject_reason(F.col("parse_error")), F.lit("ok")).alias("r")).count().collect()
 
     q["parse_mixed"], _ = _timed(parse_mixed)

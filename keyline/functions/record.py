@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from keyline.functions.text import ordinal_key, ws_trim
+from keyline.functions.text import ordinal_key, ws_ltrim, ws_rtrim_if_needed, ws_trim
 
 # The three reject messages of the record format.
 MSG_EMPTY = "Malformed line: is null or empty"
@@ -49,7 +49,18 @@ def parse_columns(value: Column) -> ParsedColumns:
     after = F.substr(value, dot + F.lit(1))
     number_part = ws_trim(F.substr(value, F.lit(1), dot - F.lit(1)))
     number = parse_int64(number_part)
-    error = (
+    error = _error(value, dot, after, number, number_part)
+    ok = error.isNull()
+    return ParsedColumns(
+        number=F.when(ok, number),
+        text=F.when(ok, ws_trim(after)),
+        parse_error=error,
+        number_part=number_part,
+    )
+
+
+def _error(value: Column, dot: Column, after: Column, number: Column, number_part: Column) -> Column:
+    return (
         F.when(value.isNull() | (value == F.lit("")), F.lit(MSG_EMPTY))
         .when((dot == F.lit(0)) | (after == F.lit("")), F.concat(F.lit(MSG_NO_DOT), value))
         .when(
@@ -57,13 +68,38 @@ def parse_columns(value: Column) -> ParsedColumns:
             F.concat(F.lit(MSG_BAD_NUMBER_HEAD), number_part, F.lit(MSG_BAD_NUMBER_TAIL), value),
         )
     )
-    ok = error.isNull()
-    return ParsedColumns(
-        number=F.when(ok, number),
-        text=F.when(ok, ws_trim(after)),
-        parse_error=error,
-        number_part=number_part,
+
+
+def with_parsed(df, value: str = "value", keep: list[str] | None = None):
+    """PRJ-1 as a chain of projections: ``keep`` columns (all by default) plus
+    ``number``, ``text`` and ``parse_error``.
+
+    Same result as :func:`parse_columns`, but every intermediate (dot position,
+    the two halves, their trimmed forms) is its own column, computed once per
+    row; Catalyst keeps a multiply-referenced, non-trivial column in its own
+    projection instead of inlining it. This is the form used on large inputs.
+    """
+    v = F.col(value)
+    cols = df.columns if keep is None else list(keep)
+    s = df.select(*cols, *([] if value in cols else [value]), F.instr(v, ".").alias("_dot"))
+    dot = F.col("_dot")
+    s = s.select("*", F.substr(v, dot + F.lit(1)).alias("_after"), F.substr(v, F.lit(1), dot - F.lit(1)).alias("_np"))
+    s = s.select("*", ws_ltrim(F.col("_after")).alias("_tl"), ws_ltrim(F.col("_np")).alias("_nl"))
+    s = s.select(
+        "*", ws_rtrim_if_needed(F.col("_tl")).alias("_text"), ws_rtrim_if_needed(F.col("_nl")).alias("_npart")
+    )
+    s = s.select("*", parse_int64(F.col("_npart")).alias("_num"))
+    err = _error(v, dot, F.col("_after"), F.col("_num"), F.col("_npart"))
+    s = s.select("*", err.alias("parse_error"))
+    ok = F.col("parse_error").isNull()
+    out = s.select(
+        *cols,
+        *([] if value in cols else [value]),
+        F.when(ok, F.col("_num")).alias("number"),
+        F.when(ok, F.col("_text")).alias("text"),
+        "parse_error",
     )
+    return out if value in cols else out.drop(value)
 
 
 def parse_line(value: Column) -> list[Column]:
@@ -72,12 +108,6 @@ def parse_line(value: Column) -> list[Column]:
     return [p.number.alias("number"), p.text.alias("text"), p.parse_error.alias("parse_error")]
 
 
-def parse(df, value_col: str = "value", keep: bool = True):
-    """Add ``number``, ``text`` and ``parse_error`` to ``df`` parsed from ``value_col``."""
-    cols = (["*"] if keep else []) + parse_line(F.col(value_col))
-    return df.select(*cols)
-
-
 def format_record(number: Column, text: Column) -> Column:
     """PRJ-2: ``"{number}. {text}"``."""
     return F.concat(number.cast("string"), F.lit(RECORD_SEPARATOR), text)

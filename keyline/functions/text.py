@@ -27,24 +27,46 @@ WHITESPACE = "".join(
 # ordinal sort key (both above every lead byte of a supplementary character).
 _BMP_HIGH_LEADS = "\u00ee\u00ef"
 _BMP_HIGH_MOVED = "\u00f5\u00f6"
-_BMP_HIGH_PATTERN = "[\\x{E000}-\\x{FFFF}]"
+_BMP_HIGH_BYTES = (b"\xee", b"\xef")
 
 TEXT_ORDERS = ("utf16", "utf8")
 
 
+def ends_with_ws(col: Column) -> Column:
+    """True if the last character is in WHITESPACE (a few byte compares at the end)."""
+    cond = None
+    for ch in WHITESPACE:
+        c = col.endswith(F.lit(ch))
+        cond = c if cond is None else cond | c
+    return cond
+
+
 def ws_trim(col: Column) -> Column:
     """Trim every WHITESPACE code point from both ends (``trim`` alone strips U+0020 only)."""
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def ws_ltrim(col: Column) -> Column:
+    return F.ltrim(col, F.lit(WHITESPACE))
+
+
+def ws_rtrim_if_needed(left_trimmed: Column) -> Column:
+    """Right half of :func:`ws_trim` for a column reference that is already
+    left-trimmed: Spark's right trim with a character set scans the whole
+    string, so it only runs when the string ends in white space."""
+    return F.when(ends_with_ws(left_trimmed), F.rtrim(left_trimmed, F.lit(WHITESPACE))).otherwise(left_trimmed)
+
+
 def is_blank(col: Column) -> Column:
     """True for null, empty or white-space-only strings."""
     return F.coalesce(ws_trim(col), F.lit("")) == F.lit("")
 
 
-def has_bmp_high(col: Column) -> Column:
-    """True if the string holds a character in U+E000..U+FFFF."""
-    return col.rlike(_BMP_HIGH_PATTERN)
+def has_bmp_high(col: Column, raw: Column | None = None) -> Column:
+    """True if the string holds a character in U+E000..U+FFFF, i.e. its UTF-8 bytes
+    hold the lead byte EE or EF (a byte search, no regex)."""
+    raw = col.cast("binary") if raw is None else raw
+    return F.contains(raw, F.lit(_BMP_HIGH_BYTES[0])) | F.contains(raw, F.lit(_BMP_HIGH_BYTES[1]))
 
 
 def ordinal_key(col: Column, text_order: str = "utf16") -> Column:
@@ -70,7 +92,36 @@ def ordinal_key(col: Column, text_order: str = "utf16") -> Column:
         F.translate(F.decode(raw, "ISO-8859-1"), _BMP_HIGH_LEADS, _BMP_HIGH_MOVED),
         "ISO-8859-1",
     )
-    return F.when(has_bmp_high(col), moved).otherwise(raw)
+    return F.when(has_bmp_high(col, raw), moved).otherwise(raw)
+
+
+def with_ordinal_key(df, text: str = "text", key: str = "_k", moved: str | None = "_t", text_order: str = "utf16"):
+    """Add the binary sort key of ``text`` as ``key`` (and, when ``moved`` is given,
+    the text itself as ``moved`` for the rare remapped rows, null elsewhere).
+
+    The UTF-8 bytes are taken once in their own projection and shared by the
+    high-character test and the key.
+    """
+    if text_order not in TEXT_ORDERS:
+        raise ValueError(f"text_order must be one of {TEXT_ORDERS}, got {text_order!r}")
+    t = F.col(text)
+    s = df.select("*", t.cast("binary").alias("_raw"))
+    raw = F.col("_raw")
+    extra = []
+    if text_order == "utf8":
+        k = raw
+        if moved:
+            extra.append(F.lit(None).cast("string").alias(moved))
+    else:
+        s = s.select("*", has_bmp_high(t, raw).alias("_hi"))
+        hi = F.col("_hi")
+        remapped = F.encode(
+            F.translate(F.decode(raw, "ISO-8859-1"), _BMP_HIGH_LEADS, _BMP_HIGH_MOVED), "ISO-8859-1"
+        )
+        k = F.when(hi, remapped).otherwise(raw)
+        if moved:
+            extra.append(F.when(hi, t).alias(moved))
+    return s.select("*", k.alias(key), *extra).drop("_raw", "_hi")
 
 
 def text_from_key(key: Column, moved_text: Column) -> Column:

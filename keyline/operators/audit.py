@@ -26,8 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyline.functions.record import format_record, parse_columns
-from keyline.functions.text import has_bmp_high, is_blank, ordinal_key, text_from_key
+from keyline.functions.record import format_record, with_parsed
+from keyline.functions.text import is_blank, text_from_key, with_ordinal_key
 from keyline.sources.lines import file_order, scan_lines
 
 # Fixed value: previous-line text when a malformed line has no valid record before it.
@@ -48,18 +48,17 @@ def _fmt(rec: Column) -> Column:
 
 def split_summaries(lines: DataFrame, text_order: str = "utf16") -> DataFrame:
     """Steps 2-3: one row per split of a scanned file (``value, _f, _b, _m``)."""
-    blank = is_blank(F.col("value"))
-    p = parse_columns(F.col("value"))
-    key = ordinal_key(p.text, text_order)
-    moved = F.when(has_bmp_high(p.text), p.text) if text_order == "utf16" else F.lit(None).cast("string")
-    staged = lines.select(
+    parsed = with_parsed(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
+    keyed = with_ordinal_key(parsed, "text", "_k", "_t", text_order)
+    blank, err = F.col("_blank"), F.col("parse_error")
+    staged = keyed.select(
         "_f",
         "_b",
         "_m",
-        blank.alias("_blank"),
-        F.when(~blank, p.parse_error.isNull()).alias("_ok"),
-        F.when(~blank & p.parse_error.isNull(), _rec(key, p.number, moved)).alias("_r"),
-        F.when(~blank & p.parse_error.isNotNull(), F.col("value")).alias("_bad"),
+        "_blank",
+        F.when(~blank, err.isNull()).alias("_ok"),
+        F.when(~blank & err.isNull(), _rec(F.col("_k"), F.col("number"), F.col("_t"))).alias("_r"),
+        F.when(~blank & err.isNotNull(), F.col("value")).alias("_bad"),
     )
     w = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     # Previous non-blank line of the split: a record, or a marker for a malformed one.

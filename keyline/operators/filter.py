@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyline.functions.record import parse_columns
+from keyline.functions.record import with_parsed
 from keyline.functions.text import is_blank
 
 MODES = ("drop", "strict")
@@ -20,18 +20,20 @@ def parse_records(df: DataFrame, value: str = "value", mode: str = "drop", keep:
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    p = parse_columns(F.col(value))
-    keep = keep or []
+    keep = list(keep or [])
+    p = with_parsed(df, value, keep=keep)
+    err = F.col("parse_error")
     if mode == "strict":
-        number = F.when(p.parse_error.isNotNull(), F.raise_error(p.parse_error).cast("bigint")).otherwise(p.number)
-        return df.select(*keep, number.alias("number"), p.text.alias("text"))
-    return df.where(p.parse_error.isNull()).select(*keep, p.number.alias("number"), p.text.alias("text"))
+        number = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))
+        return p.select(*keep, number.alias("number"), "text")
+    return p.where(err.isNull()).select(*keep, "number", "text")
 
 
 def rejected_lines(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """FLT-3: the malformed lines with their exact reason (``value, parse_error``)."""
-    p = parse_columns(F.col(value))
-    return df.where(p.parse_error.isNotNull()).select(*(keep or []), value, p.parse_error.alias("parse_error"))
+    keep = list(keep or [])
+    p = with_parsed(df, value, keep=keep + ([value] if value not in keep else []))
+    return p.where(F.col("parse_error").isNotNull()).select(*keep, value, "parse_error")
 
 
 def reject_reason(parse_error: F.Column) -> F.Column:

@@ -16,19 +16,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyline.functions.text import has_bmp_high, ordinal_key, text_from_key
+from keyline.functions.text import text_from_key, with_ordinal_key
 from keyline.session import reliable_checkpoint
 from keyline.sources.lines import join_small
 
 
 def _staged(df: DataFrame, number: str, text: str, text_order: str, tiebreak: str | None) -> DataFrame:
-    t = F.col(text)
-    moved = F.when(has_bmp_high(t), t) if text_order == "utf16" else F.lit(None).cast("string")
-    cols = [ordinal_key(t, text_order).alias("_k"), F.col(number).alias("number"), moved.alias("_t")]
+    cols = [F.col(number).alias("number"), F.col(text).alias("_text")]
     if tiebreak is not None:
         tb = F.monotonically_increasing_id() if tiebreak == "" else F.col(tiebreak)
         cols.append(tb.alias("_u"))
-    return df.select(*cols)
+    keyed = with_ordinal_key(df.select(*cols), "_text", "_k", "_t", text_order)
+    return keyed.select("_k", "number", "_t", *(["_u"] if tiebreak is not None else []))
 
 
 def _unstaged(staged: DataFrame) -> DataFrame:

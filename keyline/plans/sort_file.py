@@ -14,8 +14,8 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from keyline.functions.record import format_record, parse_columns
-from keyline.functions.text import has_bmp_high, ordinal_key, text_from_key
+from keyline.functions.record import format_record, with_parsed
+from keyline.functions.text import text_from_key, with_ordinal_key
 from keyline.sources.lines import scan_lines
 from keyline.sources.sinks import check_not_same, write_lines, write_report
 
@@ -31,13 +31,12 @@ def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str =
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     scan = scan_lines(spark, path, encoding, with_split=True)
-    p = parse_columns(F.col("value"))
-    number = p.number
+    parsed = with_parsed(scan, keep=["value", "_f", "_b", "_m"])
     if mode == "strict":
-        number = F.when(p.parse_error.isNotNull(), F.raise_error(p.parse_error).cast("bigint")).otherwise(number)
-    return scan.select(
-        "value", number.alias("number"), p.text.alias("text"), p.parse_error.alias("parse_error"), "_f", "_b", "_m"
-    )
+        err = F.col("parse_error")
+        strict = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))
+        parsed = parsed.withColumn("number", strict)
+    return parsed
 
 
 def sorted_records(
@@ -57,14 +56,11 @@ def sorted_records(
     (metrics taken before a range exchange would also count its sampling pass).
     Without one, they are dropped before the exchange.
     """
-    rows = parsed_scan(spark, path, encoding, mode)
+    rows = parsed_scan(spark, path, encoding, mode).select("number", "text", "parse_error", "_m")
     if observation is None:
         rows = rows.filter(F.col("parse_error").isNull())
-    t = F.col("text")
-    moved = F.when(has_bmp_high(t), t) if text_order == "utf16" else F.lit(None).cast("string")
-    staged = rows.select(
-        ordinal_key(t, text_order).alias("_k"), "number", moved.alias("_t"), F.col("_m").alias("_u")
-    )
+    keyed = with_ordinal_key(rows, "text", "_k", "_t", text_order)
+    staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
     keys = ["_k", "number", "_u"]
     if num_partitions:
         ordered = staged.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)

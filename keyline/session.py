@@ -18,6 +18,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Smaller input splits than the 128 MB default, so that a few GB spread
+        # over every local core (several tasks per core for balance).
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("KEYLINE_MAX_PARTITION_BYTES", "32m"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
