@@ -50,13 +50,6 @@ def ws_ltrim(col: Column) -> Column:
     return F.ltrim(col, F.lit(WHITESPACE))
 
 
-def ws_rtrim_if_needed(left_trimmed: Column) -> Column:
-    """Right half of :func:`ws_trim` for a column reference that is already
-    left-trimmed: Spark's right trim with a character set scans the whole
-    string, so it only runs when the string ends in white space."""
-    return F.when(ends_with_ws(left_trimmed), F.rtrim(left_trimmed, F.lit(WHITESPACE))).otherwise(left_trimmed)
-
-
 def is_blank(col: Column) -> Column:
     """True for null, empty or white-space-only strings."""
     return F.coalesce(ws_trim(col), F.lit("")) == F.lit("")
@@ -70,63 +63,54 @@ def has_bmp_high(col: Column, raw: Column | None = None) -> Column:
 
 
 def ordinal_key(col: Column, text_order: str = "utf16") -> Column:
-    """Binary sort key whose byte order is the order of the string in UTF-16 code units.
+    """Sort key whose byte order is the order of the string in UTF-16 code units.
 
     Spark compares strings by UTF-8 bytes, i.e. by code point. UTF-16 code-unit
     order differs only in that supplementary characters (surrogate pairs, D800..DFFF)
     sort *before* U+E000..U+FFFF. In UTF-8 those BMP characters start with the lead
     bytes EE/EF and supplementary ones with F0..F4, so moving EE->F5 and EF->F6
     (bytes that never occur in UTF-8) yields UTF-16 order on plain byte comparison.
-    Rows without such characters keep their UTF-8 bytes unchanged, so the common case
-    costs one regex probe and a byte copy; no UTF-16 re-encoding is done.
 
-    ``text_order="utf8"`` gives Spark's own code-point order (same result on data with
-    no character at or above U+E000).
+    The key is a string column compared bytewise (Spark's default collation). For
+    rows without such characters it *is* the text (no copy); the rare remapped
+    rows hold bytes that are not valid UTF-8 and are only ever compared, never
+    shown (see :func:`with_ordinal_key`, which keeps their text aside).
+    ``text_order="utf8"`` gives Spark's own code-point order (same result on data
+    with no character at or above U+E000).
     """
     if text_order not in TEXT_ORDERS:
         raise ValueError(f"text_order must be one of {TEXT_ORDERS}, got {text_order!r}")
-    raw = col.cast("binary")
     if text_order == "utf8":
-        return raw
-    moved = F.encode(
-        F.translate(F.decode(raw, "ISO-8859-1"), _BMP_HIGH_LEADS, _BMP_HIGH_MOVED),
-        "ISO-8859-1",
-    )
-    return F.when(has_bmp_high(col, raw), moved).otherwise(raw)
+        return col
+    raw = col.cast("binary")
+    return F.when(has_bmp_high(col, raw), _remapped(raw)).otherwise(col)
 
 
-def with_ordinal_key(df, text: str = "text", key: str = "_k", moved: str | None = "_t", text_order: str = "utf16"):
-    """Add the binary sort key of ``text`` as ``key`` (and, when ``moved`` is given,
-    the text itself as ``moved`` for the rare remapped rows, null elsewhere).
+def _remapped(raw: Column) -> Column:
+    moved = F.translate(F.decode(raw, "ISO-8859-1"), _BMP_HIGH_LEADS, _BMP_HIGH_MOVED)
+    return F.encode(moved, "ISO-8859-1").cast("string")
 
-    The UTF-8 bytes are taken once in their own projection and shared by the
-    high-character test and the key.
-    """
+
+def with_ordinal_key(df, text: str = "text", key: str = "_k", moved: str | None = "_t", text_order: str = "utf16"):
+    """Add the sort key of ``text`` as ``key`` (see :func:`ordinal_key`) and, when
+    ``moved`` is given, the text itself as ``moved`` for the rare remapped rows
+    (null elsewhere), so that ``coalesce(moved, key)`` gives the text back."""
     if text_order not in TEXT_ORDERS:
         raise ValueError(f"text_order must be one of {TEXT_ORDERS}, got {text_order!r}")
     t = F.col(text)
-    s = df.select("*", t.cast("binary").alias("_raw"))
-    raw = F.col("_raw")
-    extra = []
     if text_order == "utf8":
-        k = raw
-        if moved:
-            extra.append(F.lit(None).cast("string").alias(moved))
-    else:
-        s = s.select("*", has_bmp_high(t, raw).alias("_hi"))
-        hi = F.col("_hi")
-        remapped = F.encode(
-            F.translate(F.decode(raw, "ISO-8859-1"), _BMP_HIGH_LEADS, _BMP_HIGH_MOVED), "ISO-8859-1"
-        )
-        k = F.when(hi, remapped).otherwise(raw)
-        if moved:
-            extra.append(F.when(hi, t).alias(moved))
-    return s.select("*", k.alias(key), *extra).drop("_raw", "_hi")
+        extra = [F.lit(None).cast("string").alias(moved)] if moved else []
+        return df.select("*", t.alias(key), *extra)
+    s = df.select("*", has_bmp_high(t).alias("_hi"))
+    hi = F.col("_hi")
+    extra = [F.when(hi, t).alias(moved)] if moved else []
+    k = F.when(hi, _remapped(t.cast("binary"))).otherwise(t)
+    return s.select("*", k.alias(key), *extra).drop("_hi")
 
 
 def text_from_key(key: Column, moved_text: Column) -> Column:
     """Inverse of :func:`ordinal_key` given the text kept aside for remapped rows."""
-    return F.coalesce(moved_text, key.cast("string"))
+    return F.coalesce(moved_text, key)
 
 
 def utf16_compare_key(col: Column) -> Column:

@@ -23,15 +23,15 @@ MODES = ("drop", "strict")
 
 
 def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop") -> DataFrame:
-    """``value, number, text, parse_error, _f, _b, _m`` for every line of ``path``.
+    """``value, number, text, parse_error, _m`` for every line of ``path``.
 
     ``mode="strict"`` (FLT-2) fails the job on the first malformed line with its
     exact message.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    scan = scan_lines(spark, path, encoding, with_split=True)
-    parsed = with_parsed(scan, keep=["value", "_f", "_b", "_m"])
+    scan = scan_lines(spark, path, encoding, with_split="id")
+    parsed = with_parsed(scan, keep=["value", "_m"])
     if mode == "strict":
         err = F.col("parse_error")
         strict = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))

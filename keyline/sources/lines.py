@@ -46,24 +46,31 @@ def _paths(path) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: bool = True) -> DataFrame:
-    """Read text lines as ``value`` (plus ``_f, _b, _m`` when ``with_split``).
+def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: bool | str = True) -> DataFrame:
+    """Read text lines as ``value`` (plus ``_f, _b, _m`` when ``with_split``;
+    only ``_m``, a unique scan position, when ``with_split="id"``).
 
     A UTF-8 byte-order mark is dropped, invalid UTF-8 becomes U+FFFD, blank lines
     are kept, and a final line without a break is a line.
     """
     charset = resolve_encoding(encoding)
     if charset in WIDE:
-        return _scan_wide(spark, path, charset, with_split)
+        out = _scan_wide(spark, path, charset, bool(with_split))
+        return out.drop("_f", "_b") if with_split == "id" else out
     raw = spark.read.format("text").load(_paths(path))
-    if with_split:
+    if with_split == "id":
+        raw = raw.select("value", F.monotonically_increasing_id().alias("_m"))
+    elif with_split:
         raw = raw.select(
             "value",
             F.col("_metadata.file_path").alias("_f"),
             F.col("_metadata.file_block_start").alias("_b"),
             F.monotonically_increasing_id().alias("_m"),
         )
-    value = decode_bytes(F.col("value").cast("binary"), charset)
+    if charset == "UTF-8":
+        value = F.make_valid_utf8(F.col("value"))
+    else:
+        value = decode_bytes(F.col("value").cast("binary"), charset)
     return raw.withColumn("value", value)
 
 
