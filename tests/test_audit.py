@@ -41,14 +41,15 @@ def _write(path, lines, newline="\n"):
         f.write("".join(line + newline for line in lines))
 
 
+@pytest.mark.parametrize("method", ["arrow", "window"])
 @pytest.mark.parametrize("idx", range(len(CASES)))
-def test_audit_fixture_table(spark, tmp_dir, idx):
+def test_audit_fixture_table(spark, tmp_dir, idx, method):
     lines, n_orig, expected = CASES[idx]
     orig = os.path.join(tmp_dir, "orig.txt")
     srt = os.path.join(tmp_dir, "sorted.txt")
     _write(orig, [f"{i}. o" for i in range(n_orig)])
     _write(srt, lines)
-    row = audit_lines(spark, orig, srt).first().asDict()
+    row = audit_lines(spark, orig, srt, method=method).first().asDict()
     model = audit_model([""] * n_orig, lines)
     assert row == model
     for k, v in expected.items():
@@ -75,14 +76,15 @@ def _random_lines(rng, n):
     return lines
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_audit_random_tiny_splits(spark, tmp_dir, seed):
+@pytest.mark.parametrize("method", ["arrow", "window"])
+@pytest.mark.parametrize("seed", range(16))
+def test_audit_random_tiny_splits(spark, tmp_dir, seed, method):
     rng = random.Random(seed)
     n_files = rng.randint(1, 3)
     all_lines = []
     folder = os.path.join(tmp_dir, "sorted")
     os.makedirs(folder)
-    base = _random_lines(rng, rng.randint(0, 60))
+    base = _random_lines(rng, rng.randint(0, 120))
     cuts = sorted(rng.randint(0, len(base)) for _ in range(n_files - 1))
     pieces = [base[i:j] for i, j in zip([0] + cuts, cuts + [len(base)])]
     for i, piece in enumerate(pieces):
@@ -93,11 +95,15 @@ def test_audit_random_tiny_splits(spark, tmp_dir, seed):
     _write(orig, ["1. x"] * n_orig)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     old_open = spark.conf.get("spark.sql.files.openCostInBytes")
+    old_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    # tiny Arrow batches: a split's previous line is often in the batch before
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rng.choice([1, 2, 3, 10000])))
     try:
-        row = audit_lines(spark, orig, folder).first().asDict()
+        row = audit_lines(spark, orig, folder, method=method).first().asDict()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.set("spark.sql.files.openCostInBytes", old_open)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old_batch)
     assert row == audit_model([""] * n_orig, all_lines)
