@@ -50,7 +50,9 @@ SIZE_UNIT = 1_000_000  # characters per "MB" of --size
 # Salts of the independent random streams.
 _NUM, _SIGN, _REUSE, _PICK, _LEN, _WC, _WORD, _PAD = 1, 2, 3, 4, 5, 6, 100, 200
 _UNIT = 1_000_000
-_PAD_BLOCK = 128  # padding characters drawn per randstr call
+# Padding characters drawn per randstr call. Few, large blocks keep the
+# generated code of the text projection small enough for the JIT compiler.
+_PAD_BLOCK = 512
 ROWS_PER_PARTITION = 25_000  # fixed grid of generated rows (about 13.5 MB of text per task)
 
 
@@ -117,10 +119,7 @@ def word_picks(src: Column, seed: int) -> tuple[Column, Column, list[Column]]:
     length = text_length(src, seed)
     n_words = F.lit(1) + _below(src, seed, _WC, F.least(F.lit(MAX_WORDS + 1), F.floor(length / 5) + 1) - 1)
     words = F.array(*[F.lit(w) for w in WORDS])
-    picked = [
-        F.when(n_words >= k, F.element_at(words, _below(src, seed, _WORD + k, len(WORDS)) + 1))
-        for k in range(1, MAX_WORDS + 1)
-    ]
+    picked = [F.element_at(words, _below(src, seed, _WORD + k, len(WORDS)) + 1) for k in range(1, MAX_WORDS + 1)]
     return length, n_words, picked
 
 
@@ -131,8 +130,9 @@ def with_text(df: DataFrame, seed: int, src: str = "src") -> DataFrame:
     Catalyst keeps a multiply-referenced, non-trivial column in its own projection.
     """
     s = F.col(src)
-    length, _, picked = word_picks(s, seed)
-    step = df.select("*", length.alias("_len"), F.concat_ws(" ", *picked).alias("_joined"))
+    length, n_words, picked = word_picks(s, seed)
+    joined = F.array_join(F.slice(F.array(*picked), F.lit(1), n_words), " ")
+    step = df.select("*", length.alias("_len"), joined.alias("_joined"))
     joined, length = F.col("_joined"), F.col("_len")
     # Cut to length; a cut that would end on a joining space takes the next
     # word's first letter instead (the space is only written if two more

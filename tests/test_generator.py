@@ -36,7 +36,7 @@ def test_text_rule_matches_sequential_loop(spark):
     length, n_words, picked = word_picks(F.col("id"), 7)
     rows = df.select("text", length.alias("L"), n_words.alias("n"), F.array(*picked).alias("w")).collect()
     for r in rows:
-        words = [w for w in r.w if w is not None]
+        words = r.w[: r.n]
         assert len(words) == r.n and 1 <= r.n <= min(9, r.L // 5)
         prefix, pad = _loop(r.L, words, None)
         assert len(r.text) == r.L and 10 <= r.L <= 1024
