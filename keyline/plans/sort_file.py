@@ -4,7 +4,8 @@ global sort -> write canonical lines, plus a run report.
 Physical plan: FileScan text -> Project (parse, key; whole-stage codegen) ->
 Exchange rangepartitioning(_k, number, _u) -> Sort -> Project (format) ->
 text write. The exchange is the only shuffle; its bounds come from Spark's
-sampling pass over the scan.
+sampling pass over the scan. The number of range partitions grows with the
+input (at most 1 GB of input each), so reduce-side sorts stay bounded.
 """
 
 from __future__ import annotations
@@ -21,6 +22,22 @@ from keyline.sources.sinks import check_not_same, write_lines, write_report
 
 MODES = ("drop", "strict")
 
+# Input bytes per range partition when the count is derived from the input size.
+SORT_PARTITION_BYTES = 1 << 30
+
+
+def range_partitions(spark: SparkSession, scan: DataFrame) -> int:
+    """Range partitions for a sort: the session's shuffle partitions, raised so that
+    no partition gets more than ``SORT_PARTITION_BYTES`` of input (AQE can merge
+    small range partitions but never splits one). The size is the scan's file
+    size estimate from the optimizer; no job runs."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. a non-file source)
+        size = 0
+    return max(base, -(-size // SORT_PARTITION_BYTES))
+
 
 def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop") -> DataFrame:
     """``value, number, text, parse_error, _m`` for every line of ``path``.
@@ -56,16 +73,15 @@ def sorted_records(
     (metrics taken before a range exchange would also count its sampling pass).
     Without one, they are dropped before the exchange.
     """
-    rows = parsed_scan(spark, path, encoding, mode).select("number", "text", "parse_error", "_m")
+    parsed = parsed_scan(spark, path, encoding, mode)
+    parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False))
+    rows = parsed.select("number", "text", "parse_error", "_m")
     if observation is None:
         rows = rows.filter(F.col("parse_error").isNull())
     keyed = with_ordinal_key(rows, "text", "_k", "_t", text_order)
     staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
     keys = ["_k", "number", "_u"]
-    if num_partitions:
-        ordered = staged.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
-    else:
-        ordered = staged.orderBy(*keys)
+    ordered = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     if observation is not None:
         ordered = ordered.observe(
             observation,

@@ -16,17 +16,18 @@ texts that came before it (row 0 is always fresh). Those pool texts (at most
 broadcast to the reusing rows.
 
 Size: lines are written until the running character count (line + newline)
-reaches the target. The cut row is found without a global window: sizes are
-summed per id bucket (map-side partial aggregation), the bucket holding the
-target is located on that small table, and a running sum is taken inside that
-one bucket only. The output is then the id prefix ``[0, cut]``.
+reaches the target. The cut row is found without a window: sizes are summed
+per id bucket (map-side partial aggregation, at most 4,096 buckets), the bucket
+where the running total crosses the target is kept, and the search repeats
+inside it until at most 4,096 rows remain. The output is the id prefix
+``[0, cut]``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The word list and the padding alphabet of generated texts.
@@ -53,7 +54,9 @@ _UNIT = 1_000_000
 # Padding characters drawn per randstr call. Few, large blocks keep the
 # generated code of the text projection small enough for the JIT compiler.
 _PAD_BLOCK = 512
-ROWS_PER_PARTITION = 25_000  # fixed grid of generated rows (about 13.5 MB of text per task)
+ROWS_PER_PARTITION = 25_000  # grid cell of generated rows (about 13.5 MB of text per task)
+MAX_PARTITIONS = 100_000  # larger outputs get larger cells instead of more tasks
+FANOUT = 4096  # buckets per level of the size-cut search
 
 
 def _h(id_col: Column, seed: int, salt: int) -> Column:
@@ -180,65 +183,79 @@ def pool_ids(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float) -
     return [r.id for r in ids.orderBy("id").limit(POOL_SIZE).collect()]
 
 
-def _sizes(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float, pool: list[int]):
-    staged = with_source(grid(spark, n_rows), seed, reuse_chance, pool)
-    return staged.select("id", line_size(number_expr(F.col("id"), seed), text_length(F.col("src"), seed)).alias("size"))
+def _size_rows(spark: SparkSession, lo: int, hi: int, seed: int, reuse_chance: float, pool: list[int]) -> DataFrame:
+    """``id, size`` for ids ``[lo, hi)``; sizes depend on id hashes only, not on the grid."""
+    staged = with_source(spark.range(lo, hi), seed, reuse_chance, pool)
+    size = line_size(number_expr(F.col("id"), seed), text_length(F.col("src"), seed))
+    return staged.select("id", size.alias("size"))
 
 
 def find_cut(spark: SparkSession, target_chars: int, seed: int, reuse_chance: float) -> tuple[int, list[int]]:
     """WIN-3: number of rows whose running size first reaches ``target_chars``.
 
-    Returns ``(rows, pool)``. Row budget starts at the expected count (mean line
-    about 540 characters) and doubles while the total falls short.
+    Returns ``(rows, pool)``. A row is kept while the size *before* it is below
+    the target. The search narrows an id interval level by level: sizes are
+    summed into at most ``FANOUT`` equal id buckets (partial aggregation; only
+    those sums reach the driver), the bucket where the running total crosses the
+    target is kept, and the next level looks inside it alone. No window and no
+    single task sees more than ``FANOUT`` rows. The row budget starts at the
+    expected count (mean line about 540 characters) and doubles while the total
+    falls short.
     """
     n_rows = int(target_chars / 540 * 1.05) + 1000
     while True:
         pool = pool_ids(spark, n_rows, seed, reuse_chance)
-        bucket_rows = max(10_000, n_rows // 1000)
-        sizes = _sizes(spark, n_rows, seed, reuse_chance, pool)
-        buckets = sizes.groupBy((F.col("id") / bucket_rows).cast("bigint").alias("bucket")).agg(
-            F.sum("size").alias("bsum")
-        )
-        w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        hit = (
-            buckets.select("bucket", "bsum", F.sum("bsum").over(w).alias("upto"))
-            .where(F.col("upto") >= F.lit(target_chars))
-            .orderBy("bucket")
-            .limit(1)
-            .collect()
-        )
-        if not hit:
-            n_rows *= 2
-            continue
-        b, bsum, upto = hit[0]["bucket"], hit[0]["bsum"], hit[0]["upto"]
-        before = upto - bsum
-        inside = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-        last = (
-            sizes.where((F.col("id") >= b * bucket_rows) & (F.col("id") < (b + 1) * bucket_rows))
-            .select("id", (F.lit(before) + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("prior"))
-            .where(F.col("prior") < F.lit(target_chars))
-            .agg(F.max("id").alias("last"))
-            .first()["last"]
-        )
-        return int(last) + 1, pool
-
-
-def grid(spark: SparkSession, n_rows: int) -> DataFrame:
-    """Ids ``[0, n_rows)``, partition k holding ``[k*R, (k+1)*R)`` whatever ``n_rows`` is."""
-    parts = max(1, math.ceil(n_rows / ROWS_PER_PARTITION))
-    return spark.range(0, parts * ROWS_PER_PARTITION, numPartitions=parts).where(F.col("id") < F.lit(n_rows))
-
-
-def _fresh_texts(spark: SparkSession, n_rows: int, seed: int) -> DataFrame:
-    rows = grid(spark, n_rows)
+        lo, hi, before = 0, n_rows, 0
+        found = True
+        while hi - lo > FANOUT:
+            width = math.ceil((hi - lo) / FANOUT)
+            bucket = F.floor((F.col("id") - F.lit(lo)) / F.lit(width)).cast("bigint")
+            sums = _size_rows(spark, lo, hi, seed, reuse_chance, pool).groupBy(bucket.alias("b")).agg(
+                F.sum("size").alias("s")
+            )
+            acc, hit = before, None
+            for row in sorted(sums.collect(), key=lambda r: r["b"]):
+                if acc + row["s"] >= target_chars:
+                    hit = row["b"]
+                    break
+                acc += row["s"]
+            if hit is None:
+                found = False
+                break
+            lo, hi, before = lo + hit * width, min(hi, lo + (hit + 1) * width), acc
+        if found:
+            acc = before
+            for row in _size_rows(spark, lo, hi, seed, reuse_chance, pool).orderBy("id").collect():
+                acc += row["size"]
+                if acc >= target_chars:
+                    return int(row["id"]) + 1, pool
+        n_rows *= 2
+
+
+def rows_per_partition(n_rows: int) -> int:
+    """Grid cell size: ``ROWS_PER_PARTITION``, grown so that there are at most
+    ``MAX_PARTITIONS`` tasks (about 1 GB of text per task at 100 TB)."""
+    return max(ROWS_PER_PARTITION, math.ceil(n_rows / MAX_PARTITIONS))
+
+
+def grid(spark: SparkSession, n_rows: int, cell: int | None = None) -> DataFrame:
+    """Ids ``[0, n_rows)``, partition k holding ``[k*R, (k+1)*R)`` (R = ``cell``)."""
+    cell = cell or rows_per_partition(n_rows)
+    parts = max(1, math.ceil(n_rows / cell))
+    return spark.range(0, parts * cell, numPartitions=parts).where(F.col("id") < F.lit(n_rows))
+
+
+def _fresh_texts(spark: SparkSession, n_rows: int, seed: int, cell: int) -> DataFrame:
+    rows = grid(spark, n_rows, cell)
     return with_text(rows.select("id", F.col("id").alias("src")), seed, "src")
 
 
-def pool_texts(spark: SparkSession, n_rows: int, seed: int, pool: list[int]) -> DataFrame:
+def pool_texts(spark: SparkSession, n_rows: int, seed: int, pool: list[int], cell: int | None = None) -> DataFrame:
     """``pool_id, pool_text`` for the pool ids: the same grid cells as the output,
     limited to the partitions that hold a pool id (at most 1,000 rows kept)."""
-    upto = min(n_rows, (max(pool) // ROWS_PER_PARTITION + 1) * ROWS_PER_PARTITION)
-    texts = _fresh_texts(spark, upto, seed)
+    cell = cell or rows_per_partition(n_rows)
+    upto = min(n_rows, (max(pool) // cell + 1) * cell)
+    texts = _fresh_texts(spark, upto, seed, cell)
     return texts.where(F.col("id").isin(pool)).select(F.col("id").alias("pool_id"), F.col("text").alias("pool_text"))
 
 
@@ -253,13 +270,14 @@ def generated_lines(
     if pool is None:
         pool = pool_ids(spark, n_rows, seed, reuse_chance)
     i = F.col("id")
-    rows = with_source(grid(spark, n_rows), seed, reuse_chance, pool, out="_pick")
+    cell = rows_per_partition(n_rows)
+    rows = with_source(grid(spark, n_rows, cell), seed, reuse_chance, pool, out="_pick")
     rows = rows.select("id", number_expr(i, seed).alias("number"), i.alias("src"), "_pick")
     out = with_text(rows, seed, "src")
     if pool and reuse_chance > 0:
         reused = F.when(F.col("_pick") != F.col("id"), F.col("_pick"))
         # At most 1,000 texts of at most 1,024 characters: a bounded broadcast.
-        table = F.broadcast(pool_texts(spark, n_rows, seed, pool))
+        table = F.broadcast(pool_texts(spark, n_rows, seed, pool, cell))
         out = out.join(table, reused == F.col("pool_id"), "left")
         out = out.withColumn("text", F.coalesce(F.col("pool_text"), F.col("text")))
     out = out.select("id", "number", "text")

@@ -92,3 +92,23 @@ def test_validation():
         validate(0, 0.01)
     with pytest.raises(ValueError):
         validate(1, 1.5)
+
+
+@pytest.mark.parametrize("target", [5_000, 123_457])
+def test_size_cut_multi_level_search(spark, monkeypatch, target):
+    import keyline.sources.generator as G
+
+    monkeypatch.setattr(G, "FANOUT", 8)
+    n, pool = G.find_cut(spark, target, 3, 0.05)
+    sizes = [
+        r["size"] for r in G._size_rows(spark, 0, n, 3, 0.05, pool).orderBy("id").collect()
+    ]
+    assert sum(sizes) >= target > sum(sizes[:-1])
+
+
+def test_grid_cells_cap_task_count(monkeypatch):
+    import keyline.sources.generator as G
+
+    monkeypatch.setattr(G, "MAX_PARTITIONS", 10)
+    assert G.rows_per_partition(1_000) == G.ROWS_PER_PARTITION
+    assert G.rows_per_partition(10**9) == 10**8

@@ -145,3 +145,15 @@ def test_sort_tiebreak_splits_a_hot_record(spark, tmp_dir):
     s = sort_records(hot.unionByName(rest), num_partitions=8)
     sizes = s.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in sizes) < 20000
+
+
+def test_range_partitions_grow_with_input(spark, tmp_dir, monkeypatch):
+    import keyline.plans.sort_file as S
+
+    p = os.path.join(tmp_dir, "big.txt")
+    _raw(p, b"1. x\n" * 20000)
+    scan = read_lines(spark, p)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert S.range_partitions(spark, scan) == base
+    monkeypatch.setattr(S, "SORT_PARTITION_BYTES", 1000)
+    assert S.range_partitions(spark, scan) == 100
