@@ -21,6 +21,23 @@ from keyline.session import reliable_checkpoint
 from keyline.sources.lines import join_small
 
 
+# Input bytes per range partition when the count is derived from the input size.
+SORT_PARTITION_BYTES = 1 << 30
+
+
+def range_partitions(spark, df: DataFrame) -> int:
+    """Range partitions for a sort: the session's shuffle partitions, raised so that
+    no partition gets more than ``SORT_PARTITION_BYTES`` of input (AQE can merge
+    small range partitions but never splits one). The size is the optimizer's
+    estimate for ``df`` (file sizes for a scan); no job runs."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        size = 0
+    return max(base, -(-size // SORT_PARTITION_BYTES))
+
+
 def _staged(df: DataFrame, number: str, text: str, text_order: str, tiebreak: str | None) -> DataFrame:
     cols = [F.col(number).alias("number"), F.col(text).alias("_text")]
     if tiebreak is not None:
@@ -57,11 +74,8 @@ def sort_records(
     """
     staged = _staged(df, number, text, text_order, tiebreak)
     keys = ["_k", "number"] + (["_u"] if tiebreak is not None else [])
-    if num_partitions:
-        staged = staged.repartitionByRange(num_partitions, *keys)
-        out = staged.sortWithinPartitions(*keys)
-    else:
-        out = staged.orderBy(*keys)
+    parts = num_partitions or range_partitions(df.sparkSession, df)
+    out = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return _unstaged(out)
 
 

@@ -17,28 +17,12 @@ from pyspark.sql import functions as F
 
 from keyline.functions.record import format_record, with_parsed
 from keyline.functions.text import text_from_key, with_ordinal_key
+from keyline.operators.sort import range_partitions
 from keyline.sources.lines import scan_lines
 from keyline.sources.sinks import check_not_same, write_lines, write_report
 
 MODES = ("drop", "strict")
 
-# Input bytes per range partition when the count is derived from the input size.
-SORT_PARTITION_BYTES = 1 << 30
-
-
-def range_partitions(spark: SparkSession, scan: DataFrame) -> int:
-    """Range partitions for a sort: the session's shuffle partitions, raised so that
-    no partition gets more than ``SORT_PARTITION_BYTES`` of input (AQE can merge
-    small range partitions but never splits one). The size is the scan's file
-    size estimate from the optimizer; no job runs."""
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. a non-file source)
-        size = 0
-    return max(base, -(-size // SORT_PARTITION_BYTES))
-
-
 def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop") -> DataFrame:
     """``value, number, text, parse_error, _m`` for every line of ``path``.
 

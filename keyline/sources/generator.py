@@ -179,8 +179,17 @@ def pool_ids(spark: SparkSession, n_rows: int, seed: int, reuse_chance: float) -
     """The first 1,000 fresh ids below ``n_rows`` (a bounded table of at most 1,000 ids)."""
     if reuse_chance <= 0:
         return []
-    ids = spark.range(0, n_rows).where(is_fresh(F.col("id"), seed, reuse_chance))
-    return [r.id for r in ids.orderBy("id").limit(POOL_SIZE).collect()]
+    if reuse_chance >= 1:
+        return [0]  # only row 0 is ever fresh
+    # The 1,000th fresh id is expected near 1000 / (1 - p): search a growing prefix
+    # instead of the whole id range.
+    upto = min(n_rows, int(2 * POOL_SIZE / (1 - reuse_chance)) + 1000)
+    while True:
+        ids = spark.range(0, upto).where(is_fresh(F.col("id"), seed, reuse_chance))
+        found = [r.id for r in ids.orderBy("id").limit(POOL_SIZE).collect()]
+        if len(found) == POOL_SIZE or upto >= n_rows:
+            return found
+        upto = min(n_rows, upto * 4)
 
 
 def _size_rows(spark: SparkSession, lo: int, hi: int, seed: int, reuse_chance: float, pool: list[int]) -> DataFrame:

@@ -148,7 +148,7 @@ def test_sort_tiebreak_splits_a_hot_record(spark, tmp_dir):
 
 
 def test_range_partitions_grow_with_input(spark, tmp_dir, monkeypatch):
-    import keyline.plans.sort_file as S
+    import keyline.operators.sort as S
 
     p = os.path.join(tmp_dir, "big.txt")
     _raw(p, b"1. x\n" * 20000)
