@@ -164,6 +164,10 @@ class LineFormat:
     def parse(self, value: Column) -> ParsedColumns:
         return parse_columns(value)
 
+    def parse_frame(self, df, value: str = "value", keep: list[str] | None = None):
+        """``keep`` columns plus ``number, text, parse_error`` (the staged parse)."""
+        return with_parsed(df, value, keep)
+
     def format(self, number: Column, text: Column) -> Column:
         return format_record(number, text)
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyline.functions.record import format_record, with_parsed
+from keyline.functions.record import KEYED_LINE, LineFormat, format_record
 from keyline.functions.text import is_blank, text_from_key, with_ordinal_key
 from keyline.operators.split_scan import SUMMARY_SCHEMA, summarize_partition
 from keyline.sources.lines import file_order, scan_lines
@@ -47,9 +47,9 @@ def _fmt(rec: Column) -> Column:
     return format_record(rec.n, text_from_key(rec.k, rec.t))
 
 
-def split_summaries(lines: DataFrame, text_order: str = "utf16") -> DataFrame:
+def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: LineFormat = KEYED_LINE) -> DataFrame:
     """Steps 2-3: one row per split of a scanned file (``value, _f, _b, _m``)."""
-    parsed = with_parsed(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
+    parsed = line_format.parse_frame(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
     keyed = with_ordinal_key(parsed, "text", "_k", "_t", text_order)
     blank, err = F.col("_blank"), F.col("parse_error")
     staged = keyed.select(
@@ -93,10 +93,12 @@ def split_summaries(lines: DataFrame, text_order: str = "utf16") -> DataFrame:
     )
 
 
-def split_summaries_arrow(lines: DataFrame, text_order: str = "utf16") -> DataFrame:
+def split_summaries_arrow(
+    lines: DataFrame, text_order: str = "utf16", line_format: LineFormat = KEYED_LINE
+) -> DataFrame:
     """Steps 2-3 without a shuffle: the per-split facts of :func:`split_summaries`
     from one ``mapInArrow`` pass over the scan (see ``keyline.operators.split_scan``)."""
-    parsed = with_parsed(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
+    parsed = line_format.parse_frame(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
     keyed = with_ordinal_key(parsed, "text", "_k", "_t", text_order)
     blank, err = F.col("_blank"), F.col("parse_error")
     ok = ~blank & err.isNull()
@@ -197,6 +199,7 @@ def audit_lines(
     text_order: str = "utf16",
     require_duplicates: bool = True,
     method: str = "arrow",
+    line_format: LineFormat | None = None,
 ) -> DataFrame:
     """AUD-1: audit ``sorted_path`` against ``original_path``; one-row DataFrame.
 
@@ -212,12 +215,16 @@ def audit_lines(
     """
     if method not in ("arrow", "window"):
         raise ValueError("method must be 'arrow' or 'window'")
+    for p in (original_path, sorted_path):
+        if p is None or (isinstance(p, str) and not p.strip()):
+            raise ValueError("file path cannot be empty")
+    fmt = line_format or LineFormat(text_order)
     original = scan_lines(spark, original_path, encoding, with_split=False).agg(
         F.count(F.lit(1)).alias("original_lines")
     )
     sorted_scan = scan_lines(spark, sorted_path, encoding, with_split=True)
     summaries = split_summaries_arrow if method == "arrow" else split_summaries
-    st = stitch(summaries(sorted_scan, text_order))
+    st = stitch(summaries(sorted_scan, fmt.text_order, fmt))
     # Two one-row results side by side, without a join: union then one aggregate.
     both = st.select(
         "sorted_lines_total", "v", "first_duplicate_line", F.lit(None).cast("bigint").alias("original_lines")

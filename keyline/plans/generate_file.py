@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from keyline.plans.sort_file import validate_paths
 from keyline.sources.generator import SIZE_UNIT, generate_lines, validate
 from keyline.sources.sinks import write_lines
 
@@ -20,6 +21,7 @@ def generate_file(
     """Write generated lines totalling at least ``size_mb * 1,000,000`` characters
     (newlines included) to ``output_path`` as ordered part files; return counts."""
     validate(size_mb, reuse_chance)
+    validate_paths(output_path)
     started = time.time()
     lines = generate_lines(spark, size_mb, seed, reuse_chance)
     write_lines(lines, output_path, "value")

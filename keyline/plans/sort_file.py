@@ -15,7 +15,7 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from keyline.functions.record import format_record, with_parsed
+from keyline.functions.record import KEYED_LINE, LineFormat
 from keyline.functions.text import text_from_key, with_ordinal_key
 from keyline.operators.sort import range_partitions
 from keyline.sources.lines import scan_lines
@@ -23,7 +23,17 @@ from keyline.sources.sinks import check_not_same, write_lines, write_report
 
 MODES = ("drop", "strict")
 
-def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop") -> DataFrame:
+def validate_paths(*paths) -> None:
+    """VAL-1: paths must be given and non-blank (Spark reports missing inputs)."""
+    for p in paths:
+        items = [p] if isinstance(p, str) or p is None else list(p)
+        if not items or any(i is None or not str(i).strip() for i in items):
+            raise ValueError("file path cannot be empty")
+
+
+def parsed_scan(
+    spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop", line_format: LineFormat = KEYED_LINE
+) -> DataFrame:
     """``value, number, text, parse_error, _m`` for every line of ``path``.
 
     ``mode="strict"`` (FLT-2) fails the job on the first malformed line with its
@@ -32,7 +42,7 @@ def parsed_scan(spark: SparkSession, path, encoding: str = "utf-8", mode: str =
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     scan = scan_lines(spark, path, encoding, with_split="id")
-    parsed = with_parsed(scan, keep=["value", "_m"])
+    parsed = line_format.parse_frame(scan, keep=["value", "_m"])
     if mode == "strict":
         err = F.col("parse_error")
         strict = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))
@@ -48,6 +58,7 @@ def sorted_records(
     text_order: str = "utf16",
     num_partitions: int | None = None,
     observation: Observation | None = None,
+    line_format: LineFormat | None = None,
 ) -> DataFrame:
     """Records of ``path`` in global record order: ``number, text``.
 
@@ -57,12 +68,13 @@ def sorted_records(
     (metrics taken before a range exchange would also count its sampling pass).
     Without one, they are dropped before the exchange.
     """
-    parsed = parsed_scan(spark, path, encoding, mode)
+    fmt = line_format or LineFormat(text_order)
+    parsed = parsed_scan(spark, path, encoding, mode, fmt)
     parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False))
     rows = parsed.select("number", "text", "parse_error", "_m")
     if observation is None:
         rows = rows.filter(F.col("parse_error").isNull())
-    keyed = with_ordinal_key(rows, "text", "_k", "_t", text_order)
+    keyed = with_ordinal_key(rows, "text", "_k", "_t", fmt.text_order)
     staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
     keys = ["_k", "number", "_u"]
     ordered = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
@@ -85,6 +97,7 @@ def sort_file(
     num_partitions: int | None = None,
     single_file: bool = False,
     report_path: str | None = "auto",
+    line_format: LineFormat | None = None,
 ) -> dict:
     """SRT-1 end to end: write the sorted canonical lines of ``input_path`` to
     ``output_path`` (a folder of part files in order) and return the run report.
@@ -92,11 +105,13 @@ def sort_file(
     ``report_path="auto"`` writes the report as JSON to ``<output>.report``;
     ``None`` writes none.
     """
+    validate_paths(input_path, output_path)
     check_not_same(input_path, output_path)
+    fmt = line_format or LineFormat(text_order)
     started = time.time()
     obs = Observation("keyline_sort")
-    recs = sorted_records(spark, input_path, encoding, mode, text_order, num_partitions, obs)
-    write_lines(recs, output_path, format_record(F.col("number"), F.col("text")), encoding, single_file)
+    recs = sorted_records(spark, input_path, encoding, mode, fmt.text_order, num_partitions, obs, fmt)
+    write_lines(recs, output_path, fmt.format(F.col("number"), F.col("text")), encoding, single_file)
     metrics = obs.get
     report = {
         "status": "ok",
