@@ -2,9 +2,8 @@
 
 Single-byte and UTF-8 files go through Spark's text source, which splits large
 files into blocks and breaks lines on LF, CR and CRLF. UTF-16/32 files cannot be
-split on bytes safely (a break byte pair may straddle two code units), so they
-are read whole per file with ``binaryFile`` and decoded; see the README for that
-limit.
+split on bytes (a break byte pair may straddle two code units); they go through
+``keyline.sources.wide``, which splits them on code-unit boundaries instead.
 
 Every scan can carry its split coordinates: ``_f`` (file path), ``_b`` (byte
 offset of the split) and ``_m`` (a per-task increasing id taken in the scan's own
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from keyline.functions.encoding import WIDE, decode_bytes, resolve_encoding
 from keyline.session import BROADCAST_ROW_LIMIT
+from keyline.sources.wide import scan_wide
 
 SPLIT_COLS = ["_f", "_b"]
 _PART_NO = "^part-([0-9]+)"
@@ -75,26 +75,7 @@ def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: b
 
 
 def _scan_wide(spark: SparkSession, path, charset: str, with_split: bool) -> DataFrame:
-    files = spark.read.format("binaryFile").load(_paths(path)).select("path", "content")
-    body = F.col("content")
-    bom = {
-        "UTF-16LE": b"\xff\xfe",
-        "UTF-16BE": b"\xfe\xff",
-        "UTF-32LE": b"\xff\xfe\x00\x00",
-        "UTF-32BE": b"\x00\x00\xfe\xff",
-    }[charset]
-    body = F.when(
-        F.substring(body, 1, len(bom)) == F.lit(bom),
-        F.substring(body, len(bom) + 1, 2_147_483_647),
-    ).otherwise(body)
-    text = decode_bytes(body, charset)
-    parts = F.split(text, LINE_BREAKS, -1)
-    # A trailing break does not start another line; an empty file has no line.
-    n = F.size(parts) - F.when(F.element_at(parts, -1) == F.lit(""), 1).otherwise(0)
-    lines = files.select(
-        F.col("path").alias("_f"),
-        F.posexplode(F.slice(parts, 1, F.greatest(n, F.lit(0)))).alias("_m", "value"),
-    ).select("value", "_f", F.lit(0).cast("bigint").alias("_b"), F.col("_m").cast("bigint").alias("_m"))
+    lines = scan_wide(spark, _paths(path), charset)
     return lines if with_split else lines.select("value")
 
 
