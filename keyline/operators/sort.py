@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyline.functions.text import text_from_key, with_ordinal_key
-from keyline.session import reliable_checkpoint
+from keyline.session import conf_bytes, reliable_checkpoint
 from keyline.sources.lines import join_small
 
 
@@ -35,6 +35,16 @@ def range_partitions(spark, df: DataFrame) -> int:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable
         size = 0
+    if size <= 0 or size >= 1 << 56:
+        # No estimate: a Python data source reports the default (Long.MaxValue),
+        # which projections scale down but keep far above any real input (64 PiB
+        # here). Bound the input by its splits, each at most
+        # spark.sql.files.maxPartitionBytes. Planning only, no job.
+        split = conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+        try:
+            size = df.rdd.getNumPartitions() * split
+        except Exception:  # noqa: BLE001
+            size = 0
     return max(base, -(-size // SORT_PARTITION_BYTES))
 
 

@@ -34,6 +34,19 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
+    """A byte-size setting (``134217728``, ``128m``, ``1g``) as an integer."""
+    raw = spark.conf.get(key, None)
+    if raw is None:
+        return default
+    try:
+        return int(raw)
+    except ValueError:
+        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+        s = raw.strip().lower().rstrip("b")
+        return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else default
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

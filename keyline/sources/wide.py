@@ -22,6 +22,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from keyline.session import conf_bytes
+
 FORMAT_NAME = "keyline_wide_lines"
 SCHEMA = "value string, _f string, _b bigint, _m bigint"
 
@@ -193,18 +195,6 @@ class WideLineSource(DataSource):
         return _Reader(self.options)
 
 
-def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
-    raw = spark.conf.get(key, None)
-    if raw is None:
-        return default
-    try:
-        return int(raw)
-    except ValueError:
-        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-        s = raw.strip().lower().rstrip("b")
-        return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else default
-
-
 def scan_wide(spark: SparkSession, paths: list[str], charset: str, window_bytes: int = WINDOW_BYTES) -> DataFrame:
     """``value, _f, _b, _m`` for every line of UTF-16/32 files, split like the text source.
 
@@ -213,12 +203,10 @@ def scan_wide(spark: SparkSession, paths: list[str], charset: str, window_bytes:
     """
     if charset not in _UNITS:
         raise ValueError(f"not a wide charset: {charset}")
-    listing = (
-        spark.read.format("binaryFile").load(paths).select("path", "length").orderBy("path").collect()
-    )
-    split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+    listing = sorted(spark.read.format("binaryFile").load(paths).select("path", "length").collect())
+    split = conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
     split = max(4, (split // 4) * 4)
-    open_cost = _bytes_conf(spark, "spark.sql.files.openCostInBytes", 4 << 20)
+    open_cost = conf_bytes(spark, "spark.sql.files.openCostInBytes", 4 << 20)
     spark.dataSource.register(WideLineSource)
     return (
         spark.read.format(FORMAT_NAME)

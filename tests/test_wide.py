@@ -71,3 +71,35 @@ def test_spark_tiny_splits(spark, tmp_dir, charset):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [r.value for r in sorted(rows, key=lambda r: r.line_no)] == want
     assert sorted(r.line_no for r in rows) == list(range(1, len(want) + 1))
+
+
+@pytest.mark.parametrize("charset", ["UTF-16LE", "UTF-32BE"])
+def test_sort_and_audit_wide_input(spark, tmp_dir, charset):
+    from keyline.operators.audit import audit_lines
+    from keyline.plans.sort_file import sort_file
+
+    rng = random.Random(3)
+    texts = ["b", "a", "ੁĀ", "\U0001f600 x", "", "a"]
+    lines = [f"{rng.randint(1, 99)}. {rng.choice(texts)}" for _ in range(400)]
+    src = os.path.join(tmp_dir, "in-" + charset)
+    os.makedirs(src)
+    _, codec, bom = _UNITS[charset]
+    with open(os.path.join(src, "part-00000.txt"), "wb") as f:
+        f.write(bom + "\r\n".join(lines).encode(codec))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        out = os.path.join(tmp_dir, "out-" + charset)
+        report = sort_file(spark, src, out, encoding=charset, report_path=None)
+        verdict = audit_lines(spark, src, out, encoding=charset).first()
+        got = [r.value for r in sorted(read_numbered_lines(spark, out, charset).collect(), key=lambda r: r.line_no)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+    def key(line):
+        n, t = line.split(". ", 1)
+        return (t.encode("utf-16-be", "surrogatepass"), int(n))
+
+    assert report["rows_out"] == 400
+    assert got == sorted(lines, key=key)
+    assert verdict.status == "ok" and verdict.original_lines == 400 and verdict.sorted_lines == 400
