@@ -57,6 +57,9 @@ def _open(path: str):
         while local.startswith("//"):
             local = local[1:]
         return fs.LocalFileSystem().open_input_file(local)
+    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 connector names
+        if path.startswith(hadoop_scheme):
+            path = "s3://" + path[len(hadoop_scheme):]
     filesystem, inner = fs.FileSystem.from_uri(path)
     return filesystem.open_input_file(inner)
 
