@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from keyline.functions.record import format_record, with_parsed
+from keyline.session import scratch_path
 
 
 def stream_lines(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -35,3 +37,32 @@ def split_stream(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = records.where(F.col("parse_error").isNull()).select("number", "text")
     bad = records.where(F.col("parse_error").isNotNull()).select("value", "parse_error")
     return good, bad
+
+
+def write_line_stream(
+    lines: DataFrame,
+    output_path: str,
+    checkpoint_location: str | None = None,
+    column: str = "line",
+    trigger_once: bool = False,
+) -> StreamingQuery:
+    """Append one text line per row to ``output_path`` (file sink, exactly once).
+
+    The query's progress is kept in ``checkpoint_location``; by default a fresh
+    folder under the shared ``spark.checkpoint.dir``, never a machine-local one,
+    so the query restarts after the loss of the driver or an executor. Pass the
+    same location again to resume.
+    """
+    if not output_path or not str(output_path).strip():
+        raise ValueError("file path cannot be empty")
+    location = checkpoint_location or scratch_path(lines.sparkSession, "stream-lines")
+    writer = (
+        lines.select(F.col(column).alias("value"))
+        .writeStream.format("text")
+        .option("path", output_path)
+        .option("checkpointLocation", location)
+        .outputMode("append")
+    )
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
