@@ -157,3 +157,21 @@ def test_range_partitions_grow_with_input(spark, tmp_dir, monkeypatch):
     assert S.range_partitions(spark, scan) == base
     monkeypatch.setattr(S, "SORT_PARTITION_BYTES", 1000)
     assert S.range_partitions(spark, scan) == 100
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf16"])
+def test_numbering_per_file(spark, tmp_dir, encoding):
+    folder = os.path.join(tmp_dir, "per-file-" + encoding)
+    codec = "utf-8" if encoding == "utf-8" else "utf-16-le"
+    sizes = {"part-00000.txt": 30, "part-00001.txt": 7, "part-00002.txt": 55}
+    for name, n in sizes.items():
+        _raw(os.path.join(folder, name), "".join(f"{name[5:10]}-{j}\n" for j in range(n)).encode(codec))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        rows = read_numbered_lines(spark, folder, encoding, per_file=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for name, n in sizes.items():
+        mine = sorted((r.line_no, r.value) for r in rows if r.file_path.endswith(name))
+        assert mine == [(j + 1, f"{name[5:10]}-{j}") for j in range(n)]
