@@ -37,7 +37,7 @@ _UNITS = {
 
 # Bytes decoded per step inside a split (bounds a task's Python memory).
 WINDOW_BYTES = 8 << 20
-# Rows per Arrow batch handed back to Spark.
+# Most rows per Arrow batch handed back to Spark.
 BATCH_ROWS = 65_536
 _LF, _CR = 10, 13
 
@@ -64,13 +64,16 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
-def window_lines(f, charset: str, start: int, end: int, length: int) -> list[str]:
-    """Lines whose first byte lies in ``[start, end)`` of an open file.
+def window_lines(f, charset: str, start: int, end: int, length: int):
+    """Lines whose first byte lies in ``[start, end)`` of an open file, as an
+    Arrow string array (None when there are none).
 
     ``start`` and ``end`` are multiples of the code unit. The caller's windows
     partition the file, so every line is returned by exactly one window.
     """
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     dtype, codec, bom = _UNITS[charset]
     u = len(bom)
@@ -91,7 +94,7 @@ def window_lines(f, charset: str, start: int, end: int, length: int) -> list[str
     keep = (start_bytes >= start) & (start_bytes < end) & (start_bytes < length)
     start_bytes = start_bytes[keep]
     if len(start_bytes) == 0:
-        return []
+        return None
     first_start = int(start_bytes[0])
     last_start = int(start_bytes[-1])
     # End of the last line: the next break at or after it, reading on if needed.
@@ -114,8 +117,9 @@ def window_lines(f, charset: str, start: int, end: int, length: int) -> list[str
             tail.append(more)
             pos += len(more)
         body = b"".join(tail)
-    text = body.decode(codec, errors="replace")
-    lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    # One decode per window; Arrow splits the text in C++ (no Python string per line).
+    text = body.decode(codec, errors="replace").replace("\r\n", "\n").replace("\r", "\n")
+    lines = pc.split_pattern(pa.array([text], pa.large_string()), pattern="\n").flatten().cast(pa.string())
     if len(lines) != len(start_bytes):  # defensive: the two break scans must agree
         raise RuntimeError(f"line split mismatch in window [{start}, {end}): {len(lines)} != {len(start_bytes)}")
     return lines
@@ -148,36 +152,35 @@ class _Reader(DataSourceReader):
         return parts or [_Part(0, [])]
 
     def read(self, partition):
-        import pyarrow as pa
-
         u = len(_UNITS[self.charset][2])
         window = max(u, (self.window // u) * u)
         next_id = partition.index << 33
         for path, s, e, length in partition.splits:
             f = _open(path)
             try:
-                pending: list[str] = []
                 for w in range(s, e, window):
-                    pending.extend(window_lines(f, self.charset, w, min(w + window, e), length))
-                    while len(pending) >= BATCH_ROWS:
-                        chunk, pending = pending[:BATCH_ROWS], pending[BATCH_ROWS:]
-                        yield _batch(pa, chunk, path, s, next_id)
+                    lines = window_lines(f, self.charset, w, min(w + window, e), length)
+                    if lines is None:
+                        continue
+                    for off in range(0, len(lines), BATCH_ROWS):
+                        chunk = lines.slice(off, BATCH_ROWS)
+                        yield _batch(chunk, path, s, next_id)
                         next_id += len(chunk)
-                if pending:
-                    yield _batch(pa, pending, path, s, next_id)
-                    next_id += len(pending)
             finally:
                 f.close()
 
 
-def _batch(pa, lines, path, split_start, first_id):
+def _batch(lines, path, split_start, first_id):
+    import numpy as np
+    import pyarrow as pa
+
     n = len(lines)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(lines, pa.string()),
-            pa.array([path] * n, pa.string()),
-            pa.array([split_start] * n, pa.int64()),
-            pa.array(range(first_id, first_id + n), pa.int64()),
+            lines,
+            pa.repeat(pa.scalar(path, pa.string()), n),
+            pa.repeat(pa.scalar(split_start, pa.int64()), n),
+            pa.array(np.arange(first_id, first_id + n, dtype=np.int64)),
         ],
         names=["value", "_f", "_b", "_m"],
     )
