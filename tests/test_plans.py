@@ -58,3 +58,17 @@ def test_path_validation(spark, line_file):
         sort_file(spark, "", "/tmp/x")
     with pytest.raises(ValueError):
         audit_lines(spark, line_file, "")
+
+
+def test_generate_sort_audit_end_to_end(spark, tmp_dir):
+    """The reference's manual check as a test: generator -> sorter -> auditor."""
+    from keyline.plans.generate_file import generate_file
+    from keyline.plans.sort_file import sort_file
+
+    src, out = os.path.join(tmp_dir, "gen"), os.path.join(tmp_dir, "gen.sorted")
+    generate_file(spark, src, 1, reuse_chance=0.2, seed=5)
+    report = sort_file(spark, src, out, num_partitions=6, report_path=None)
+    verdict = audit_lines(spark, src, out).first()
+    assert report["rows_rejected"] == 0 and report["rows_out"] == verdict.original_lines
+    assert verdict.status == "ok" and verdict.is_sorted and verdict.found_duplicate
+    assert verdict.sorted_lines == verdict.original_lines
