@@ -55,8 +55,7 @@ def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: b
     """
     charset = resolve_encoding(encoding)
     if charset in WIDE:
-        out = _scan_wide(spark, path, charset, bool(with_split))
-        return out.drop("_f", "_b") if with_split == "id" else out
+        return _scan_wide(spark, path, charset, with_split)
     raw = spark.read.format("text").load(_paths(path))
     if with_split == "id":
         raw = raw.select("value", F.monotonically_increasing_id().alias("_m"))
@@ -74,9 +73,14 @@ def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: b
     return raw.withColumn("value", value)
 
 
-def _scan_wide(spark: SparkSession, path, charset: str, with_split: bool) -> DataFrame:
-    lines = scan_wide(spark, _paths(path), charset)
-    return lines if with_split else lines.select("value")
+def _scan_wide(spark: SparkSession, path, charset: str, with_split: bool | str) -> DataFrame:
+    if with_split == "id":
+        columns = ("value", "_m")
+    elif with_split:
+        columns = ("value", "_f", "_b", "_m")
+    else:
+        columns = ("value",)
+    return scan_wide(spark, _paths(path), charset, columns=columns)
 
 
 def read_lines(spark: SparkSession, path, encoding: str = "utf-8") -> DataFrame:

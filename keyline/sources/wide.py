@@ -25,7 +25,15 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from keyline.session import conf_bytes
 
 FORMAT_NAME = "keyline_wide_lines"
-SCHEMA = "value string, _f string, _b bigint, _m bigint"
+_TYPES = {"value": "string", "_f": "string", "_b": "bigint", "_m": "bigint"}
+
+
+def _columns(options) -> list[str]:
+    """Requested columns (option ``columns``); Spark does not prune Python sources."""
+    cols = [c.strip() for c in options.get("columns", "value,_f,_b,_m").split(",") if c.strip()]
+    if not cols or cols[0] != "value" or any(c not in _TYPES for c in cols):
+        raise ValueError(f"columns must start with value and be among {list(_TYPES)}: {cols}")
+    return cols
 
 # Numpy dtype, Python codec and byte-order mark of each charset.
 _UNITS = {
@@ -132,6 +140,7 @@ class _Reader(DataSourceReader):
         self.split_bytes = int(options["split_bytes"])
         self.open_cost = int(options.get("open_cost", "4194304"))
         self.window = int(options.get("window_bytes", str(WINDOW_BYTES)))
+        self.columns = _columns(options)
 
     def partitions(self):
         """Code-unit aligned splits, small ones packed up to ``split_bytes`` per task."""
@@ -164,45 +173,51 @@ class _Reader(DataSourceReader):
                         continue
                     for off in range(0, len(lines), BATCH_ROWS):
                         chunk = lines.slice(off, BATCH_ROWS)
-                        yield _batch(chunk, path, s, next_id)
+                        yield _batch(chunk, path, s, next_id, self.columns)
                         next_id += len(chunk)
             finally:
                 f.close()
 
 
-def _batch(lines, path, split_start, first_id):
+def _batch(lines, path, split_start, first_id, columns):
     import numpy as np
     import pyarrow as pa
 
     n = len(lines)
-    return pa.RecordBatch.from_arrays(
-        [
-            lines,
-            pa.repeat(pa.scalar(path, pa.string()), n),
-            pa.repeat(pa.scalar(split_start, pa.int64()), n),
-            pa.array(np.arange(first_id, first_id + n, dtype=np.int64)),
-        ],
-        names=["value", "_f", "_b", "_m"],
-    )
+    make = {
+        "value": lambda: lines,
+        "_f": lambda: pa.repeat(pa.scalar(path, pa.string()), n),
+        "_b": lambda: pa.repeat(pa.scalar(split_start, pa.int64()), n),
+        "_m": lambda: pa.array(np.arange(first_id, first_id + n, dtype=np.int64)),
+    }
+    return pa.RecordBatch.from_arrays([make[c]() for c in columns], names=list(columns))
 
 
 class WideLineSource(DataSource):
     """Options: ``charset`` (a WIDE charset), ``files`` (JSON ``[[path, length], ...]``
-    in read order), ``split_bytes`` (a multiple of 4), ``open_cost``."""
+    in read order), ``split_bytes`` (a multiple of 4), ``open_cost``, ``columns``."""
 
     @classmethod
     def name(cls):
         return FORMAT_NAME
 
     def schema(self):
-        return SCHEMA
+        return ", ".join(f"{c} {_TYPES[c]}" for c in _columns(self.options))
 
     def reader(self, schema):
         return _Reader(self.options)
 
 
-def scan_wide(spark: SparkSession, paths: list[str], charset: str, window_bytes: int = WINDOW_BYTES) -> DataFrame:
-    """``value, _f, _b, _m`` for every line of UTF-16/32 files, split like the text source.
+def scan_wide(
+    spark: SparkSession,
+    paths: list[str],
+    charset: str,
+    window_bytes: int = WINDOW_BYTES,
+    columns: tuple[str, ...] = ("value", "_f", "_b", "_m"),
+) -> DataFrame:
+    """``columns`` (of ``value, _f, _b, _m``) for every line of UTF-16/32 files,
+    split like the text source. Ask only for what is used: a Python source is
+    not pruned by Spark, and ``_f`` repeats the path on every row.
 
     Only the file listing (path and length, one row per file) reaches the driver;
     ``binaryFile`` lists the files without reading their content.
@@ -221,5 +236,6 @@ def scan_wide(spark: SparkSession, paths: list[str], charset: str, window_bytes:
         .option("split_bytes", str(split))
         .option("open_cost", str(open_cost))
         .option("window_bytes", str(window_bytes))
+        .option("columns", ",".join(columns))
         .load()
     )
