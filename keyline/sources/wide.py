@@ -136,7 +136,9 @@ def window_lines(f, charset: str, start: int, end: int, length: int):
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.charset = options["charset"]
-        self.files = json.loads(options["files"])
+        # Kept as text: tasks get a pickled copy of the reader, and only
+        # partitions() (planning, on the driver side) needs the parsed listing.
+        self.files_json = options["files"]
         self.split_bytes = int(options["split_bytes"])
         self.open_cost = int(options.get("open_cost", "4194304"))
         self.window = int(options.get("window_bytes", str(WINDOW_BYTES)))
@@ -145,7 +147,7 @@ class _Reader(DataSourceReader):
     def partitions(self):
         """Code-unit aligned splits, small ones packed up to ``split_bytes`` per task."""
         parts, current, size = [], [], 0
-        for path, length in self.files:
+        for path, length in json.loads(self.files_json):
             if length <= 0:
                 continue
             for s in range(0, length, self.split_bytes):
