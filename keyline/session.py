@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in every executor's Python workers, once a context
+    (the driver's own import path does not reach executors on other hosts)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_keyline_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="keyline-package-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "keyline_package"), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    sc.addPyFile(archive)
+    sc._keyline_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
