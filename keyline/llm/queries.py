@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import exact_dedup, mixing, token_counts
+from keyline.llm import exact_dedup, language_id, mixing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": language_id.op1_language_id,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
