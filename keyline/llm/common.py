@@ -4,7 +4,7 @@ the shared checkpoint folder, size-checked broadcasts, Arrow batch access, folds
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -70,13 +70,14 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def runs(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive index ranges of at most ``limit`` bytes (one text at least)."""
+def runs(texts: Sequence[str | bytes | None], limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive index ranges of at most ``limit`` characters or bytes (one text at least)."""
     start, size = 0, 0
     for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
+        n = len(t or "")
+        if i > start and size + n > limit:
             yield start, i
             start, size = i, 0
-        size += len(t)
+        size += n
     if start < len(texts):
         yield start, len(texts)
