@@ -7,10 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import exact_dedup, language_id, mixing, token_counts, toxicity
+from keyline.llm import exact_dedup, jaccard_join, language_id, mixing, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
