@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import exact_dedup, jaccard_join, language_id, mixing, token_counts, toxicity
+from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_decontamination": decontamination.op8_decontamination,
 }
 
 ORACLES: dict[str, str] = {

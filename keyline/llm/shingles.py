@@ -18,6 +18,8 @@ _ODD = 0xD6E8FEB86659FD93
 _M64 = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# Separators of plain words: every ASCII byte but letters and digits.
+PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,18 +59,19 @@ def _pieces(text: bytes) -> list[bytes]:
     return out
 
 
-def _hash_piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _hash_piece(data: bytes, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and start places of the words of at most ``PIECE`` bytes."""
     flat = np.frombuffer(data, np.uint8)
-    inside = ~_SPACE[flat]
+    inside = ~separators[flat]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
     start, end = edge[::2], edge[1::2]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[flat] * _UP[: len(flat)])])
     return mix((sums[end] - sums[start]) * _DOWN[start] + (end - start).astype(np.uint64)), start
 
 
-def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
-    """Word hashes of each text (already lower-cased), in order."""
+def word_hashes(texts: list[bytes], separators: np.ndarray = _SPACE) -> list[np.ndarray]:
+    """Word hashes of each text (already lower-cased), in order. ``separators`` tells the
+    bytes between words, white space among them."""
     out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
     held: list[int] = []
     size = 0
@@ -77,7 +80,7 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
         if not held:
             return
         joined = b" ".join(texts[i] for i in held)
-        hashes, start = _hash_piece(joined)
+        hashes, start = _hash_piece(joined, separators)
         first = np.cumsum([0, *[len(texts[i]) + 1 for i in held]])
         cuts = np.searchsorted(start, first)
         for k, i in enumerate(held):
@@ -85,7 +88,7 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
 
     for i, text in enumerate(texts):
         if len(text) > PIECE:
-            parts = [_hash_piece(p)[0] if len(p) <= PIECE else np.array([xxhash.xxh3_64_intdigest(p)], np.uint64) for p in _pieces(text)]
+            parts = [_hash_piece(p, separators)[0] if len(p) <= PIECE else np.array([xxhash.xxh3_64_intdigest(p)], np.uint64) for p in _pieces(text)]
             out[i] = np.concatenate(parts)
             continue
         if size + len(text) + 1 > PIECE:
