@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, token_counts, toxicity
+from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, pii, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -17,9 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_decontamination": decontamination.op8_decontamination,
+    "op9_warc": warc.op9_warc,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mix_sources": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
