@@ -7,12 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, pii, token_counts, toxicity, warc
+from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, mixing, pii, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_license_scan": license_scan.op4_license_scan,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_mix_sources": mixing.ORACLE,
+    "op4_license_scan": license_scan.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
 }
