@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyline.llm.common import checked_broadcast, extended, fold, free_name, runs, table
+from keyline.llm.common import checked_broadcast, extended, fold, free_name, materialize, runs, table
 
 TRAIN_DOCS = 20_000  # labelled rows a class
 ORDINARY_BYTES = 64 << 10  # of the dictionaries' common part
@@ -163,18 +163,22 @@ def _feature_rows(model: Broadcast):
     return run
 
 
-def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionModel:
-    """Dictionaries and calibration from ``labelled``. Rows with a null label, id or text
-    teach nothing; with one class only (or none) every score is that class's share."""
-    rows = labelled.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), (F.col(f"`{label_col}`") > 0).cast("int").alias("toxic")
-    ).filter(F.col("toxic").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    spark = labelled.sparkSession
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionModel:
+    """Dictionaries and calibration from ``docs`` and their ``labels``. Rows with a null
+    label, id or text teach nothing; with one class only (or none) every score is that
+    class's share. The sample is drawn from the labels, so that only its ids (bounded by
+    ``TRAIN_DOCS``) meet the documents, which are not shuffled."""
+    marked = labels.select(F.col(f"`{id_col}`").alias("id"), (F.col(f"`{label_col}`") > 0).cast("int").alias("toxic"))
+    marked = marked.filter(F.col("toxic").isNotNull() & F.col("id").isNotNull())
+    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    spark = docs.sparkSession
     rate = {k: min(1.0, TRAIN_DOCS / max(1, sizes.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64(F.lit("toxicity sample"), "id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(draw < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])).select("text", "toxic")
-    n = {k: max(1.0, sizes.get(k, 0) * rate[k]) for k in (0, 1)}
+    drawn = marked.filter(draw < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
+    sample = materialize(rows.join(F.broadcast(drawn), "id").select("text", "toxic"), "toxicity-sample")
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n = {k: max(1.0, float(sizes.get(k, 0))) for k in (0, 1)}
 
     counts = sample.mapInArrow(_distinct_windows, "w string, ordinary long, toxic long")
     counts = counts.groupBy("w").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
@@ -226,8 +230,8 @@ def teaches(id_col: Column) -> Column:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").filter(teaches(F.col("doc_id"))).select("doc_id", "toxic")
-    model = train(docs.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").filter(teaches(F.col("doc_id")))
+    model = train(docs, labels)
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
