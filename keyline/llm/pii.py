@@ -171,5 +171,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.transform("spans", lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    count_of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count_of(k).alias(f"n_{KINDS[k]}") for k in range(4)]
     return found.select("doc_id", *counts, "base_sha256", F.array_join(text, ",").alias("spans"))
