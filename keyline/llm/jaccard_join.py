@@ -13,13 +13,16 @@ document past this unless they are most of it.
 the c - ceil(3n/4) + 1 rarest. Sets that share one form a cell.
 
 *Pivots.* Each cell has a pivot. Every set goes to the Voronoi region of the pivot that
-it shares most cells with, and d to it is taken exactly. Cells whose members are then in
-one component are done, as only links between components matter. A cell that is not
-done gets d from all members to its pivot, and is dealt into rings one threshold wide.
-By the triangle inequality partners are in the same or adjacent rings, so a window is two
-adjacent rings; members of a ring are replicated to the two windows that hold it. The
-pivot leaves and the windows are cells of the next round, with pivots of their own. Cells
-of at most ``LEAF`` members compare what is not connected yet, pair by pair.
+it shares most cells with, and d to it is taken exactly. Only links between components
+matter from there on, so a cell within one component is done.
+
+*Regions.* Cells that are not done, joined where they share a set, are regions. In a
+region only sets outside its largest component need comparing: each in turn is a pivot,
+d from it to the others is exact, and the distances to the first pivots leave out, by the
+triangle inequality, all but a window of sets at about the same distances. A region of at
+most ``REGION_SHINGLES`` is one task. A larger one is dealt into blocks, and as many
+pivots as fit in half a task are replicated to every block; they are then decided against
+the whole region and leave it, and what is left is a region of the next round.
 
 Every link is decided by the exact sizes of intersection and union of whole sets
 (of 64-bit shingle hashes; class ids are 64-bit hashes of whole sets too).
@@ -39,7 +42,8 @@ from keyline.llm.common import as_bytes, materialize, runs, table
 from keyline.llm.components import connected_components
 from keyline.llm.shingles import shingle_sets
 
-LEAF = 16
+REGION_SHINGLES = 1 << 20  # shingles of one task's region
+REFERENCES = 4  # pivots of a region whose distances are kept for the triangle inequality
 SLICE = 1 << 20  # bytes of text hashed at a time
 ROWS = 50_000  # rows of a posting batch
 
@@ -206,45 +210,97 @@ def _live(cells: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(mixed, "cell").select("cell", "n", "cls", "component", "size")
 
 
-def _pivoted(cells: DataFrame) -> DataFrame:
-    """``cell, n, x, p, pn``: each member with its cell's pivot, the pivot itself left out."""
+def _nearest_pivots(cells: DataFrame) -> DataFrame:
+    """``x, p``: for each set the pivot, of its cells' pivots of compatible size, that most
+    of its cells have."""
     pivots = cells.groupBy("cell").agg(F.min(F.struct("cls", "n")).alias("pivot"))
     with_pivot = cells.join(pivots, "cell").filter(F.col("cls") != F.col("pivot.cls"))
-    return with_pivot.select("cell", "n", F.col("cls").alias("x"), F.col("pivot.cls").alias("p"), F.col("pivot.n").alias("pn"))
+    with_pivot = with_pivot.select("n", F.col("cls").alias("x"), F.col("pivot.cls").alias("p"), F.col("pivot.n").alias("pn"))
+    compatible = (4 * F.col("n") >= 3 * F.col("pn")) & (4 * F.col("pn") >= 3 * F.col("n"))
+    votes = with_pivot.filter(compatible).groupBy("x", "p").agg(F.count("*").alias("votes"))
+    return votes.groupBy("x").agg(F.max(F.struct("votes", "p")).alias("best")).select("x", F.col("best.p").alias("p"))
+
+
+def region_links(ids: np.ndarray, sets: list[np.ndarray], component: np.ndarray, query: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join components, between the sets marked ``query`` and all others.
+    Enough of them to connect what the exact comparison of every such pair would connect."""
+    n = np.array([len(s) for s in sets])
+    start = np.cumsum(n) - n
+    flat = np.concatenate(sets)
+    _, label = np.unique(component, return_inverse=True)
+    away: list[np.ndarray] = []  # distances of all sets to the first pivots
+    links = []
+    for p in np.flatnonzero(query):
+        reference = len(away) < REFERENCES
+        open_ = np.ones(len(n), bool) if reference else label != label[p]
+        if not reference:
+            open_ &= (4 * n >= 3 * n[p]) & (4 * n[p] >= 3 * n)
+            for d in away:
+                open_ &= np.abs(d - d[p]) <= 0.25 + 1e-9
+        some = np.flatnonzero(open_)
+        if not len(some):
+            continue
+        if len(some) == len(n):
+            tokens, first = flat, start
+        else:
+            tokens = np.concatenate([sets[i] for i in some])
+            first = np.cumsum(n[some]) - n[some]
+        pivot = sets[p]
+        at = np.minimum(np.searchsorted(pivot, tokens), len(pivot) - 1)
+        shared = np.add.reduceat((pivot[at] == tokens).astype(np.int64), first)
+        joint = n[some] + n[p] - shared
+        if reference:
+            away.append(1 - shared / joint)
+        for x in some[100 * shared >= 75 * joint]:
+            if label[x] != label[p]:
+                links.append((int(ids[x]), int(ids[p])))
+                label[label == label[x]] = label[p]
+    return links
+
+
+def _region(group: pa.Table) -> pa.Table:
+    group = group.sort_by("cls").combine_chunks()
+    tokens = group.column("tokens").combine_chunks()
+    offsets = tokens.offsets.to_numpy()
+    values = tokens.values.to_numpy()
+    sets = [np.sort(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    ids, component = (group.column(c).to_numpy() for c in ("cls", "component"))
+    links = region_links(ids, sets, component, group.column("query").to_numpy(zero_copy_only=False))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
 def _class_components(sets: DataFrame, cells: DataFrame) -> DataFrame:
     """``cls, component`` of every class that links with another."""
-    compatible = (4 * F.col("n") >= 3 * F.col("pn")) & (4 * F.col("pn") >= 3 * F.col("n"))
-    votes = _pivoted(cells).filter(compatible).groupBy("x", "p").agg(F.count("*").alias("votes"))
-    nearest = votes.groupBy("x").agg(F.max(F.struct("votes", "p")).alias("best")).select("x", F.col("best.p").alias("p"))
-    links = _distances(nearest, sets).filter(LINKED).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    links = _distances(_nearest_pivots(cells), sets).filter(LINKED).select(F.col("x").alias("a"), F.col("p").alias("b"))
     labels = _relabel(None, links)
+    live = materialize(_live(cells, labels), "jaccard-live")
+    least = live.groupBy("cell").agg(F.min("cls").alias("least"))
+    regions = connected_components(live.join(least, "cell").select(F.col("cls").alias("a"), F.col("least").alias("b")))
+    sized = live.select("cls", "n").distinct()
+    members = materialize(regions.select(F.col("node").alias("cls"), F.col("component").alias("region")).join(sized, "cls"), "jaccard-regions")
     while True:
-        live = materialize(_live(cells, labels), "jaccard-live")
-        sizes = live.agg(F.count("*"), F.max("size")).first()
-        if not sizes[0]:
+        known = members.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        parts = known.groupBy("region", "component").agg(F.sum("n").alias("n"))
+        whole = parts.groupBy("region").agg(
+            F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")
+        ).filter("parts > 1")
+        placed = known.join(whole.select("region", "total", F.col("major.component").alias("major")), "region")
+        before = Window.partitionBy("region").orderBy("cls").rowsBetween(Window.unboundedPreceding, -1)
+        minor = placed.filter("component <> major").withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        small = F.col("total") <= REGION_SHINGLES
+        chosen = small | (F.col("before") == 0) | (F.col("before") + F.col("n") <= REGION_SHINGLES // 2)
+        minor = minor.withColumn("query", chosen).drop("before")
+        placed = materialize(minor.unionByName(placed.filter("component = major").withColumn("query", F.lit(False))), "jaccard-placed")
+        if placed.isEmpty():
             return labels
-        small, large = live.filter(F.col("size") <= LEAF), live.filter(F.col("size") > LEAF)
-        a, b = small.alias("a"), small.alias("b")
-        differ = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.component") != F.col("b.component"))
-        fits = (4 * F.col("a.n") >= 3 * F.col("b.n")) & (4 * F.col("b.n") >= 3 * F.col("a.n"))
-        pairs = a.join(b, differ & fits).select(F.col("a.cls").alias("x"), F.col("b.cls").alias("p")).distinct()
-        links = _distances(pairs, sets).filter(LINKED)
-        if sizes[1] <= LEAF:
-            return _relabel(labels, links.select(F.col("x").alias("a"), F.col("p").alias("b")))
-        pivoted = materialize(_pivoted(large.select("cell", "n", "cls")), "jaccard-pivoted")
-        measured = _distances(pivoted.select("x", "p").distinct(), sets)
-        links = links.unionByName(measured.filter(LINKED))
-        labels = _relabel(labels, links.select(F.col("x").alias("a"), F.col("p").alias("b")))
-        # Rings one threshold wide around the pivot; a window is a ring and the next one.
-        ring = F.floor(4 * (F.col("joint") - F.col("shared")) / F.col("joint"))
-        placed = pivoted.join(measured, ["x", "p"]).select("cell", "n", "x", "p", ring.alias("ring"))
-        window = F.explode(F.array(F.col("ring") - 1, F.col("ring"))).alias("window")
-        windows = placed.select("cell", "n", "x", "p", window)
-        cells = materialize(
-            windows.select(F.xxhash64("cell", "p", "window").alias("cell"), "n", F.col("x").alias("cls")).distinct(), "jaccard-cells"
-        )
+        blocks = F.when(small, F.lit(1)).otherwise(F.ceil(F.col("total") / (REGION_SHINGLES // 2))).cast("int")
+        every = F.sequence(F.lit(0), blocks - 1)
+        own = F.array(F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+        dealt = placed.withColumn("block", F.explode(F.when(F.col("query"), every).otherwise(own)))
+        units = dealt.select("region", "block", "cls", "component", "query").join(sets.select("cls", "tokens").dropDuplicates(["cls"]), "cls")
+        links = units.groupBy("region", "block").applyInArrow(_region, "a long, b long")
+        labels = _relabel(labels, materialize(links, "jaccard-links"))
+        members = materialize(placed.filter(~small & ~F.col("query")).select("cls", "n", "region"), "jaccard-regions")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
