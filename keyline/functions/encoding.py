@@ -25,7 +25,12 @@ ENCODING_ALIASES = {
     "iso-8859-1": "ISO-8859-1",
 }
 
-SINGLE_BYTE = ("US-ASCII", "ISO-8859-1")
+# Other single-byte charsets, each ASCII below 0x80; the upper half comes from Python's codec.
+TABLE_CHARSETS = ("windows-1250", "windows-1251", "windows-1252", "iso-8859-2", "iso-8859-5", "iso-8859-15", "koi8-r")
+ENCODING_ALIASES |= {name: name for name in TABLE_CHARSETS} | {"cp1252": "windows-1252", "latin9": "iso-8859-15"}
+
+SINGLE_BYTE = ("US-ASCII", "ISO-8859-1", *TABLE_CHARSETS)
+_LATIN_HIGH = "".join(map(chr, range(0x80, 0x100)))
 WIDE = ("UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-32BE")
 CODE_UNIT = {"UTF-16LE": 2, "UTF-16BE": 2, "UTF-32LE": 4, "UTF-32BE": 4}
 
@@ -42,12 +47,27 @@ def resolve_encoding(name: str | None) -> str:
     return ENCODING_ALIASES[key]
 
 
+def upper_half(charset: str) -> str:
+    """The characters of the bytes 0x80 to 0xFF; a byte without one stands for the control
+    character of its own number."""
+    out = []
+    for b in range(0x80, 0x100):
+        try:
+            out.append(bytes([b]).decode(charset))
+        except UnicodeDecodeError:
+            out.append(chr(b))
+    return "".join(out)
+
+
 def replace_unmappable(col: Column, charset: str) -> Column:
     """Replace characters the charset cannot hold with ``?`` (one per code point)."""
     if charset == "US-ASCII":
         return F.regexp_replace(col, "[^\\x{00}-\\x{7F}]", "?")
     if charset == "ISO-8859-1":
         return F.regexp_replace(col, "[^\\x{00}-\\x{FF}]", "?")
+    if charset in TABLE_CHARSETS:
+        high = "".join(f"\\x{{{ord(c):X}}}" for c in upper_half(charset))
+        return F.regexp_replace(col, f"[^\\x{{00}}-\\x{{7F}}{high}]", "?")
     return col
 
 
@@ -59,6 +79,9 @@ def encode_text(col: Column, charset: str) -> Column:
         return _utf32le(col)
     if charset == "UTF-32BE":
         return F.encode(col, "UTF-32")
+    if charset in TABLE_CHARSETS:
+        moved = F.translate(replace_unmappable(col, charset), upper_half(charset), _LATIN_HIGH)
+        return F.encode(moved, "ISO-8859-1")
     return F.encode(replace_unmappable(col, charset), charset)
 
 
@@ -84,6 +107,8 @@ def decode_bytes(raw: Column, charset: str) -> Column:
         return F.make_valid_utf8(raw.cast("string"))
     if charset == "US-ASCII":
         return F.regexp_replace(F.decode(raw, "ISO-8859-1"), "[^\\x{00}-\\x{7F}]", "?")
+    if charset in TABLE_CHARSETS:
+        return F.translate(F.decode(raw, "ISO-8859-1"), _LATIN_HIGH, upper_half(charset))
     if charset == "UTF-32LE":
         return F.decode(swap_code_units(raw, 4), "UTF-32")
     if charset == "UTF-32BE":

@@ -43,9 +43,9 @@ class ParsedColumns:
     number_part: Column
 
 
-def parse_columns(value: Column) -> ParsedColumns:
+def parse_columns(value: Column, separator: str = ".") -> ParsedColumns:
     """PRJ-1: split at the first dot, trim both parts, parse the number strictly."""
-    dot = F.instr(value, ".")
+    dot = F.instr(value, separator)
     after = F.substr(value, dot + F.lit(1))
     number_part = ws_trim(F.substr(value, F.lit(1), dot - F.lit(1)))
     number = parse_int64(number_part)
@@ -70,7 +70,7 @@ def _error(value: Column, dot: Column, after: Column, number: Column, number_par
     )
 
 
-def with_parsed(df, value: str = "value", keep: list[str] | None = None):
+def with_parsed(df, value: str = "value", keep: list[str] | None = None, separator: str = "."):
     """PRJ-1 as a chain of projections: ``keep`` columns (all by default) plus
     ``number``, ``text`` and ``parse_error``.
 
@@ -84,7 +84,7 @@ def with_parsed(df, value: str = "value", keep: list[str] | None = None):
     v = F.col(value)
     cols = df.columns if keep is None else list(keep)
     carry = [value] if value not in cols else []
-    s = df.select(*cols, *carry, F.instr(v, ".").alias("_dot"))
+    s = df.select(*cols, *carry, F.instr(v, separator).alias("_dot"))
     dot = F.col("_dot")
     s = s.select(
         "*",
@@ -113,9 +113,9 @@ def parse_line(value: Column) -> list[Column]:
     return [p.number.alias("number"), p.text.alias("text"), p.parse_error.alias("parse_error")]
 
 
-def format_record(number: Column, text: Column) -> Column:
+def format_record(number: Column, text: Column, joiner: str = RECORD_SEPARATOR) -> Column:
     """PRJ-2: ``"{number}. {text}"``."""
-    return F.concat(number.cast("string"), F.lit(RECORD_SEPARATOR), text)
+    return F.concat(number.cast("string"), F.lit(joiner), text)
 
 
 def canonical_line(value: Column) -> Column:
@@ -142,10 +142,25 @@ def record_compare(n1: Column, t1: Column, n2: Column, t2: Column, text_order: s
 
 
 def record_less(n1: Column, t1: Column, n2: Column, t2: Column, text_order: str = "utf16") -> Column:
-    """CMP-2 ``<``; the other three operators follow from :func:`record_compare`."""
+    """CMP-2 ``<``."""
     return sort_key(n1, t1, text_order) < sort_key(n2, t2, text_order)
 
 
+def record_less_equal(n1: Column, t1: Column, n2: Column, t2: Column, text_order: str = "utf16") -> Column:
+    """CMP-2 ``<=``."""
+    return sort_key(n1, t1, text_order) <= sort_key(n2, t2, text_order)
+
+
+def record_greater(n1: Column, t1: Column, n2: Column, t2: Column, text_order: str = "utf16") -> Column:
+    """CMP-2 ``>``."""
+    return sort_key(n1, t1, text_order) > sort_key(n2, t2, text_order)
+
+
+def record_greater_equal(n1: Column, t1: Column, n2: Column, t2: Column, text_order: str = "utf16") -> Column:
+    """CMP-2 ``>=``."""
+    return sort_key(n1, t1, text_order) >= sort_key(n2, t2, text_order)
+
+
 def record_hash(number: Column, text: Column) -> Column:
     """CMP-4: hash consistent with equality (values need not match any other runtime)."""
     return F.xxhash64(number, text)
@@ -153,26 +168,31 @@ def record_hash(number: Column, text: Column) -> Column:
 
 @dataclass(frozen=True)
 class LineFormat:
-    """Pluggable record format (UDF-1): parse, format and order as Column functions.
+    """Record format (UDF-1): what separates number and text in a line that is read, what
+    joins them in a line that is written, and which comes first in record order.
 
-    Readers, the sorter, the merger and the auditor take a ``LineFormat``; the
-    default is the keyed line. Everything stays a native expression, no Python UDF.
+    The sorter and the auditor take a ``LineFormat``; the default is the keyed line.
+    Everything stays a native expression, no Python UDF.
     """
 
     text_order: str = "utf16"
+    separator: str = "."
+    joiner: str = RECORD_SEPARATOR
+    number_first: bool = False
 
     def parse(self, value: Column) -> ParsedColumns:
-        return parse_columns(value)
+        return parse_columns(value, self.separator)
 
     def parse_frame(self, df, value: str = "value", keep: list[str] | None = None):
         """``keep`` columns plus ``number, text, parse_error`` (the staged parse)."""
-        return with_parsed(df, value, keep)
+        return with_parsed(df, value, keep, self.separator)
 
     def format(self, number: Column, text: Column) -> Column:
-        return format_record(number, text)
+        return format_record(number, text, self.joiner)
 
-    def sort_keys(self, number: Column, text: Column) -> list[Column]:
-        return [ordinal_key(text, self.text_order), number]
+    def order_by(self, key, number) -> list:
+        """``key`` (the text's) and ``number``, the first to compare first."""
+        return [number, key] if self.number_first else [key, number]
 
 
 KEYED_LINE = LineFormat()

@@ -13,9 +13,10 @@ share their text before it" is rebuilt without a global order:
 3. Per split: line count, first id, first/last non-blank record, first violation
    and first adjacent duplicate, as local offsets. This table has one row per
    split.
-4. A stitch over the split table (file order) turns local offsets into line
-   numbers, tests each split's first record against the previous split's last,
-   and reduces to the first violation and the first duplicate.
+4. A stitch over the split table turns local offsets into line numbers (sums within
+   each file, then over files), tests each split's first record against the last one
+   of the non-blank split before it (a join on ordinals), and reduces to the first
+   violation and the first duplicate.
 
 Every line before the first violation parses, so "previous non-blank line"
 equals the reference's "previous valid record" wherever it matters.
@@ -23,12 +24,15 @@ equals the reference's "previous valid record" wherever it matters.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyline.functions.record import KEYED_LINE, LineFormat, format_record
+from keyline.functions.record import KEYED_LINE, LineFormat
 from keyline.functions.text import is_blank, text_from_key, with_ordinal_key
 from keyline.operators.split_scan import SUMMARY_SCHEMA, summarize_partition
+from keyline.session import reliable_checkpoint
 from keyline.sources.lines import file_order, scan_lines
 
 # Fixed value: previous-line text when a malformed line has no valid record before it.
@@ -43,8 +47,13 @@ def _rec(key: Column, number: Column, moved: Column) -> Column:
     return F.struct(key.alias("k"), number.alias("n"), moved.alias("t"))
 
 
-def _fmt(rec: Column) -> Column:
-    return format_record(rec.n, text_from_key(rec.k, rec.t))
+def _fmt(rec: Column, fmt: LineFormat) -> Column:
+    return fmt.format(rec.n, text_from_key(rec.k, rec.t))
+
+
+def _before(a: Column, b: Column, fmt: LineFormat) -> Column:
+    """Whether record ``a`` comes before record ``b``."""
+    return F.struct(*fmt.order_by(a.k, a.n)) < F.struct(*fmt.order_by(b.k, b.n))
 
 
 def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: LineFormat = KEYED_LINE) -> DataFrame:
@@ -67,11 +76,11 @@ def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: Li
     with_prev = staged.select("*", prev_any.alias("_prev"))
     cur, prev = F.col("_r"), F.col("_prev.r")
     has_prev = F.col("_prev").isNotNull()
-    in_order_break = has_prev & (F.struct(cur.k, cur.n) < F.struct(prev.k, prev.n))
+    in_order_break = has_prev & _before(cur, prev, line_format)
     violation = (F.col("_ok") == F.lit(False)) | (F.col("_ok") & prev.isNotNull() & in_order_break)
     duplicate = F.col("_ok") & prev.isNotNull() & (cur.k == prev.k)
-    cur_line = F.when(F.col("_ok"), _fmt(cur)).otherwise(F.col("_bad"))
-    prev_line = F.when(has_prev, _fmt(prev))
+    cur_line = F.when(F.col("_ok"), _fmt(cur, line_format)).otherwise(F.col("_bad"))
+    prev_line = F.when(has_prev, _fmt(prev, line_format))
     nonblank = F.when(~F.col("_blank"), F.struct(F.col("_m").alias("m"), F.col("_r").alias("r")))
     return with_prev.groupBy("_f", "_b").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -114,7 +123,7 @@ def split_summaries_arrow(
         F.when(ok, F.col("_t")).alias("_t"),
         F.when(~blank & err.isNotNull(), F.col("value")).alias("_bad"),
     )
-    flat = staged.mapInArrow(summarize_partition, SUMMARY_SCHEMA)
+    flat = staged.mapInArrow(summarize_partition(line_format.joiner, line_format.number_first), SUMMARY_SCHEMA)
 
     def rec(prefix):
         r = F.struct(
@@ -141,23 +150,41 @@ def split_summaries_arrow(
     )
 
 
-def stitch(summaries: DataFrame) -> DataFrame:
-    """Step 4: one row with ``sorted_lines_total, violation_line, previous_line,
-    current_line, first_duplicate_line``."""
-    order = file_order("_f") + [F.col("_b")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    s = summaries.select(
-        "*",
-        F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("off"),
-        F.last(F.col("last"), True).over(before).alias("plast"),
+def _located(summaries: DataFrame) -> DataFrame:
+    """Each split with ``off``, the lines before it, and ``nb``, the splits with a non-blank
+    line before it. Sums run within each file, then over one row (path and two numbers) a
+    file; no line's text is in a window."""
+    used = F.when(F.col("first").isNotNull(), 1).otherwise(0).cast("bigint")
+    numbers = summaries.select("_f", "_b", "n_lines", used.alias("used"))
+    inside = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = numbers.select(
+        "_f", "_b", F.coalesce(F.sum("n_lines").over(inside), F.lit(0)).alias("off"), F.coalesce(F.sum("used").over(inside), F.lit(0)).alias("nb")
     )
+    files = summaries.groupBy("_f").agg(F.sum("n_lines").alias("n"), F.sum(used).alias("u"))
+    over = Window.orderBy(*file_order("_f")).rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_f", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("fo"), F.coalesce(F.sum("u").over(over), F.lit(0)).alias("fu"))
+    placed = numbers.join(files, "_f").select("_f", "_b", (F.col("off") + F.col("fo")).alias("off"), (F.col("nb") + F.col("fu")).alias("nb"))
+    return summaries.join(placed, ["_f", "_b"])
+
+
+def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFrame:
+    """Step 4: one row with ``sorted_lines_total, v`` (line, previous and current line of
+    the first violation) and ``first_duplicate_line``.
+
+    A split meets the last record of the non-blank split before it by an equi-join on
+    their ordinals. ``summaries`` is read several times: pass a written table.
+    """
+    s = _located(summaries)
+    before = s.filter(F.col("first").isNotNull()).select((F.col("nb") + 1).alias("nb"), F.col("last").alias("plast"))
+    used = s.filter(F.col("first").isNotNull()).join(before, "nb", "left")
+    total = summaries.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).cast("bigint").alias("sorted_lines_total"))
     line_of = lambda m: F.col("off") + (m - F.col("m0")) + F.lit(1)
     first, plast = F.col("first"), F.col("plast")
     first_ok = first.isNotNull() & first.r.isNotNull()
     both = first_ok & plast.isNotNull() & plast.r.isNotNull()
-    boundary_break = both & (F.struct(first.r.k, first.r.n) < F.struct(plast.r.k, plast.r.n))
+    boundary_break = both & _before(first.r, plast.r, line_format)
     boundary_dup = both & (first.r.k == plast.r.k)
-    plast_line = F.when(plast.r.isNotNull(), _fmt(plast.r))
+    plast_line = F.when(plast.r.isNotNull(), _fmt(plast.r, line_format))
     viol = F.col("viol")
     in_split = F.when(
         viol.isNotNull(),
@@ -172,22 +199,20 @@ def stitch(summaries: DataFrame) -> DataFrame:
         F.struct(
             line_of(first.m).alias("line"),
             plast_line.alias("prev"),
-            _fmt(first.r).alias("cur"),
+            _fmt(first.r, line_format).alias("cur"),
         ),
     )
     dup_line = F.least(
         F.when(F.col("dup_m").isNotNull(), line_of(F.col("dup_m"))),
         F.when(boundary_dup, line_of(first.m)),
     )
-    per_split = s.select(
-        F.col("n_lines"),
-        F.least(in_split, at_boundary).alias("v"),
-        dup_line.alias("d"),
-    )
-    return per_split.agg(
-        F.coalesce(F.sum("n_lines"), F.lit(0)).cast("bigint").alias("sorted_lines_total"),
-        F.min("v").alias("v"),
-        F.min("d").alias("first_duplicate_line"),
+    firsts = used.agg(F.min(F.least(in_split, at_boundary)).alias("v"), F.min(dup_line).alias("first_duplicate_line"))
+    # Two one-row results side by side, without a join: union, then one aggregate.
+    none = F.lit(None)
+    both_rows = total.select("sorted_lines_total", none.cast(firsts.schema["v"].dataType).alias("v"), none.cast("bigint").alias("first_duplicate_line"))
+    both_rows = both_rows.unionByName(firsts.select(none.cast("bigint").alias("sorted_lines_total"), "v", "first_duplicate_line"))
+    return both_rows.agg(
+        F.max("sorted_lines_total").alias("sorted_lines_total"), F.max("v").alias("v"), F.max("first_duplicate_line").alias("first_duplicate_line")
     )
 
 
@@ -207,7 +232,9 @@ def audit_lines(
     previous_line, current_line, found_duplicate, line_counts_match, status,
     passed``. ``status`` is the first that applies of ``order_violation``,
     ``count_mismatch``, ``no_duplicates`` (only if ``require_duplicates``) and
-    ``ok``. Lazy: nothing runs until an action.
+    ``ok``. The scan of the sorted file runs at once and leaves one row a split in the
+    shared checkpoint folder; counts and stitch run with the first action.
+    :func:`timed_audit` adds ``elapsed_seconds``.
 
     ``method="arrow"`` (default) summarises each split in the scan's own tasks
     (no shuffle); ``"window"`` does the same with a per-split window (one hash
@@ -224,7 +251,7 @@ def audit_lines(
     )
     sorted_scan = scan_lines(spark, sorted_path, encoding, with_split=True)
     summaries = split_summaries_arrow if method == "arrow" else split_summaries
-    st = stitch(summaries(sorted_scan, fmt.text_order, fmt))
+    st = stitch(reliable_checkpoint(summaries(sorted_scan, fmt.text_order, fmt)), fmt)
     # Two one-row results side by side, without a join: union then one aggregate.
     both = st.select(
         "sorted_lines_total", "v", "first_duplicate_line", F.lit(None).cast("bigint").alias("original_lines")
@@ -245,6 +272,14 @@ def audit_lines(
     return verdict(one, require_duplicates)
 
 
+def timed_audit(spark: SparkSession, *args, **kw) -> DataFrame:
+    """:func:`audit_lines`, run at once, with ``elapsed_seconds`` as one more column."""
+    started = time.time()
+    row = audit_lines(spark, *args, **kw)
+    done = spark.createDataFrame(row.collect(), row.schema)
+    return done.withColumn("elapsed_seconds", F.lit(round(time.time() - started, 3)))
+
+
 def verdict(one: DataFrame, require_duplicates: bool = True) -> DataFrame:
     """AUD-3/4: counts, flags and status from the reduced audit row."""
     v = F.col("v")

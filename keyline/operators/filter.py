@@ -3,7 +3,7 @@ blank-line test of the audit (FLT-4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyline.functions.record import with_parsed
@@ -16,7 +16,8 @@ def parse_records(df: DataFrame, value: str = "value", mode: str = "drop", keep:
     """``keep`` columns plus ``number, text`` of every well-formed line.
 
     ``mode="drop"`` silently drops malformed lines (FLT-1); ``"strict"`` fails the
-    job at the first malformed line with its exact message (FLT-2).
+    job at the first malformed line with its exact message (FLT-2), whatever
+    columns or counts are asked for: the check is a filter, which is never pruned.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -24,11 +25,16 @@ def parse_records(df: DataFrame, value: str = "value", mode: str = "drop", keep:
     p = with_parsed(df, value, keep=keep)
     err = F.col("parse_error")
     if mode == "strict":
-        number = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))
-        return p.select(*keep, number.alias("number"), "text")
+        return p.where(all_parsed()).select(*keep, "number", "text")
     return p.where(err.isNull()).select(*keep, "number", "text")
 
 
+def all_parsed(parse_error: str = "parse_error") -> Column:
+    """FLT-2 as a predicate: true, or fails with the line's message."""
+    err = F.col(parse_error)
+    return F.when(err.isNotNull(), F.raise_error(err).cast("boolean")).otherwise(F.lit(True))
+
+
 def rejected_lines(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """FLT-3: the malformed lines with their exact reason (``value, parse_error``)."""
     keep = list(keep or [])

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyline.functions.text import text_from_key, with_ordinal_key
@@ -31,23 +31,38 @@ def range_partitions(spark, df: DataFrame) -> int:
     small range partitions but never splits one). The size is the optimizer's
     estimate for ``df`` (file sizes for a scan); no job runs."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        size = 0
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size <= 0 or size >= 1 << 56:
         # No estimate: a Python data source reports the default (Long.MaxValue),
         # which projections scale down but keep far above any real input (64 PiB
         # here). Bound the input by its splits, each at most
         # spark.sql.files.maxPartitionBytes. Planning only, no job.
         split = conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
-        try:
-            size = df.rdd.getNumPartitions() * split
-        except Exception:  # noqa: BLE001
-            size = 0
+        size = df.rdd.getNumPartitions() * split
     return max(base, -(-size // SORT_PARTITION_BYTES))
 
 
+# Share of the driver's result limit that the sample of sort keys may take.
+SAMPLE_SHARE = 8
+SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+SAMPLED_LINES = 10_000
+
+
+def bound_key_sample(spark, df: DataFrame, column: str, parts: int) -> None:
+    """Bound the bytes of sort keys that a range exchange samples to the driver.
+
+    Spark samples about 3 x sampleSizePerPartition x partitions whole keys. The setting
+    is lowered (never raised) so that keys of the mean length of ``df.column``, taken
+    over its first lines, fit in an eighth of ``spark.driver.maxResultSize``. It stays
+    lowered in the session; fewer samples only make partitions less even.
+    """
+    limit = conf_bytes(spark, "spark.driver.maxResultSize", 1 << 30) or 1 << 30
+    head = df.select(F.octet_length(column).alias("n")).limit(SAMPLED_LINES)
+    mean = (head.agg(F.avg("n")).first()[0] or 0) + 48
+    fit = int(limit / SAMPLE_SHARE / mean / 3 / max(1, parts))
+    spark.conf.set(SAMPLE_SETTING, max(1, min(fit, int(spark.conf.get(SAMPLE_SETTING, "100")))))
+
+
 def _staged(df: DataFrame, number: str, text: str, text_order: str, tiebreak: str | None) -> DataFrame:
     cols = [F.col(number).alias("number"), F.col(text).alias("_text")]
     if tiebreak is not None:
@@ -79,38 +94,45 @@ def sort_records(
     millions of times is still split across range partitions instead of landing in
     one task (equal records are identical, so the order among them is not
     observable). ``""`` (default) uses ``monotonically_increasing_id()`` taken
-    right after ``df``; pass a column name holding a stable unique id (the file
-    readers pass their scan position) or ``None`` to switch it off.
+    right after ``df``, which is the same on a retry only where ``df``'s row order is
+    (a scan); over shuffled rows pass a column name holding a stable unique id, or
+    ``None`` to switch it off.
     """
     staged = _staged(df, number, text, text_order, tiebreak)
     keys = ["_k", "number"] + (["_u"] if tiebreak is not None else [])
     parts = num_partitions or range_partitions(df.sparkSession, df)
+    bound_key_sample(df.sparkSession, df, text, parts)
     out = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return _unstaged(out)
 
 
 def sort_within_shards(
-    df: DataFrame, number: str = "number", text: str = "text", text_order: str = "utf16"
+    df: DataFrame, number: str = "number", text: str = "text", text_order: str = "utf16", keep: list[str] | None = None
 ) -> DataFrame:
-    """SRT-2: sort each partition on its own (sorted runs), no exchange."""
-    staged = _staged(df, number, text, text_order, None)
-    return _unstaged(staged.sortWithinPartitions("_k", "number"))
+    """SRT-2: sort each partition on its own (sorted runs), no exchange; ``keep`` names
+    columns that stay with their record."""
+    keep = list(keep or [])
+    rows = df.select(*keep, F.col(number).alias("number"), F.col(text).alias("_text"))
+    keyed = with_ordinal_key(rows, "_text", "_k", "_t", text_order)
+    runs = keyed.select(*keep, "_k", "number", "_t").sortWithinPartitions("_k", "number")
+    return runs.select(*keep, "number", text_from_key(F.col("_k"), F.col("_t")).alias("text"))
 
 
-def merge_sorted(inputs: list[DataFrame], text_order: str = "utf16") -> DataFrame:
+def merge_sorted(inputs: list[DataFrame], text_order: str = "utf16", spark: SparkSession | None = None) -> DataFrame:
     """SRT-3: merge record inputs into one sorted output, duplicates kept (bag union).
 
-    Zero inputs give an empty result; empty inputs are harmless. The inputs need
-    not be sorted already: Spark's range exchange does the merge work.
+    Zero inputs give an empty result; empty inputs are harmless. One range exchange does
+    the merge work, so pass inputs as they are read: sorting them first only adds
+    exchanges.
     """
-    if not inputs:
-        raise ValueError("merge_sorted needs at least one input to know the schema")
     cols = ["number", "text"]
+    if not inputs:
+        return (spark or SparkSession.active()).createDataFrame([], "number long, text string")
     union = reduce(lambda a, b: a.unionByName(b), [d.select(*cols) for d in inputs])
     return sort_records(union, text_order=text_order)
 
 
-def with_positions(sorted_df: DataFrame, materialize: bool = True) -> DataFrame:
+def with_positions(sorted_df: DataFrame) -> DataFrame:
     """SRT-4: add ``pos`` (1-based rank in the global order) to a sorted DataFrame.
 
     A range exchange samples its bounds each time the plan runs, so positions
@@ -120,7 +142,7 @@ def with_positions(sorted_df: DataFrame, materialize: bool = True) -> DataFrame:
     give ``pos = offset(partition) + index in partition + 1``. No single-partition
     window over the data.
     """
-    fixed = reliable_checkpoint(sorted_df) if materialize else sorted_df
+    fixed = reliable_checkpoint(sorted_df)
     ided = fixed.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
     counts = ided.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)

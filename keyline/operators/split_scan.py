@@ -30,9 +30,9 @@ SUMMARY_SCHEMA = (
 _FIELDS = [f.strip().split(" ")[0] for f in SUMMARY_SCHEMA.split(",")]
 
 
-def _fmt(n, k, t):
+def _fmt(n, k, t, joiner):
     text = t if t is not None else k.decode("utf-8", "surrogateescape")
-    return f"{n}. {text}"
+    return f"{n}{joiner}{text}"
 
 
 class _Split:
@@ -44,7 +44,7 @@ class _Split:
         self._f, self._b, self.n_lines = f, b, 0
 
 
-def summarize_partition(batches):
+def _summaries(batches, joiner, number_first):
     """``mapInArrow`` body: input columns ``_f, _fh, _b, _m, _blank, _ok, _k, _n, _t, _bad``."""
     splits: dict[tuple[int, int], _Split] = {}
     carry = None  # (split key, m, ok, k, n, t) of the last non-blank line seen
@@ -99,7 +99,7 @@ def summarize_partition(batches):
         both = prev_same & ok & pok
         lt = pc.fill_null(pc.less(k, pk), False).to_numpy(zero_copy_only=False)
         eq = pc.fill_null(pc.equal(k, pk), False).to_numpy(zero_copy_only=False)
-        brk = both & (lt | (eq & (n < pn)))
+        brk = both & ((n < pn) | ((n == pn) & lt) if number_first else lt | (eq & (n < pn)))
         violation = ~ok | brk
         dup = both & eq
 
@@ -128,10 +128,10 @@ def summarize_partition(batches):
                     sp.viol_m, sp.viol_has_prev = int(mm[nb[i]]), has_prev
                     if has_prev and pok[i]:
                         if i > 0:
-                            sp.viol_prev_line = _fmt(int(n[i - 1]), k[i - 1].as_py(), t[i - 1].as_py())
+                            sp.viol_prev_line = _fmt(int(n[i - 1]), k[i - 1].as_py(), t[i - 1].as_py(), joiner)
                         else:
-                            sp.viol_prev_line = _fmt(carry[4], carry[3], carry[5])
-                    sp.viol_cur_line = _fmt(int(n[i]), k[i].as_py(), t[i].as_py()) if ok[i] else bad[i].as_py()
+                            sp.viol_prev_line = _fmt(carry[4], carry[3], carry[5], joiner)
+                    sp.viol_cur_line = _fmt(int(n[i]), k[i].as_py(), t[i].as_py(), joiner) if ok[i] else bad[i].as_py()
             if sp.dup_m is None:
                 hits = np.flatnonzero(dup[s:e])
                 if len(hits):
@@ -150,6 +150,12 @@ def summarize_partition(batches):
         yield pa.RecordBatch.from_pydict(cols, schema=_arrow_schema())
 
 
+def summarize_partition(joiner: str = ". ", number_first: bool = False):
+    """The ``mapInArrow`` function for records written with ``joiner`` between number and
+    text, ordered by text then number (or number then text)."""
+    return lambda batches: _summaries(batches, joiner, number_first)
+
+
 def _arrow_schema():
     types = {
         "string": pa.string(),

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from keyline.functions.record import KEYED_LINE, LineFormat
 from keyline.functions.text import text_from_key, with_ordinal_key
-from keyline.operators.sort import range_partitions
+from keyline.operators.filter import all_parsed
+from keyline.operators.sort import bound_key_sample, range_partitions
 from keyline.sources.lines import scan_lines
 from keyline.sources.sinks import check_not_same, write_lines, write_report
 
@@ -43,11 +44,7 @@ def parsed_scan(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     scan = scan_lines(spark, path, encoding, with_split="id")
     parsed = line_format.parse_frame(scan, keep=["value", "_m"])
-    if mode == "strict":
-        err = F.col("parse_error")
-        strict = F.when(err.isNotNull(), F.raise_error(err).cast("bigint")).otherwise(F.col("number"))
-        parsed = parsed.withColumn("number", strict)
-    return parsed
+    return parsed.where(all_parsed()) if mode == "strict" else parsed
 
 
 def sorted_records(
@@ -72,11 +69,12 @@ def sorted_records(
     parsed = parsed_scan(spark, path, encoding, mode, fmt)
     parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False))
     rows = parsed.select("number", "text", "parse_error", "_m")
-    if observation is None:
+    if observation is None and mode != "strict":
         rows = rows.filter(F.col("parse_error").isNull())
     keyed = with_ordinal_key(rows, "text", "_k", "_t", fmt.text_order)
     staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
-    keys = ["_k", "number", "_u"]
+    keys = [*fmt.order_by("_k", "number"), "_u"]
+    bound_key_sample(spark, scan_lines(spark, path, encoding, with_split=False), "value", parts)
     ordered = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     if observation is not None:
         ordered = ordered.observe(
@@ -106,7 +104,7 @@ def sort_file(
     ``None`` writes none.
     """
     validate_paths(input_path, output_path)
-    check_not_same(input_path, output_path)
+    check_not_same(spark, input_path, output_path)
     fmt = line_format or LineFormat(text_order)
     started = time.time()
     obs = Observation("keyline_sort")

@@ -10,11 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyline.functions.encoding import byte_length
-from keyline.functions.record import canonical_line, format_record, parse_line, record_compare, record_hash, records_equal
+from keyline.functions.encoding import byte_length, upper_half
+from keyline.functions.record import (
+    LineFormat,
+    canonical_line,
+    format_record,
+    parse_line,
+    record_compare,
+    record_greater,
+    record_greater_equal,
+    record_hash,
+    record_less,
+    record_less_equal,
+    records_equal,
+)
 from keyline.operators.audit import NO_PREVIOUS, audit_lines
 from keyline.operators.filter import parse_records, reject_reason, rejected_lines
 from keyline.operators.sort import merge_sorted, sort_records, sort_within_shards, with_positions
@@ -23,7 +36,7 @@ from keyline.plans.sort_file import sort_file
 from keyline.session import scratch_path
 from keyline.sources.generator import SIZE_UNIT, generate_lines, line_size
 from keyline.sources.lines import read_numbered_lines
-from keyline.sources.sinks import write_lines
+from keyline.sources.sinks import REPORT_SCHEMA, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +101,19 @@ def strict_parse(spark, sf):
     return parse_records(C.c2_orders(spark, sf), mode="strict", keep=["line_id"])
 
 
+def strict_failure(spark, sf):
+    """FLT-2: C2 and one malformed line (the first of C5) read strictly; the message that
+    fails a count, which needs no column of the records."""
+    bad = rejected_lines(C.c5_mixed(spark, sf), keep=["line_id"]).orderBy("line_id").limit(1).select("value")
+    lines = C.c2_orders(spark, sf).select("value").unionByName(bad)
+    try:
+        parse_records(lines, mode="strict").count()
+        message = None
+    except PySparkException as e:
+        message = (e.getMessageParameters() or {}).get("errorMessage")
+    return spark.createDataFrame([(message,)], "message string")
+
+
 def format_lines(spark, sf):
     """PRJ-2 over C1 records."""
     r = _records(C.c1_part(spark, sf))
@@ -113,15 +139,51 @@ def sort_documents(spark, sf):
 
 
 def sorted_shards(spark, sf):
-    """SRT-2 over C1: each partition sorted on its own (the multiset is unchanged)."""
-    return sort_within_shards(_records(C.c1_part(spark, sf)).repartition(4))
+    """SRT-2 over C1 dealt by key modulo 16: each partition sorted on its own; ``rank`` is
+    a record's physical place among its shard's, which only sorted runs get right."""
+    r = _records(C.c1_part(spark, sf)).withColumn("shard", F.col("line_id") % 16)
+    runs = sort_within_shards(r.repartition("shard"), keep=["shard"]).withColumn("_at", F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy("shard").orderBy("_at")).cast("bigint")
+    return runs.select("shard", rank.alias("rank"), "number", "text")
 
 
 def merge_sorted_inputs(spark, sf):
-    """SRT-3 over sorted C1 and sorted C2."""
-    a = sort_records(_records(C.c1_part(spark, sf)))
-    b = sort_records(_records(C.c2_orders(spark, sf)))
-    return with_positions(merge_sorted([a, b]))
+    """SRT-3 over C1 and C2: one range exchange merges both."""
+    return with_positions(merge_sorted([_records(C.c1_part(spark, sf)), _records(C.c2_orders(spark, sf))]))
+
+
+def _high_lines(spark, sf):
+    k = F.col("p_partkey")
+    head = F.when(k % 3 == 0, F.lit("\U0001f600")).when(k % 3 == 1, F.lit("\uff21")).otherwise(F.lit("z"))
+    return C.table(spark, sf, "part").select(k.alias("line_id"), F.concat(k.cast("string"), F.lit(". "), head, F.col("p_name")).alias("value"))
+
+
+def sort_high_characters(spark, sf):
+    """STR-6 over C1 texts headed by z, U+1F600 or U+FF21: by UTF-16 units they sort in
+    that order, by code points the last two would change places."""
+    return with_positions(sort_records(_records(_high_lines(spark, sf)), tiebreak=None))
+
+
+PIPE = LineFormat(separator="|", joiner="|", number_first=True)
+
+
+def _pipe_files(spark, sf):
+    p = C.table(spark, sf, "part")
+    lines = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit(" | "), F.col("p_name")).alias("value"))
+    src = _write_file(spark, lines, "pipe")
+    out = scratch_path(spark, "pipe-sorted")
+    sort_file(spark, src, out, report_path=None, line_format=PIPE)
+    return src, out
+
+
+def sort_pipe_format(spark, sf):
+    """UDF-1: a file of ``number | text`` lines sorted by number, then text."""
+    return read_numbered_lines(spark, _pipe_files(spark, sf)[1])
+
+
+def audit_pipe_format(spark, sf):
+    """UDF-1: the audit of that file in its own format and order."""
+    return audit_lines(spark, *_pipe_files(spark, sf), line_format=PIPE)
 
 
 def sort_lines_file(spark, sf):
@@ -149,6 +211,10 @@ def compare_pairs(spark, sf):
         "b_id",
         record_compare(F.col("an"), F.col("at"), F.col("bn"), F.col("bt")).alias("cmp"),
         records_equal(F.col("an"), F.col("at"), F.col("bn"), F.col("bt")).alias("eq"),
+        *[
+            compare(F.col("an"), F.col("at"), F.col("bn"), F.col("bt")).alias(name)
+            for name, compare in (("lt", record_less), ("le", record_less_equal), ("gt", record_greater), ("ge", record_greater_equal))
+        ],
     )
 
 
@@ -262,12 +328,31 @@ def encoding_roundtrip_utf16(spark, sf):
 
 
 def run_report(spark, sf):
-    """SNK-3 + AGG-4: counts of the sort of the C5 file."""
+    """SNK-3 + AGG-4: counts of the sort of the C5 file, from the report it wrote."""
     src = _write_file(spark, C.c5_mixed(spark, sf), "c5")
-    rep = sort_file(spark, src, scratch_path(spark, "c5-sorted"), report_path=None)
-    return spark.createDataFrame(
-        [(rep["rows_in"], rep["rows_rejected"], rep["rows_out"])], "rows_in bigint, rows_rejected bigint, rows_out bigint"
-    )
+    report = scratch_path(spark, "c5-report")
+    sort_file(spark, src, scratch_path(spark, "c5-sorted"), report_path=report)
+    return spark.read.schema(REPORT_SCHEMA).json(report).select("status", "rows_in", "rows_rejected", "rows_out")
+
+
+def _roundtrip(spark, sf, encoding):
+    path = _write_file(spark, C.c3_documents(spark, sf), f"c3-{encoding}", order=["doc_id", "idx"], encoding=encoding)
+    return read_numbered_lines(spark, path, encoding=encoding)
+
+
+def encoding_roundtrip_utf32(spark, sf):
+    """SRC-1b + SNK-1: C3 written as UTF-32LE and read back exactly."""
+    return _roundtrip(spark, sf, "utf32")
+
+
+def encoding_roundtrip_ascii(spark, sf):
+    """SRC-1b + SNK-1: C3 written as ASCII (others become ``?``) and read back."""
+    return _roundtrip(spark, sf, "ascii")
+
+
+def encoding_roundtrip_windows1252(spark, sf):
+    """ENC-1: C3 written as windows-1252 (others become ``?``) and read back."""
+    return _roundtrip(spark, sf, "windows-1252")
 
 
 def _doc_chars(spark, sf) -> int:
@@ -319,6 +404,13 @@ QUERIES: dict[str, Query] = {
     "encoding_roundtrip_latin1": encoding_roundtrip_latin1,
     "encoding_roundtrip_utf16": encoding_roundtrip_utf16,
     "run_report": run_report,
+    "strict_failure": strict_failure,
+    "sort_high_characters": sort_high_characters,
+    "sort_pipe_format": sort_pipe_format,
+    "audit_pipe_format": audit_pipe_format,
+    "encoding_roundtrip_utf32": encoding_roundtrip_utf32,
+    "encoding_roundtrip_ascii": encoding_roundtrip_ascii,
+    "encoding_roundtrip_windows1252": encoding_roundtrip_windows1252,
     "generate_lines": generate_lines_q,
     "generate_size_check": generate_size_check,
 }
@@ -404,7 +496,26 @@ ORACLES: dict[str, str] = {
     "canonical_lines": f"SELECT line_id, CASE WHEN parse_error IS NULL THEN CAST(number AS VARCHAR) || '. ' || text END AS canonical FROM ({P5})",
     "sort_lines": _sorted_sql(P1),
     "sort_documents": _sorted_sql(P3),
-    "sorted_shards": f"SELECT number, text FROM ({P1}) WHERE parse_error IS NULL",
+    "sorted_shards": f"""SELECT line_id % 16 AS shard, row_number() OVER (PARTITION BY line_id % 16 ORDER BY text, number) AS rank,
+  number, text FROM ({P1}) WHERE parse_error IS NULL""",
+    "strict_failure": f"SELECT parse_error AS message FROM ({P5}) WHERE parse_error IS NOT NULL ORDER BY line_id LIMIT 1",
+    "sort_high_characters": """SELECT row_number() OVER (ORDER BY CASE p_partkey % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END, p_name, p_partkey) AS pos,
+  p_partkey AS number, CASE p_partkey % 3 WHEN 0 THEN chr(128512) WHEN 1 THEN chr(65313) ELSE 'z' END || p_name AS text FROM part""",
+    "sort_pipe_format": """SELECT row_number() OVER (ORDER BY p_partkey) AS line_no, CAST(p_partkey AS VARCHAR) || '|' || p_name AS value FROM part""",
+    "audit_pipe_format": """SELECT count(*) AS original_lines, count(*) AS sorted_lines, true AS is_sorted, CAST(-1 AS BIGINT) AS violation_line,
+  CAST(NULL AS VARCHAR) AS previous_line, CAST(NULL AS VARCHAR) AS current_line, coalesce(bool_or(same), false) AS found_duplicate,
+  true AS line_counts_match, CASE WHEN bool_or(same) THEN 'ok' ELSE 'no_duplicates' END AS status, coalesce(bool_or(same), false) AS passed
+FROM (SELECT p_name = lag(p_name) OVER (ORDER BY p_partkey) AS same FROM part)""",
+    "encoding_roundtrip_utf32": f"SELECT row_number() OVER (ORDER BY doc_id, idx) AS line_no, value FROM ({C.C3_SQL})",
+    "encoding_roundtrip_ascii": (
+        "SELECT row_number() OVER (ORDER BY doc_id, idx) AS line_no, "
+        f"regexp_replace(value, '[^\\x{{00}}-\\x{{7F}}]', '?', 'g') AS value FROM ({C.C3_SQL})"
+    ),
+    "encoding_roundtrip_windows1252": (
+        "SELECT row_number() OVER (ORDER BY doc_id, idx) AS line_no, regexp_replace(value, '[^\\x{00}-\\x{7F}"
+        + "".join(f"\\x{{{ord(c):X}}}" for c in upper_half("windows-1252"))
+        + f"]', '?', 'g') AS value FROM ({C.C3_SQL})"
+    ),
     "merge_sorted": (
         "SELECT row_number() OVER (ORDER BY text, number) AS pos, number, text FROM ("
         f"SELECT number, text FROM ({P1}) WHERE parse_error IS NULL UNION ALL "
@@ -416,7 +527,9 @@ ORACLES: dict[str, str] = {
 SELECT a.line_id AS a_id, b.line_id AS b_id,
   CASE WHEN a.text < b.text OR (a.text = b.text AND a.number < b.number) THEN -1
        WHEN a.text = b.text AND a.number = b.number THEN 0 ELSE 1 END AS cmp,
-  (a.text = b.text AND a.number = b.number) AS eq
+  (a.text = b.text AND a.number = b.number) AS eq,
+  (a.text, a.number) < (b.text, b.number) AS lt, (a.text, a.number) <= (b.text, b.number) AS le,
+  (a.text, a.number) > (b.text, b.number) AS gt, (a.text, a.number) >= (b.text, b.number) AS ge
 FROM r a JOIN r b ON b.line_id = a.line_id + 1""",
     "equal_record_groups": (
         "SELECT number, text, count(*) AS n FROM ("
@@ -445,7 +558,7 @@ FROM r a JOIN r b ON b.line_id = a.line_id + 1""",
         f"regexp_replace(value, '[^\\x{{00}}-\\x{{FF}}]', '?', 'g') AS value FROM ({C.C3_SQL})"
     ),
     "encoding_roundtrip_utf16": f"SELECT row_number() OVER (ORDER BY doc_id, idx) AS line_no, value FROM ({C.C3_SQL})",
-    "run_report": f"""SELECT count(*) AS rows_in, count(parse_error) AS rows_rejected,
+    "run_report": f"""SELECT 'ok' AS status, count(*) AS rows_in, count(parse_error) AS rows_rejected,
   count(*) - count(parse_error) AS rows_out FROM ({P5})""",
     "generate_size_check": f"SELECT CAST(({DOC_CHARS_SQL}) AS BIGINT) AS target_chars, true AS reached, true AS minimal",
 }

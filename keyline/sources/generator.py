@@ -296,9 +296,9 @@ def generated_lines(
 def validate(size_mb: int, reuse_chance: float) -> None:
     """VAL-1 for the generator."""
     if size_mb is None or int(size_mb) <= 0:
-        raise ValueError("File size must be a positive number.")
+        raise ValueError(f"size_mb must be at least 1, got {size_mb!r}")
     if reuse_chance is None or not 0.0 <= float(reuse_chance) <= 1.0:
-        raise ValueError("String reuse chance must be between 0.0 and 1.0.")
+        raise ValueError(f"reuse_chance must lie in [0, 1], got {reuse_chance!r}")
 
 
 def generate_lines(

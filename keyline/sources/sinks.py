@@ -20,16 +20,31 @@ _WIDE_SEPARATORS = {
 }
 
 
-def _norm(path: str) -> str:
-    return os.path.normpath(path.replace("file:", "")) if "://" not in path else path.rstrip("/")
-
-
-def check_not_same(inputs, output: str) -> None:
-    """Refuse to overwrite an input: Spark deletes the output before reading it."""
-    outs = _norm(output)
+def _places(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:
+    """What ``path`` names, globs expanded: (file system, path parts) of each place, as
+    the Hadoop file system resolves it; local links are followed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(hadoop) or []] or [hadoop]
+    out = []
+    for p in found:
+        uri = fs.makeQualified(p).toUri()
+        place = uri.getPath()
+        if uri.getScheme() == "file":
+            place = os.path.realpath(place)
+        out.append((f"{uri.getScheme()}://{uri.getAuthority() or ''}", tuple(x for x in place.split("/") if x)))
+    return out
+
+
+def check_not_same(spark: SparkSession, inputs, output: str) -> None:
+    """Refuse an output that is an input, holds one or lies within one: Spark deletes
+    the output before it reads the input."""
     for p in [inputs] if isinstance(inputs, str) else list(inputs):
-        if _norm(p) == outs:
-            raise ValueError(f"output {output!r} is also an input; write elsewhere")
+        for fs, place in _places(spark, p):
+            for out_fs, out in _places(spark, output):
+                shorter = min(len(place), len(out))
+                if fs == out_fs and place[:shorter] == out[:shorter]:
+                    raise ValueError(f"output {output!r} and input {p!r} overlap; write elsewhere")
 
 
 def encoded_line(line: Column, encoding: str = "utf-8") -> tuple[Column, str]:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyline.functions.record import format_record, with_parsed
-from keyline.session import scratch_path
 
 
 def stream_lines(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -48,14 +47,14 @@ def write_line_stream(
 ) -> StreamingQuery:
     """Append one text line per row to ``output_path`` (file sink, exactly once).
 
-    The query's progress is kept in ``checkpoint_location``; by default a fresh
-    folder under the shared ``spark.checkpoint.dir``, never a machine-local one,
-    so the query restarts after the loss of the driver or an executor. Pass the
-    same location again to resume.
+    The query's progress is kept in ``checkpoint_location``; by default in
+    ``<output_path>.checkpoint``, beside the output, so a restart with the same output
+    resumes where the last run stopped (the sink's own log in the output skips batches
+    it has seen, so a fresh location would lose rows).
     """
     if not output_path or not str(output_path).strip():
         raise ValueError("file path cannot be empty")
-    location = checkpoint_location or scratch_path(lines.sparkSession, "stream-lines")
+    location = checkpoint_location or output_path.rstrip("/") + ".checkpoint"
     writer = (
         lines.select(F.col(column).alias("value"))
         .writeStream.format("text")
