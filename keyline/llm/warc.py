@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyline.llm.common import scratch, table
+from keyline.llm.common import MAX_BROADCAST_BYTES, materialize, scratch, table
 
 MIN_REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 1000
+REPEATED_BYTES = 200  # of one row of repeated payloads in a broadcast
 DATE = "2024-01-01T00:00:00Z"
 MAX_HEADER = 1 << 16
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -38,13 +39,16 @@ def _record_id(page: Column) -> Column:
 def with_revisits(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``pages`` as ``page_id, payload, digest, refers_to``; equal payloads of at least
     1000 bytes refer to the one with the largest id. Digests are compared first on the ids
-    alone; what is joined back is one row for each payload that occurs more than once."""
+    alone; what is joined back is one row for each payload that occurs more than once,
+    broadcast where that table is small enough, else by a shuffle of the pages."""
     payload = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     p = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), payload.alias("payload"))
     p = p.withColumn("content", F.sha2("payload", 256))
     large = F.octet_length("payload") >= MIN_REVISIT_BYTES
     repeated = p.filter(large).groupBy("content").agg(F.count("*").alias("n"), F.max("page_id").alias("response")).filter("n > 1")
-    joined = p.join(repeated.select("content", "response"), "content", "left")
+    repeated = materialize(repeated.select("content", "response"), "warc-repeated")
+    small = repeated.count() * REPEATED_BYTES <= MAX_BROADCAST_BYTES
+    joined = p.join(F.broadcast(repeated) if small else repeated, "content", "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
     return joined.select("page_id", "payload", F.sha1("payload").alias("digest"), refers.alias("refers_to"))
 
