@@ -1,5 +1,6 @@
 """Pure-Python sequential models used as oracles in tests (never used by the library)."""
 
+import itertools
 import re
 
 from keyline.functions.text import WHITESPACE
@@ -33,46 +34,32 @@ def fmt(rec):
 
 
 def audit_model(original, sorted_lines, require_duplicates=True):
-    """Sequential audit of two lists of lines (blank lines are counted, skipped)."""
-    count = 0
-    prev = None
-    violation = -1
-    prev_s = cur_s = None
-    dup = False
-    for line in sorted_lines:
-        count += 1
-        if line is None or line.strip(WHITESPACE) == "":
-            continue
-        rec = py_parse(line)
-        if rec is None:
-            violation, prev_s, cur_s = count, fmt(prev) if prev else "N/A (first or previous was invalid)", line
-            break
-        if prev is not None:
-            if key(rec) < key(prev):
-                violation, prev_s, cur_s = count, fmt(prev), fmt(rec)
-                break
-            if rec[1] == prev[1]:
-                dup = True
-        prev = rec
-    is_sorted = violation == -1
-    match = count == len(original)
-    if not is_sorted:
-        status = "order_violation"
-    elif not match:
-        status = "count_mismatch"
-    elif require_duplicates and not dup:
-        status = "no_duplicates"
-    else:
-        status = "ok"
-    return {
+    """The audit's fields of two lists of lines, each from its definition: the violation is
+    the first line shown (not blank) that is no record or comes before the one above it."""
+    shown = [(no, line, py_parse(line)) for no, line in enumerate(sorted_lines, 1) if line and line.strip(WHITESPACE)]
+    valid = list(itertools.takewhile(lambda x: x[2] is not None, shown))
+    falls = [i for i in range(1, len(valid)) if key(valid[i][2]) < key(valid[i - 1][2])]
+    first_bad = falls[0] if falls else len(valid)
+    held = [rec for _, _, rec in valid[:first_bad]]
+    found = first_bad < len(shown)
+    no, line, rec = shown[first_bad] if found else (len(sorted_lines), None, None)
+    out = {
         "original_lines": len(original),
-        "sorted_lines": count,
-        "is_sorted": is_sorted,
-        "violation_line": violation,
-        "previous_line": prev_s,
-        "current_line": cur_s,
-        "found_duplicate": dup,
-        "line_counts_match": match,
-        "status": status,
-        "passed": status == "ok",
+        "sorted_lines": no,
+        "is_sorted": not found,
+        "violation_line": no if found else -1,
+        "previous_line": None,
+        "current_line": (fmt(rec) if rec else line) if found else None,
+        "found_duplicate": any(a[1] == b[1] for a, b in zip(held, held[1:])),
+        "line_counts_match": no == len(original),
     }
+    if found:
+        out["previous_line"] = fmt(held[-1]) if held else "N/A (first or previous was invalid)"
+    reasons = {
+        "order_violation": found,
+        "count_mismatch": not out["line_counts_match"],
+        "no_duplicates": require_duplicates and not out["found_duplicate"],
+    }
+    out["status"] = next((name for name, holds in reasons.items() if holds), "ok")
+    out["passed"] = out["status"] == "ok"
+    return out

@@ -14,31 +14,23 @@ from keyline.sources.generator import (
 )
 
 
-def _loop(length, words, pad):
-    """The generator's word loop, written sequentially."""
-    sb = ""
-    for i, word in enumerate(words):
-        if len(sb) >= length:
-            break
-        if i > 0 and len(sb) < length - 1:
-            sb += " "
-        remaining = length - len(sb)
-        if len(word) <= remaining:
-            sb += word
-        else:
-            sb += word[:remaining]
-            break
-    return sb, length - len(sb)
-
-
-def test_text_rule_matches_sequential_loop(spark):
+def _words_part(words, length):
+    """What of the words a text of ``length`` shows: all of them joined, or a cut that
+    never ends in a joining space (the letter after it takes its place)."""
+    joined = " ".join(words)
+    if len(joined) <= length:
+        return joined
+    return joined[: length - 1] + joined[length - 1 : length + 1].lstrip(" ")[:1]
+
+
+def test_text_rule(spark):
     df = generated_lines(spark, 3000, seed=7, reuse_chance=0.0)
     length, n_words, picked = word_picks(F.col("id"), 7)
     rows = df.select("text", length.alias("L"), n_words.alias("n"), F.array(*picked).alias("w")).collect()
     for r in rows:
         words = r.w[: r.n]
         assert len(words) == r.n and 1 <= r.n <= min(9, r.L // 5)
-        prefix, pad = _loop(r.L, words, None)
+        prefix = _words_part(words, r.L)
         assert len(r.text) == r.L and 10 <= r.L <= 1024
         assert r.text.startswith(prefix)
         assert all(c in ALPHABET for c in r.text[len(prefix):])

@@ -137,6 +137,7 @@ def test_ordinal_order_utf16(spark):
     assert plain[-4:] == ["\ue000", "\ufffd", "\U00010000", "\U0001f600"]
 
 
+# Sample lines of the record format with their required messages and order.
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_ordinal_key_matches_utf16be(spark, seed):
     import random

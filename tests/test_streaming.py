@@ -50,3 +50,17 @@ def test_stream_file_sink_resumes(spark, tmp_dir):
     write_line_stream(stream_records(spark, src).where("parse_error is null"), out, ck, trigger_once=True).awaitTermination(120)
     got = sorted(r.value for r in read_lines(spark, out).collect())
     assert got == ["1. a", "2. b", "3. c"]
+
+
+def test_stream_restart_with_the_default_location(spark, tmp_dir):
+    from keyline.sources.lines import read_lines
+    from keyline.streaming import write_line_stream
+
+    src, out = os.path.join(tmp_dir, "in3"), os.path.join(tmp_dir, "out3")
+    os.makedirs(src)
+    for name, lines in (("a", "1. a\n2. b\n"), ("b", "3. c\n4. d\n")):
+        with open(os.path.join(src, f"{name}.txt"), "w") as f:
+            f.write(lines)
+        good = stream_records(spark, src).where("parse_error is null")
+        write_line_stream(good, out, trigger_once=True).awaitTermination(120)
+    assert sorted(r.value for r in read_lines(spark, out).collect()) == ["1. a", "2. b", "3. c", "4. d"]
