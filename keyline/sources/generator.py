@@ -1,19 +1,16 @@
 """Synthetic keyed lines (SRC-3, GEN-1..3, NUM-3..6, STR-9..12, WIN-3).
 
-Every random choice for row ``id`` except the padding letters is a hash
-``xxhash64(id, seed, salt)``, so it depends on the id alone. Padding letters come
-from ``randstr`` (uniform over letters and digits), which is seeded per
-partition; rows are therefore laid out in a fixed grid, partition k holding ids
-``[k*R, (k+1)*R)`` for a constant R, so the same ``(size, seed, reuse_chance)``
-gives the same lines on any cluster size and on task retries.
+Every random choice for row ``id`` is a hash of the id, the seed and a salt
+(``xxhash64``; SHA-512 for the padding letters), so a row depends on its id alone and
+the same ``(size, seed, reuse_chance)`` gives the same lines on any cluster size, at any
+size of the output and on task retries.
 
 Per line: a non-negative 63-bit number, negated with probability 0.01; a text of
 length 10..1024 made of 1..min(9, length/5) words from a fixed list joined by
 spaces and cut to length, then padded with random letters and digits. With
 probability ``reuse_chance`` a row reuses, uniformly, one of the first 1,000 fresh
-texts that came before it (row 0 is always fresh). Those pool texts (at most
-1,000 x 1,024 characters) are recomputed from the first partitions only and
-broadcast to the reusing rows.
+texts that came before it (row 0 is always fresh): the text is worked out again from
+the id of that row.
 
 Size: lines are written until the running character count (line + newline)
 reaches the target. The cut row is found without a window: sizes are summed
@@ -51,9 +48,8 @@ SIZE_UNIT = 1_000_000  # characters per "MB" of --size
 # Salts of the independent random streams.
 _NUM, _SIGN, _REUSE, _PICK, _LEN, _WC, _WORD, _PAD = 1, 2, 3, 4, 5, 6, 100, 200
 _UNIT = 1_000_000
-# Padding characters drawn per randstr call. Few, large blocks keep the
-# generated code of the text projection small enough for the JIT compiler.
-_PAD_BLOCK = 512
+# Padding characters counted on per hash block (a block gives about 81).
+_PAD_BLOCK = 64
 ROWS_PER_PARTITION = 25_000  # grid cell of generated rows (about 13.5 MB of text per task)
 MAX_PARTITIONS = 100_000  # larger outputs get larger cells instead of more tasks
 FANOUT = 4096  # buckets per level of the size-cut search
@@ -147,27 +143,25 @@ def with_text(df: DataFrame, seed: int, src: str = "src") -> DataFrame:
     ).otherwise(F.substr(joined, F.lit(1), length))
     step = step.select("*", cut.alias("_cut")).drop("_joined")
     step = step.select("*", (F.col("_len") - F.char_length("_cut")).alias("_need"))
-    text = F.concat(F.col("_cut"), padding(seed, F.col("_need")))
+    text = F.concat(F.col("_cut"), padding(s, seed, F.col("_need")))
     return step.select("*", text.alias("text")).drop("_len", "_cut", "_need")
 
 
-def _block_seed(seed: int, block: int) -> int:
-    # randstr seeds its generator with seed + partition index: keep the streams of
-    # different blocks (and seeds) apart by more than any partition count.
-    return ((int(seed) << 20) + (block << 48)) & 0x7FFFFFFFFFFFFFFF
+def padding(src: Column, seed: int, need: Column) -> Column:
+    """STR-11: ``need`` letters/digits, uniform over the 62-character alphabet.
 
-
-def padding(seed: int, need: Column) -> Column:
-    """STR-11: ``need`` random letters/digits, uniform over the 62-character alphabet.
-
-    ``randstr`` draws whole blocks from the task's seeded generator; blocks past
-    the needed length are not drawn.
+    Blocks are base 64 of 63 bytes (whole signs) of the SHA-512 of (id, seed, block),
+    without its two other signs, so
+    the padding depends on the id alone, whatever the partitions. One block more than
+    needed is drawn; should the blocks still fall short, "a" fills up.
     """
-    blocks = [
-        F.when(need > F.lit(i * _PAD_BLOCK), F.randstr(F.lit(_PAD_BLOCK), F.lit(_block_seed(seed, i))))
-        for i in range(math.ceil(MAX_TEXT / _PAD_BLOCK))
-    ]
-    return F.substr(F.concat_ws("", *blocks), F.lit(1), need)
+    last = F.ceil(need / F.lit(float(_PAD_BLOCK))).cast("int")
+    head = F.concat(src.cast("string"), F.lit(f":{int(seed)}:{_PAD}:"))
+    drawn = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda j: F.translate(F.base64(F.unhex(F.substring(F.sha2(F.concat(head, j.cast("string")), 512), 1, 126))), "+/=\r\n", ""),
+    )
+    return F.when(need > 0, F.rpad(F.array_join(drawn, ""), need, F.lit("a"))).otherwise(F.lit(""))
 
 
 def line_size(number: Column, length: Column) -> Column:
@@ -243,7 +237,7 @@ def find_cut(spark: SparkSession, target_chars: int, seed: int, reuse_chance: fl
 
 def rows_per_partition(n_rows: int) -> int:
     """Grid cell size: ``ROWS_PER_PARTITION``, grown so that there are at most
-    ``MAX_PARTITIONS`` tasks (about 1 GB of text per task at 100 TB)."""
+    ``MAX_PARTITIONS`` tasks (about 1 GB of text per task at 100 TB). No row depends on it."""
     return max(ROWS_PER_PARTITION, math.ceil(n_rows / MAX_PARTITIONS))
 
 
@@ -254,20 +248,6 @@ def grid(spark: SparkSession, n_rows: int, cell: int | None = None) -> DataFrame
     return spark.range(0, parts * cell, numPartitions=parts).where(F.col("id") < F.lit(n_rows))
 
 
-def _fresh_texts(spark: SparkSession, n_rows: int, seed: int, cell: int) -> DataFrame:
-    rows = grid(spark, n_rows, cell)
-    return with_text(rows.select("id", F.col("id").alias("src")), seed, "src")
-
-
-def pool_texts(spark: SparkSession, n_rows: int, seed: int, pool: list[int], cell: int | None = None) -> DataFrame:
-    """``pool_id, pool_text`` for the pool ids: the same grid cells as the output,
-    limited to the partitions that hold a pool id (at most 1,000 rows kept)."""
-    cell = cell or rows_per_partition(n_rows)
-    upto = min(n_rows, (max(pool) // cell + 1) * cell)
-    texts = _fresh_texts(spark, upto, seed, cell)
-    return texts.where(F.col("id").isin(pool)).select(F.col("id").alias("pool_id"), F.col("text").alias("pool_text"))
-
-
 def generated_lines(
     spark: SparkSession,
     n_rows: int,
@@ -279,17 +259,10 @@ def generated_lines(
     if pool is None:
         pool = pool_ids(spark, n_rows, seed, reuse_chance)
     i = F.col("id")
-    cell = rows_per_partition(n_rows)
-    rows = with_source(grid(spark, n_rows, cell), seed, reuse_chance, pool, out="_pick")
-    rows = rows.select("id", number_expr(i, seed).alias("number"), i.alias("src"), "_pick")
-    out = with_text(rows, seed, "src")
-    if pool and reuse_chance > 0:
-        reused = F.when(F.col("_pick") != F.col("id"), F.col("_pick"))
-        # At most 1,000 texts of at most 1,024 characters: a bounded broadcast.
-        table = F.broadcast(pool_texts(spark, n_rows, seed, pool, cell))
-        out = out.join(table, reused == F.col("pool_id"), "left")
-        out = out.withColumn("text", F.coalesce(F.col("pool_text"), F.col("text")))
-    out = out.select("id", "number", "text")
+    rows = with_source(grid(spark, n_rows), seed, reuse_chance, pool)
+    rows = rows.select("id", number_expr(i, seed).alias("number"), "src")
+    # A reused text is worked out again from its id, which is cheaper than joining it.
+    out = with_text(rows, seed, "src").select("id", "number", "text")
     return out.select("id", "number", "text", F.concat(F.col("number").cast("string"), F.lit(". "), "text").alias("value"))
 
 

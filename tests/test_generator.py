@@ -104,3 +104,25 @@ def test_grid_cells_cap_task_count(monkeypatch):
     monkeypatch.setattr(G, "MAX_PARTITIONS", 10)
     assert G.rows_per_partition(1_000) == G.ROWS_PER_PARTITION
     assert G.rows_per_partition(10**9) == 10**8
+
+
+def test_rows_do_not_depend_on_the_task_cap(spark, monkeypatch):
+    import keyline.sources.generator as G
+
+    whole = G.generated_lines(spark, 2000, seed=9, reuse_chance=0.1).where("id < 1000")
+    monkeypatch.setattr(G, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(G, "MAX_PARTITIONS", 3)
+    capped = G.generated_lines(spark, 1000, seed=9, reuse_chance=0.1)
+    assert whole.exceptAll(capped).count() == 0 and capped.exceptAll(whole).count() == 0
+
+
+def test_padding_is_uniform_over_the_alphabet(spark):
+    from collections import Counter
+
+    from keyline.sources.generator import padding
+
+    rows = spark.range(400).select(padding(F.col("id"), 5, F.lit(500)).alias("p")).collect()
+    assert all(len(r.p) == 500 for r in rows)
+    counts = Counter("".join(r.p for r in rows))
+    assert set(counts) == set(ALPHABET)
+    assert max(counts.values()) < 1.1 * 200_000 / 62 and min(counts.values()) > 0.9 * 200_000 / 62
