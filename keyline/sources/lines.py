@@ -14,12 +14,15 @@ files are packed into one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyline.functions.encoding import WIDE, decode_bytes, resolve_encoding
 from keyline.session import BROADCAST_ROW_LIMIT
-from keyline.sources.wide import scan_wide
+from keyline.sources.wide import open_file, scan_wide
 
 SPLIT_COLS = ["_f", "_b"]
 _PART_NO = "^part-([0-9]+)"
@@ -46,14 +49,73 @@ def _paths(path) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
+# Byte-order marks, the longer of two with one beginning first.
+MARKS = [
+    (b"\xff\xfe\x00\x00", "UTF-32LE"),
+    (b"\x00\x00\xfe\xff", "UTF-32BE"),
+    (b"\xff\xfe", "UTF-16LE"),
+    (b"\xfe\xff", "UTF-16BE"),
+    (b"\xef\xbb\xbf", "UTF-8"),
+]
+# Up to so many files the driver reads the marks itself, which is quicker than a job.
+DRIVER_READS = 64
+
+
+def mark_charset(head: bytes) -> str | None:
+    """The charset that a file's first bytes name, if they are a byte-order mark."""
+    return next((charset for mark, charset in MARKS if head.startswith(mark)), None)
+
+
+def _read_marks(batches):
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        found = []
+        for p in paths:
+            with open_file(p) as f:
+                found.append(mark_charset(f.read(4)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "charset"])
+
+
+def _head(spark: SparkSession, path: str) -> bytes:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        return bytes(b for b in (stream.read() for _ in range(4)) if b >= 0)
+    finally:
+        stream.close()
+
+
+def paths_by_charset(spark: SparkSession, path, declared: str) -> list[tuple[str, list[str]]]:
+    """The files of ``path`` by charset: what their byte-order mark says, else ``declared``.
+    Only the listing and the first four bytes of each file are read."""
+    files = spark.read.format("binaryFile").load(_paths(path)).select("path")
+    listing = sorted(r.path for r in files.collect())
+    if len(listing) <= DRIVER_READS:
+        marked = {p: mark_charset(_head(spark, p)) for p in listing}
+    else:
+        rows = files.mapInArrow(_read_marks, "path string, charset string").filter("charset is not null")
+        marked = {r.path: r.charset for r in rows.collect()}
+    groups: dict[str, list[str]] = {}
+    for p in listing:
+        groups.setdefault(marked.get(p) or declared, []).append(p)
+    if set(groups) <= {declared}:
+        return [(declared, _paths(path))]
+    return list(groups.items())
+
+
 def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: bool | str = True) -> DataFrame:
     """Read text lines as ``value`` (plus ``_f, _b, _m`` when ``with_split``;
     only ``_m``, a unique scan position, when ``with_split="id"``).
 
-    A UTF-8 byte-order mark is dropped, invalid UTF-8 becomes U+FFFD, blank lines
-    are kept, and a final line without a break is a line.
+    A byte-order mark is dropped and, whatever ``encoding`` says, names its file's
+    charset. Invalid UTF-8 becomes U+FFFD, blank lines are kept, and a final line
+    without a break is a line.
     """
-    charset = resolve_encoding(encoding)
+    scans = [_scan(spark, p, c, with_split) for c, p in paths_by_charset(spark, path, resolve_encoding(encoding))]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _scan(spark: SparkSession, path, charset: str, with_split: bool | str) -> DataFrame:
     if charset in WIDE:
         return _scan_wide(spark, path, charset, with_split)
     raw = spark.read.format("text").load(_paths(path))

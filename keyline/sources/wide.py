@@ -57,7 +57,7 @@ class _Part(InputPartition):
         self.splits = splits  # [(path, start, end, length)]
 
 
-def _open(path: str):
+def open_file(path: str):
     from pyarrow import fs
 
     if path.startswith("file:"):
@@ -167,7 +167,7 @@ class _Reader(DataSourceReader):
         window = max(u, (self.window // u) * u)
         next_id = partition.index << 33
         for path, s, e, length in partition.splits:
-            f = _open(path)
+            f = open_file(path)
             try:
                 for w in range(s, e, window):
                     lines = window_lines(f, self.charset, w, min(w + window, e), length)

@@ -175,3 +175,25 @@ def test_numbering_per_file(spark, tmp_dir, encoding):
     for name, n in sizes.items():
         mine = sorted((r.line_no, r.value) for r in rows if r.file_path.endswith(name))
         assert mine == [(j + 1, f"{name[5:10]}-{j}") for j in range(n)]
+
+
+@pytest.mark.parametrize("driver_reads", [64, 0])
+def test_byte_order_marks_name_the_charset(spark, tmp_dir, monkeypatch, driver_reads):
+    """Marked files are read right under any declared name, beside unmarked ones."""
+    import codecs
+
+    from keyline.sources import lines as L
+
+    monkeypatch.setattr(L, "DRIVER_READS", driver_reads)
+    folder = os.path.join(tmp_dir, "marks")
+    os.makedirs(folder)
+    marks = {"utf-16-le": codecs.BOM_UTF16_LE, "utf-16-be": codecs.BOM_UTF16_BE, "utf-32-le": codecs.BOM_UTF32_LE, "utf-32-be": codecs.BOM_UTF32_BE, "utf-8": codecs.BOM_UTF8}
+    want = []
+    for i, (name, mark) in enumerate(marks.items()):
+        _raw(os.path.join(folder, f"{i}.txt"), mark + f"{i}. é\u4e2d\n{i}0. b".encode(name))
+        want += [f"{i}. é\u4e2d", f"{i}0. b"]
+    _raw(os.path.join(folder, "plain.txt"), b"7. c\n")
+    for declared in ("utf-8", "latin1"):
+        assert sorted(r.value for r in L.read_lines(spark, folder, declared).collect()) == sorted([*want, "7. c"])
+    one = os.path.join(folder, "0.txt")
+    assert [r.value for r in L.read_numbered_lines(spark, one, "utf-32be").orderBy("line_no").collect()] == want[:2]
