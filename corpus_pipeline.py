@@ -31,13 +31,13 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each component of near duplicates, the document with the least id (of
-    rows that share it, that with the least text). Documents without words, or of null id
-    only, are no one's duplicates and stay."""
+    """Keeps, of each component of near duplicates, the document with the least id. An id
+    stands for one document: rows that share an id go together, and of those that stay
+    the one with the least text stays. Documents without words, and components of null
+    ids only, stay; a null id in a component that has ids goes."""
     found = jaccard_join.jaccard_components(docs)
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
     dropped = found.filter(~alone & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    # A null id in a component that has ids goes with it.
     kept = docs.join(dropped.distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
     rank = free_name(docs, "same_id")
     repeated = found.filter(~alone).groupBy("component_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("n"))
