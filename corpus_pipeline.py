@@ -8,11 +8,11 @@ the last return the columns of ``documents``; the last returns the mix.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing
-from keyline.llm.common import free_name, materialize, table
+from keyline.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,21 +31,8 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each component of near duplicates, the document with the least id. An id
-    stands for one document: rows that share an id go together, and of those that stay
-    the one with the least text stays. Documents without words, and components of null
-    ids only, stay; a null id in a component that has ids goes."""
-    found = jaccard_join.jaccard_components(docs)
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    dropped = found.filter(~alone & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    kept = docs.join(dropped.distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    rank = free_name(docs, "same_id")
-    repeated = found.filter(~alone).groupBy("component_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("n"))
-    repeated = repeated.filter("n > 1").select(F.col("component_id").alias("again"))
-    several = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = several.withColumn(rank, first).filter(F.col(rank) == 1).drop(rank)
-    return kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti").unionByName(one)
+    """Keeps, of each component of near duplicates, the document with the least id."""
+    return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

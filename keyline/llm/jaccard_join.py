@@ -38,12 +38,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyline.llm.common import as_bytes, materialize, runs, table
+from keyline.llm.common import MAX_BROADCAST_BYTES, as_bytes, materialize, runs, table
 from keyline.llm.components import connected_components
 from keyline.llm.shingles import shingle_sets
 
 REGION_SHINGLES = 1 << 20  # shingles of one task's region
 REFERENCES = 4  # pivots of a region whose distances are kept for the triangle inequality
+LOST_BYTES = 64  # of one document that goes, in a broadcast
 SLICE = 1 << 20  # bytes of text hashed at a time
 ROWS = 50_000  # rows of a posting batch
 
@@ -77,7 +78,8 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(as_bytes(batch.column(1))):
             n += [len(s) for s in sets]
             cls += [_class_id(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64())], names=["doc_id", "n", "cls"])
+        own = [pa.array(n, pa.int64()), pa.array(cls, pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *own], names=["doc_id", "hash", "n", "cls"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,6 +305,14 @@ def _class_components(sets: DataFrame, cells: DataFrame) -> DataFrame:
         members = materialize(placed.filter(~small & ~F.col("query")).select("cls", "n", "region"), "jaccard-regions")
 
 
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows as (doc_id, hash of the text, n, cls), and the components of classes that link."""
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    members = materialize(hashed.mapInArrow(_members, "doc_id long, hash long, n long, cls long"), "jaccard-members")
+    return members, _class_components(*_candidates(docs, members))
+
+
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` (and ``class_id``) for every row of ``docs``.
 
@@ -313,10 +323,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     their ids, repeated rows too. Null ids are left out of a component's least id; it is
     null if all are. An empty table gives an empty result; other columns are ignored.
     """
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    members = materialize(docs.mapInArrow(_members, "doc_id long, n long, cls long"), "jaccard-members")
-    sets, cells = _candidates(docs, members)
-    labels = _class_components(sets, cells)
+    members, labels = _joined(docs, id_col, text_col)
     classes = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
     classes = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
@@ -326,5 +333,25 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return linked.unionByName(alone)
 
 
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one document of each component, with all their columns.
+
+    The document with the least id stays; a null id loses to any id, and of texts with
+    one id that with the least class id, then text hash, stays. Rows that repeat both id
+    and text are one document and stay together. Rows without words are no one's
+    duplicates and stay. An empty table stays empty. Rows are told by id and text hash;
+    the table of those that go is broadcast if small enough, else joined by a shuffle.
+    """
+    members, labels = _joined(docs, id_col, text_col)
+    rows = members.filter("n > 0").join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = rows.select("component", "doc_id", "hash", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls", "hash").alias("place"))
+    best = rows.groupBy("component").agg(F.min("place").alias("best"), F.count("*").alias("n")).filter("n > 1")
+    lost = rows.join(best.select("component", "best"), "component").filter("place <> best")
+    lost = materialize(lost.select(F.col("doc_id").alias("lost_id"), F.col("hash").alias("lost_hash")).distinct(), "jaccard-lost")
+    small = lost.count() * LOST_BYTES <= MAX_BROADCAST_BYTES
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("lost_id")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("lost_hash"))
+    return docs.join(F.broadcast(lost) if small else lost, same, "left_anti")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

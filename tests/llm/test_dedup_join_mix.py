@@ -80,6 +80,20 @@ def test_jaccard_against_brute_force(spark, monkeypatch, seed, limit):
     assert sorted(map(tuple, got.collect())) == sorted(jaccard_components(rows))
 
 
+def test_keep_one_of_each_component(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    base, copy = prose(61, 50), prose(62, 50)
+    more = [(None, base, "en", "a", 1), (None, base, "en", "a", 1), (None, copy, "en", "a", 1), (50, copy, "en", "a", 1), (51, copy, "en", "b", 1)]
+    kept = jaccard_join.keep_one(docs.unionByName(spark.createDataFrame(more, docs.schema)).withColumn("cls", F.lit(1)))
+    assert kept.columns == [*docs.columns, "cls"]
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    rows = {r[0]: r[1] for r in odd_rows()}
+    # 2 and 3 copy 1, 11 copies 10; a null id loses to 50; rows equal in id and text stay together.
+    want = [(i, rows[i]) for i in (1, 4, 5, 6, 7, 8, 10, 12, 13)] + [(9, prose(4, 40))] * 2 + [(9, prose(5, 40)), (50, copy)]
+    want += [(None, base)] * 2 + [(None, prose(3, 30)), (None, None)]
+    assert got == sorted(want, key=repr)
+
+
 def test_shingle_hashes_follow_words():
     from keyline.llm.shingles import shingle_sets
 
