@@ -44,7 +44,7 @@ from keyline.llm.shingles import shingle_sets
 
 REGION_SHINGLES = 1 << 20  # shingles of one task's region
 REFERENCES = 4  # pivots of a region whose distances are kept for the triangle inequality
-LOST_BYTES = 64  # of one document that goes, in a broadcast
+LOST_BYTES = 64  # of one document's id, in a broadcast
 SLICE = 1 << 20  # bytes of text hashed at a time
 ROWS = 50_000  # rows of a posting batch
 
@@ -160,7 +160,10 @@ def _candidates(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
     crowded = first.groupBy("cls", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= needed).select("cls")
     # One document a class stands for it.
     stands = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(crowded, "cls", "left_semi")
-    texts = docs.alias("d").join(stands.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
+    stands = materialize(stands.select(F.col("doc_id").alias("stands_id")), "jaccard-stands")
+    small = stands.count() * LOST_BYTES <= MAX_BROADCAST_BYTES
+    chosen = F.col("doc_id").eqNullSafe(F.col("stands_id"))
+    texts = docs.join(F.broadcast(stands) if small else stands, chosen, "left_semi")
     sets = materialize(texts.select("text").mapInArrow(_whole_sets, "cls long, n long, tokens array<long>"), "jaccard-sets")
 
     by_class = Window.partitionBy("cls")
