@@ -6,10 +6,17 @@ treats as equal. Documents join the table of known licences on the digest of the
 canonical text. Each line by itself is a text too (a notice such as "Released under the
 MIT License."), looked up under the same digests. The table of known licences is broadcast
 behind a check of its size; documents are never shuffled.
+
+The SQL (``ORACLE``) knows the notices and the texts of ``TEXTS`` only and drops every line
+that begins with "copyright"; it agrees where documents have no whole text in other words
+and no such line that is not a notice, as in the test tables.
 """
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +73,7 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
 LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
 OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE."""
+# Other whole texts are in the folder "licenses"; these are the ones that the SQL knows.
 TEXTS = [("MIT", "MIT License\n\n" + MIT), ("MIT", MIT), ("ISC", "ISC License\n\n" + ISC), ("ISC", ISC)]
 
 # Spellings that count as one.
@@ -80,6 +88,19 @@ WORDS = {
     "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "wilfull",
 }
 PHRASES = [("sub license", "sublicense"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("non commercial", "noncommercial"), ("the mit license", "mit license"), ("under the", "under")]
+# Words that follow "copyright" or "(c)" in the body of a licence, not in a notice.
+BODY_WORDS = (
+    "a|all|also|an|and|any|applies|are|as|at|disclaimers?|do|does|doctrines?|each|for|from|get|has|have|holders?|if|in|include|includes|including|infringements?|interests?|"
+    "is|it|laws?|licen[sc]es?|licen[sc]ed|lines?|may|more|must|no|not|notices?|of|on|or|our|owners?|ownership|patents?|permissions?|protection|resulting|rights?|shall|"
+    "similar|statements?|such|than|that|the (?:licen[sc]ed|library|program|software|work)|then|this|those|to|treaty|treaties|under|when|where|which|with|you|your"
+)
+BODY_LINE = rf"""^[ \t]*[*#/;-]*[ \t]*(?:portions )?(?:copyright[a-z]+|(?:copyright|\(c\))[ \t"',;:.)/-]*(?:$|(?:{BODY_WORDS})\b))"""
+# Notices that licence texts hold themselves; they go wherever lines break.
+OWN_NOTICE = (
+    r"copyright\s+\(c\)\s+[0-9][0-9,\s-]*\s+free\s+software\s+foundation,\s+inc\.(?:[,\s]*(?:<https?://fsf\.org/?>|[0-9]+\s+(?:franklin|temple|mass)[a-z0-9 ,.\s-]{0,80}?\busa\b))?"
+    r"|copyright\s+\(c\)\s+[0-9,\s-]*the\s+regents\s+of\s+the\s+university\s+of\s+california\.?(?:\s+all\s+rights\s+reserved\.?)?"
+    r"|copyright\s+\(c\)\s+<?year>?\s+<?(?:name\s+of\s+author|owner)>?|copyright\s+\[yyyy\]\s+\[name\s+of\s+copyright\s+owner\]"
+)
 COPYRIGHT_LINE = r"^[ \t]*[*#/;-]*[ \t]*(portions )?(copyright|\(c\)|©)"
 RIGHTS_LINE = r"^[ \t]*[*#/;-]*[ \t]*all rights reserved[. \t]*$"
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f‘’“”–—…«»·•]+"
@@ -99,13 +120,15 @@ def _canonical_line(line: Column) -> Column:
     words = F.filter(F.split(F.regexp_replace(line, PUNCTUATION, " "), " "), lambda w: w != "")
     spelled = F.create_map(*[F.lit(x) for kv in WORDS.items() for x in kv])
     same = F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(spelled, w), w)), " ")
-    return F.when(line.rlike(COPYRIGHT_LINE) | line.rlike(RIGHTS_LINE), F.lit("")).otherwise(_phrases(same))
+    return F.when((line.rlike(COPYRIGHT_LINE) & ~line.rlike(BODY_LINE)) | line.rlike(RIGHTS_LINE), F.lit("")).otherwise(_phrases(same))
 
 
 def canonical_lines(text: Column) -> Column:
     """Canonical forms of the lines that are not empty."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    lines = F.split(F.regexp_replace(lowered, "\r", "\n"), "\n")
+    # Few texts have a notice to cut out; a search of bytes spares the others the pattern.
+    cut = F.when(lowered.contains("copyright"), F.regexp_replace(lowered, OWN_NOTICE, " ")).otherwise(lowered)
+    lines = F.split(F.regexp_replace(cut, "\r", "\n"), "\n")
     return F.filter(F.transform(lines, _canonical_line), lambda x: x != "")
 
 
@@ -114,11 +137,40 @@ def whole_digest(lines: Column) -> Column:
     return F.when(F.size(lines) > 0, F.sha2(_phrases(F.array_join(lines, " ")), 256))
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """``(license_id, text)`` of every whole text, with and without title, preface and
+    appendix, in its own lines, with a line a paragraph, and in one line."""
+    texts = list(TEXTS)
+    names = dict(NAMES)
+    for file in sorted(resources.files("keyline.llm").joinpath("licenses").iterdir(), key=lambda f: f.name):
+        spdx = next(i for i in names if file.name.startswith(i + "."))
+        text = file.read_text(encoding="utf-8")
+        forms = [text]
+        if spdx.startswith("BSD"):
+            forms.append(re.sub(r"(?m)^[123]\. ", "* ", text))
+            forms += [f"{names[spdx][0]}\n\n{t}" for t in forms]
+        if spdx == "Unlicense":
+            forms.append(f"The Unlicense\n\n{text}")
+        if spdx == "CC0-1.0":
+            forms.append(text.partition("Creative Commons Legal Code")[2])
+        if spdx == "CC-BY-SA-4.0":
+            forms.append(f"Creative Commons {text}")
+        if "END OF TERMS AND CONDITIONS" in text:
+            body = text.partition("END OF TERMS AND CONDITIONS")[0]
+            forms += [body, body + "END OF TERMS AND CONDITIONS"]
+        texts += [(spdx, t) for t in forms]
+    out = []
+    for spdx, text in texts:
+        paragraphs = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
+        out += [(spdx, text), (spdx, "\n\n".join(paragraphs)), (spdx, " ".join(paragraphs))]
+    return list(dict.fromkeys(out))
+
+
 def known_licenses(spark: SparkSession, licenses: DataFrame | None = None) -> DataFrame:
-    """``digest, license_id`` of a table ``license_id, text``; by default of the licences
-    above, their names in every form, and SPDX tags. Of ids with one digest the least stays."""
+    """``digest, license_id`` of a table ``license_id, text``; by default of the whole
+    texts, their names in every form, and SPDX tags. Of ids with one digest the least stays."""
     if licenses is None:
-        rows = list(TEXTS)
+        rows = whole_texts()
         for spdx, names in NAMES:
             rows += [(spdx, f.format(name=n)) for n in names for f in FORMS] + [(spdx, f"SPDX-License-Identifier: {spdx}")]
         licenses = spark.createDataFrame(rows, "license_id string, text string")
@@ -132,7 +184,8 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None, *, id_col:
     ``license_id`` is the licence that the whole text is, or null; ``notices`` the ids of
     the licences that its lines are, distinct, sorted and joined by commas; ``n_notices``
     the number of such lines. Null and empty texts, and texts of copyright lines alone,
-    have a null digest, no licence and no notices. Texts of any length are normalised
+    have a null digest, no licence and no notices. A line is a copyright line if a holder, a
+    year or a sign follows the word, not if it is a licence's own sentence. Texts of any length are normalised
     whole. Rows are independent, so repeated rows and null ids need no rule; an empty table
     gives an empty result; other columns are ignored.
     """

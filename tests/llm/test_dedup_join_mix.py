@@ -167,6 +167,28 @@ def test_whole_licence_and_spellings(spark):
     assert got[3] == (None, "Apache-2.0,MIT", 2) and got[4] == (None, "", 0) and got[5] == (None, "", 0) and got[6] == ("MIT", "MIT", 1)
 
 
+def test_whole_texts_at_any_wrapping(spark):
+    """Every whole text is found however its paragraphs are wrapped; a copyright line is a
+    notice only."""
+    import re
+    import textwrap
+
+    rows, want = [], {}
+    for spdx, text in license_scan.whole_texts():
+        paragraphs = re.split(r"\n\s*\n", text)
+        for width in (48, 66, 80, 100_000):
+            want[len(rows)] = spdx
+            rows.append((len(rows), "\n\n".join(textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in paragraphs)))
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = {(want[i], rows[i][1].count("\n")) for i in want if got[i] != want[i]}
+    assert not missed
+    assert {spdx for spdx, _ in license_scan.NAMES} - set(want.values()) == {"CC-BY-4.0", "CC-BY-NC-4.0"}
+    notices = ["Copyright 2020 Me", "Copyright (c) Me", "(c) Me and others", "copyright by The Authors", "© Me", "# Copyright The Authors"]
+    body = ["copyright notice and this", "copyright holders be liable", "(c) You must retain", "copyrighted material", "copyright law."]
+    df = spark.createDataFrame([(x,) for x in notices + body], "text string").select(F.size(license_scan.canonical_lines(F.col("text"))).alias("n"))
+    assert [r["n"] for r in df.collect()] == [0] * len(notices) + [1] * len(body)
+
+
 def _record(payload: bytes, name: str = "1") -> bytes:
     import hashlib
 
