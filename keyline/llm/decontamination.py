@@ -8,7 +8,7 @@ within a distance of 7 at least one block differs in at most one bit; each block
 item is indexed under its value and the 16 values one bit away, so the index misses no
 window within the radius. Every window found is laid over the whole item and kept if the
 weighted Jaccard similarity of their 5-word shingles, worked out exactly, is 0.75 or more.
-A shingle weighs the more the fewer items have it.
+A shingle weighs the more the fewer items of the whole benchmark have it.
 
 Benchmark items are collected in blocks of a bounded size and broadcast one block a pass;
 documents are never shuffled.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyline.llm.common import checked_broadcast, extended, free_name, runs, table
+from keyline.llm.common import checked_broadcast, extended, free_name, materialize, runs, table
 from keyline.llm.shingles import PLAIN, shingle_hashes, word_hashes
 
 SIMILARITY = 0.75
@@ -193,23 +193,57 @@ def mark_contaminated(
     name = free_name(docs, hits_col)
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text"))
     items = items.filter(F.length("text") > 0)
-    n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n_bytes, n_items = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     blocks = n_bytes // BLOCK_BYTES + 1
+    items = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
+    counts = materialize(_shingle_counts(items), "benchmark-shingles")
     schema = extended(docs, **{name: T.ArrayType(HIT)})
     names = [f.name for f in schema]
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("similarity", pa.float64())]))
     out = docs
     for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        index = BenchmarkIndex([r["item_id"] for r in part], [r["text"] for r in part], *_weights([r["text"] for r in part]))
+        part = items.filter(F.col("block") == block).orderBy("item_id", "text").collect()
+        weights = _block_weights(counts, block, n_items)
+        index = BenchmarkIndex([r["item_id"] for r in part], [r["text"] for r in part], weights, _unseen(n_items))
         shared = checked_broadcast(docs.sparkSession, index, index.nbytes())
         at = docs.columns.index(text_col)
         out = out.mapInArrow(_marked(shared, at, len(docs.columns) if block else None, names, kind), schema)
     return out, name
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, shingle, n``: of ``block, text, n`` the distinct shingles of each text."""
+    for batch in batches:
+        blocks, texts, n = (batch.column(i).to_pylist() for i in range(3))
+        for a, b in runs(texts, SLICE):
+            sets = [np.unique(shingle_hashes(w)) if len(w) else w for w in words_of(texts[a:b])]
+            sizes = [len(s) for s in sets]
+            columns = [np.repeat(np.array(blocks[a:b], np.int64), sizes), np.concatenate(sets).view(np.int64), np.repeat(np.array(n[a:b], np.int64), sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["block", "shingle", "n"])
+
+
+def _shingle_counts(items: DataFrame) -> DataFrame:
+    """``block, shingle, n``: the shingles of each block of ``items(block, text)`` and how
+    many items of the whole benchmark have them."""
+    texts = items.groupBy("block", "text").agg(F.count("*").alias("n"))
+    by_block = texts.mapInArrow(_shingles, "block long, shingle long, n long").groupBy("shingle", "block").agg(F.sum("n").alias("n"))
+    total = by_block.groupBy("shingle").agg(F.sum("n").alias("n"))
+    return by_block.select("block", "shingle").join(total, "shingle").select("block", "shingle", "n")
+
+
+def _unseen(n_items: int) -> float:
+    return float(np.log1p(max(1, n_items)))
+
+
+def _block_weights(counts: DataFrame, block: int, n_items: int) -> dict[int, float]:
+    """Weights over the whole benchmark of the shingles of one block."""
+    held = counts.filter(F.col("block") == block).select("shingle", "n").toPandas()
+    shingles = held["shingle"].to_numpy(np.int64).view(np.uint64).tolist()
+    return dict(zip(shingles, np.log1p(n_items / held["n"].to_numpy(np.int64)).tolist()))
+
+
 def _weights(texts: list[str]) -> tuple[dict[int, float], float]:
-    """Weight of each shingle of a block's items, log(1 + items / items that have it), and
+    """Weight of each shingle of a whole benchmark's items, log(1 + items / items that have it), and
     of shingles that no item has."""
     counts: dict[int, int] = {}
     for w in words_of(texts):

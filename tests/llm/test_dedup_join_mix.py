@@ -159,6 +159,30 @@ def test_decontamination_blocks_and_clashing_columns(spark, odd, monkeypatch):
     assert name == "_hits" and found(one) == found(several) == [(7, 1, 500, 5)]
 
 
+def _small_benchmark(spark):
+    """Items that share shingles across blocks, and documents with one word of each changed."""
+    shared = prose(70, 12)
+    items = [(i, f"{prose(700 + i, 14 + i % 40)} {shared if i % 2 else ''}") for i in range(40)]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        w[len(w) - 3 if i % 3 else 0] = "changedword"
+        docs.append((i, f"{prose(900 + i, 30)} {' '.join(w)} {prose(950 + i, 30)}"))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), items
+
+
+def test_similarity_does_not_depend_on_blocks(spark, monkeypatch):
+    docs, benchmark, items = _small_benchmark(spark)
+    found = lambda: {(r["doc_id"], h["item_id"], h["start"]): h["similarity"] for r in decontamination.mark_contaminated(docs, benchmark)[0].collect() for h in r["hits"]}
+    one = found()
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 500)
+    several = found()
+    assert len(one) > 10 and several == pytest.approx(one)
+    index = _index(items)
+    plain = {(r["doc_id"], h["item_id"], h["start"]): h["similarity"] for r in docs.collect() for h in index.hits([r["text"]])[0]}
+    assert one == pytest.approx(plain)
+
+
 def test_whole_licence_and_spellings(spark):
     mit = "The MIT License\n\nCopyright (c) 2020 Someone\n" + license_scan.MIT.upper().replace("SUBLICENSE", "sub-licence").replace("\n", "\r\n  ")
     rows = [(1, mit), (2, mit + " and more"), (3, "x\nLicensed under the Apache Licence, version 2.0\nreleased under the MIT license!"), (4, None), (5, "(c) 2020 Me\nAll rights reserved."), (6, "SPDX-License-Identifier: MIT")]
