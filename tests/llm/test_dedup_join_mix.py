@@ -175,7 +175,7 @@ def test_similarity_does_not_depend_on_blocks(spark, monkeypatch):
     docs, benchmark, items = _small_benchmark(spark)
     found = lambda: {(r["doc_id"], h["item_id"], h["start"]): h["similarity"] for r in decontamination.mark_contaminated(docs, benchmark)[0].collect() for h in r["hits"]}
     one = found()
-    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 4000)
     several = found()
     assert len(one) > 10 and several == pytest.approx(one)
     index = _index(items)
@@ -183,6 +183,28 @@ def test_similarity_does_not_depend_on_blocks(spark, monkeypatch):
     assert one == pytest.approx(plain)
 
 
+@pytest.mark.parametrize("n", [12, 13, 16, 18, 20, 23, 24, 25, 32, 33, 40, 48, 64, 100])
+def test_recall_against_brute_force(n):
+    """Copies with words changed at the ends and inside, of every similarity from 0.75."""
+    r = random.Random(n)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    items = [(i, " ".join(word() for _ in range(n))) for i in range(40)]
+    index = _index(items)
+    texts, want = [], []
+    for i, t in items:
+        for head, tail, inside in [(1, 0, 0), (1, 1, 0), (0, 2, 0), (2, 2, 0), (0, 0, 1), (1, 1, 1), (0, 0, 2), (0, 0, 3), (n // 7, 0, 0), (0, n // 9, 1)]:
+            w = t.split()
+            for at in [*range(min(head, n)), *range(max(0, n - tail), n), *[r.randrange(n) for _ in range(inside)]]:
+                w[at] = word()
+            words = decontamination.words_of([" ".join(w)])[0]
+            if index.similarity(i, words) >= decontamination.SIMILARITY:
+                texts.append(f"{word()} {word()} {word()} {' '.join(w)} {word()} {word()}")
+                want.append((i, index.similarity(i, words)))
+    got = index.hits(texts)
+    assert [[h["item_id"] for h in hits] for hits in got] == [[i] for i, _ in want]
+    assert all(hits[0]["similarity"] >= s - 1e-12 for hits, (_, s) in zip(got, want))
+
+
 def test_whole_licence_and_spellings(spark):
     mit = "The MIT License\n\nCopyright (c) 2020 Someone\n" + license_scan.MIT.upper().replace("SUBLICENSE", "sub-licence").replace("\n", "\r\n  ")
     rows = [(1, mit), (2, mit + " and more"), (3, "x\nLicensed under the Apache Licence, version 2.0\nreleased under the MIT license!"), (4, None), (5, "(c) 2020 Me\nAll rights reserved."), (6, "SPDX-License-Identifier: MIT")]
