@@ -37,8 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that have no window similar to a benchmark item."""
-    marked, hits = decontamination.mark_contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return marked.filter(F.size(F.col(hits)) == 0).select(*docs.columns)
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ window within the radius. Every window found is laid over the whole item and kep
 weighted Jaccard similarity of their 5-word shingles, worked out exactly, is 0.75 or more.
 A shingle weighs the more the fewer items of the whole benchmark have it.
 
-Benchmark items are collected in blocks of a bounded size and broadcast one block a pass;
-documents are never shuffled.
+Distinct item texts are collected in blocks, bounded by the bytes of their index, and
+broadcast one block a pass; the ids of the items that have a text join its hits in Spark.
+The query and ``clean`` never shuffle documents.
 """
 
 from __future__ import annotations
@@ -31,10 +32,13 @@ from keyline.llm.shingles import PLAIN, shingle_hashes, word_hashes
 SIMILARITY = 0.75
 RADIUS = 7
 BLOCKS = 4
-BLOCK_BYTES = 2 << 20  # of item text in one broadcast
+BLOCK_BYTES = 16 << 20  # of index entries in one broadcast; the tables of window sizes come on top
+ENTRY = 4 * 17 * 4 + 48  # bytes of a fingerprint in the index
+SHINGLE_ENTRY = 150
 CHUNK = 8_192  # windows fingerprinted at a time
 SLICE = 1 << 20  # characters of documents hashed at a time
 HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("similarity", T.DoubleType())])
+TEXT_HIT = T.StructType([T.StructField("item_id", T.StringType()), *HIT.fields[1:]])  # by the digest of the item's text
 
 
 def window_size(n: int) -> int:
@@ -88,15 +92,15 @@ class _Windows:
         for b in range(BLOCKS):
             values = (blocks[:, b][:, None] ^ near[None, :]).ravel()
             order = np.argsort(values, kind="stable")
-            self.entries.append(np.repeat(np.arange(len(prints)), len(near))[order])
-            self.starts.append(np.searchsorted(values[order], np.arange((1 << 16) + 1)))
+            self.entries.append(np.repeat(np.arange(len(prints), dtype=np.int32), len(near))[order])
+            self.starts.append(np.searchsorted(values[order], np.arange((1 << 16) + 1)).astype(np.int32))
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, entry) of all pairs within the radius, each once."""
         blocks = prints.view(np.uint16).reshape(-1, BLOCKS)
         places, entries = [], []
         for b in range(BLOCKS):
-            low = self.starts[b][blocks[:, b]]
+            low = self.starts[b][blocks[:, b]].astype(np.int64)
             n = self.starts[b][blocks[:, b].astype(np.int64) + 1] - low
             some = np.flatnonzero(n)
             n = n[some]
@@ -113,7 +117,7 @@ class _Windows:
 class BenchmarkIndex:
     """Items of one block: words, fingerprints, shingles with weights."""
 
-    def __init__(self, ids: list[int], texts: list[str | None], weights: dict[int, float], unseen: float):
+    def __init__(self, ids: list, texts: list[str | None], weights: dict[int, float], unseen: float):
         words = words_of(texts)
         self.ids, self.lengths = ids, [len(w) for w in words]
         self.shingles = [np.unique(shingle_hashes(w)).tolist() if len(w) else [] for w in words]
@@ -132,7 +136,7 @@ class BenchmarkIndex:
         self.windows = {size: _Windows(*v) for size, v in sorted(held.items())}
 
     def nbytes(self) -> int:
-        return sum(4 * (8 * (len(w.prints) * 17 + (1 << 16))) for w in self.windows.values()) + 150 * sum(map(len, self.shingles))
+        return sum(ENTRY * len(w.prints) + BLOCKS * 4 * ((1 << 16) + 1) for w in self.windows.values()) + SHINGLE_ENTRY * sum(map(len, self.shingles))
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and those of ``words``."""
@@ -203,27 +207,101 @@ def mark_contaminated(
     repeated rows and null ids need no rule; an empty table gives an empty result and an
     empty benchmark leaves every text clean. Other columns pass through, under any name.
     """
+    items = _items(benchmark, item_col, item_text_col)
+    marked, hits = _mark_texts(docs, items, text_col)
+    row = free_name(marked, "row")
+    marked = materialize(marked.withColumn(row, F.monotonically_increasing_id()), "benchmark-marked")
+    found = _with_ids(marked.select(F.col(row).alias("found_row"), F.explode(hits).alias("hit")), items)
+    each = found.groupBy("found_row").agg(F.array_sort(F.collect_list(F.struct("item_id", "start", "similarity"))).alias("found"))
     name = free_name(docs, hits_col)
+    none = F.array().cast(T.ArrayType(HIT))
+    out = marked.join(each, marked[row] == each["found_row"], "left")
+    return out.select(*[marked[f"`{c}`"] for c in docs.columns], F.coalesce(each["found"], none).alias(name)), name
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which ``mark_contaminated`` finds no item; nothing is shuffled."""
+    marked, hits = _mark_texts(docs, _items(benchmark, item_col, item_text_col), text_col)
+    return marked.filter(F.size(F.col(hits)) == 0).select(*docs.columns)
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text"))
-    items = items.filter(F.length("text") > 0)
-    n_bytes, n_items = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    blocks = n_bytes // BLOCK_BYTES + 1
-    items = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
-    counts = materialize(_shingle_counts(items), "benchmark-shingles")
-    schema = extended(docs, **{name: T.ArrayType(HIT)})
+    return items.filter(F.length("text") > 0)
+
+
+def _key():
+    """Digest of an item's text."""
+    return F.md5(F.col("text").cast("binary")).alias("key")
+
+
+def _with_ids(found: DataFrame, items: DataFrame) -> DataFrame:
+    """``found`` with a ``hit`` on a text, once for each item that has the text."""
+    joined = found.join(items.select("item_id", _key()), F.col("hit.item_id") == F.col("key"))
+    return joined.select(*[c for c in found.columns if c != "hit"], "item_id", "hit.start", "hit.similarity")
+
+
+def _mark_texts(docs: DataFrame, items: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with an array of ``TEXT_HIT``, one for each distinct item text found.
+
+    Distinct texts are indexed once, in blocks bounded by the bytes of their index."""
+    spark, name = docs.sparkSession, free_name(docs, "text_hits")
+    keyed = items.groupBy("text").agg(F.count("*").alias("n")).select(_key(), "n", "text")
+    texts = materialize(keyed.mapInArrow(_sized, "key string, n long, text string, n_bytes long"), "benchmark-texts")
+    buckets, ranges = _blocks(texts)
+    texts = texts.withColumn("block", _bucket(buckets))
+    n_items = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = materialize(_shingle_counts(texts), "benchmark-shingles")
+    schema = extended(docs, **{name: T.ArrayType(TEXT_HIT)})
     names = [f.name for f in schema]
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("similarity", pa.float64())]))
-    out = docs
-    for block in range(blocks):
-        part = items.filter(F.col("block") == block).orderBy("item_id", "text").collect()
-        weights = _block_weights(counts, block, n_items)
-        index = BenchmarkIndex([r["item_id"] for r in part], [r["text"] for r in part], weights, _unseen(n_items))
-        shared = checked_broadcast(docs.sparkSession, index, index.nbytes())
-        at = docs.columns.index(text_col)
-        out = out.mapInArrow(_marked(shared, at, len(docs.columns) if block else None, names, kind), schema)
+    kind = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("similarity", pa.float64())]))
+    out, at = docs, docs.columns.index(text_col)
+    for i, (low, high) in enumerate(ranges):
+        part = texts.filter(F.col("block").between(low, high)).select("key", "text").orderBy("key").collect()
+        weights = _block_weights(counts, low, high, n_items)
+        index = BenchmarkIndex([r["key"] for r in part], [r["text"] for r in part], weights, _unseen(n_items))
+        shared = checked_broadcast(spark, index, index.nbytes())
+        out = out.mapInArrow(_marked(shared, at, len(docs.columns) if i else None, names, kind), schema)
     return out, name
 
 
+def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, n, text`` with the bytes that the text takes in an index."""
+    for batch in batches:
+        sizes, texts = [], batch.column(2).to_pylist()
+        for a, b in runs(texts, SLICE):
+            for text, w in zip(texts[a:b], words_of(texts[a:b])):
+                prints = sum(map(len, item_windows(len(w)).values())) if len(w) else 0
+                sizes.append(ENTRY * prints + SHINGLE_ENTRY * len(w) + len(text))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=["key", "n", "text", "n_bytes"])
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("key"), F.lit(buckets))
+
+
+def _blocks(texts: DataFrame) -> tuple[int, list[tuple[int, int]]]:
+    """A number of hash buckets and the ranges of buckets that make blocks of ``BLOCK_BYTES``
+    at most (a single text may take more)."""
+    total = texts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    buckets = 2 * (total // BLOCK_BYTES) + 1
+    while True:
+        by_bucket = texts.groupBy(_bucket(buckets).alias("b")).agg(F.sum("n_bytes").alias("n_bytes"), F.count("*").alias("n"))
+        held = by_bucket.orderBy("b").collect()
+        if not any(r["n_bytes"] > BLOCK_BYTES and r["n"] > 1 for r in held):
+            break
+        buckets *= 2
+    ranges: list[tuple[int, int]] = []
+    size = 0
+    for r in held:
+        if ranges and size + r["n_bytes"] <= BLOCK_BYTES:
+            ranges[-1], size = (ranges[-1][0], r["b"]), size + r["n_bytes"]
+        else:
+            ranges.append((r["b"], r["b"]))
+            size = r["n_bytes"]
+    return buckets, ranges or [(0, 0)]
+
+
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``block, shingle, n``: of ``block, text, n`` the distinct shingles of each text."""
     for batch in batches:
@@ -235,11 +313,10 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["block", "shingle", "n"])
 
 
-def _shingle_counts(items: DataFrame) -> DataFrame:
-    """``block, shingle, n``: the shingles of each block of ``items(block, text)`` and how
+def _shingle_counts(texts: DataFrame) -> DataFrame:
+    """``block, shingle, n``: the shingles of each block of ``texts(block, text, n)`` and how
     many items of the whole benchmark have them."""
-    texts = items.groupBy("block", "text").agg(F.count("*").alias("n"))
-    by_block = texts.mapInArrow(_shingles, "block long, shingle long, n long").groupBy("shingle", "block").agg(F.sum("n").alias("n"))
+    by_block = texts.select("block", "text", "n").mapInArrow(_shingles, "block long, shingle long, n long").groupBy("shingle", "block").agg(F.sum("n").alias("n"))
     total = by_block.groupBy("shingle").agg(F.sum("n").alias("n"))
     return by_block.select("block", "shingle").join(total, "shingle").select("block", "shingle", "n")
 
@@ -248,9 +325,9 @@ def _unseen(n_items: int) -> float:
     return float(np.log1p(max(1, n_items)))
 
 
-def _block_weights(counts: DataFrame, block: int, n_items: int) -> dict[int, float]:
-    """Weights over the whole benchmark of the shingles of one block."""
-    held = counts.filter(F.col("block") == block).select("shingle", "n").toPandas()
+def _block_weights(counts: DataFrame, low: int, high: int, n_items: int) -> dict[int, float]:
+    """Weights over the whole benchmark of the shingles of a range of blocks."""
+    held = counts.filter(F.col("block").between(low, high)).select("shingle", "n").distinct().toPandas()
     shingles = held["shingle"].to_numpy(np.int64).view(np.uint64).tolist()
     return dict(zip(shingles, np.log1p(n_items / held["n"].to_numpy(np.int64)).tolist()))
 
@@ -269,6 +346,7 @@ def _weights(texts: list[str]) -> tuple[dict[int, float], float]:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item found in it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked, hits = mark_contaminated(docs, table(spark, sf_dir, "benchmark"))
-    found = marked.select("doc_id", F.explode(hits).alias("hit"))
-    return found.select("doc_id", "hit.item_id", F.col("hit.start").alias("start_word"), "hit.similarity")
+    items = _items(table(spark, sf_dir, "benchmark"), "item_id", "text")
+    marked, hits = _mark_texts(docs, items, "text")
+    found = _with_ids(marked.select("doc_id", F.explode(hits).alias("hit")), items)
+    return found.select("doc_id", "item_id", F.col("start").alias("start_word"), "similarity")

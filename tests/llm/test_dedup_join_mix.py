@@ -175,7 +175,7 @@ def test_similarity_does_not_depend_on_blocks(spark, monkeypatch):
     docs, benchmark, items = _small_benchmark(spark)
     found = lambda: {(r["doc_id"], h["item_id"], h["start"]): h["similarity"] for r in decontamination.mark_contaminated(docs, benchmark)[0].collect() for h in r["hits"]}
     one = found()
-    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 100_000)
     several = found()
     assert len(one) > 10 and several == pytest.approx(one)
     index = _index(items)
@@ -183,6 +183,21 @@ def test_similarity_does_not_depend_on_blocks(spark, monkeypatch):
     assert one == pytest.approx(plain)
 
 
+def test_index_of_mixed_lengths_and_hot_texts_stays_bounded(spark, monkeypatch):
+    """Items of many lengths and a third with one text: blocks hold bounded index bytes."""
+    sizes = []
+    shared = decontamination.checked_broadcast
+    monkeypatch.setattr(decontamination, "checked_broadcast", lambda s, v, n: (sizes.append((n, len(v.ids), len(v.windows))), shared(s, v, n))[1])
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 400_000)
+    items = [(i, prose(3000 + i, 3 + 5 * i % 500)) for i in range(60)] + [(100 + i, prose(7, 40)) for i in range(30)]
+    docs = spark.createDataFrame([(1, f"{prose(8, 20)} {prose(7, 40)}"), (2, prose(9, 30))], "doc_id long, text string")
+    marked, name = decontamination.mark_contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = {r["doc_id"]: [h["item_id"] for h in r[name]] for r in marked.collect()}
+    assert got == {1: list(range(100, 130)), 2: []}
+    assert len(sizes) > 1 and sum(n for _, n, _ in sizes) == 61
+    assert all(n - w * 4 * 4 * ((1 << 16) + 1) <= 400_000 for n, _, w in sizes)
+
+
 @pytest.mark.parametrize("n", [12, 13, 16, 18, 20, 23, 24, 25, 32, 33, 40, 48, 64, 100])
 def test_recall_against_brute_force(n):
     """Copies with words changed at the ends and inside, of every similarity from 0.75."""
