@@ -45,20 +45,18 @@ def range_partitions(spark, df: DataFrame) -> int:
 # Share of the driver's result limit that the sample of sort keys may take.
 SAMPLE_SHARE = 8
 SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
-SAMPLED_LINES = 10_000
 
 
 def bound_key_sample(spark, df: DataFrame, column: str, parts: int) -> None:
     """Bound the bytes of sort keys that a range exchange samples to the driver.
 
     Spark samples about 3 x sampleSizePerPartition x partitions whole keys. The setting
-    is lowered (never raised) so that keys of the mean length of ``df.column``, taken
-    over its first lines, fit in an eighth of ``spark.driver.maxResultSize``. It stays
+    is lowered (never raised) so that keys of the mean length of ``df.column``, over
+    all its lines (one aggregate), fit in an eighth of ``spark.driver.maxResultSize``. It stays
     lowered in the session; fewer samples only make partitions less even.
     """
     limit = conf_bytes(spark, "spark.driver.maxResultSize", 1 << 30) or 1 << 30
-    head = df.select(F.octet_length(column).alias("n")).limit(SAMPLED_LINES)
-    mean = (head.agg(F.avg("n")).first()[0] or 0) + 48
+    mean = (df.agg(F.avg(F.octet_length(column))).first()[0] or 0) + 48
     fit = int(limit / SAMPLE_SHARE / mean / 3 / max(1, parts))
     spark.conf.set(SAMPLE_SETTING, max(1, min(fit, int(spark.conf.get(SAMPLE_SETTING, "100")))))
 

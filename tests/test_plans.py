@@ -142,6 +142,21 @@ def test_key_sample_fits_a_byte_budget(spark):
         spark.conf.set(SAMPLE_SETTING, before)
 
 
+def test_key_sample_counts_long_lines_behind_short_ones(spark):
+    from pyspark.sql import functions as F
+
+    from keyline.operators.sort import SAMPLE_SETTING, bound_key_sample
+
+    before = spark.conf.get(SAMPLE_SETTING, "100")
+    try:
+        spark.conf.set(SAMPLE_SETTING, "100")
+        lines = spark.range(0, 40_000, 1, 1).select(F.when(F.col("id") < 20_000, F.lit("short")).otherwise(F.repeat(F.lit("x"), 4_000)).alias("v"))
+        bound_key_sample(spark, lines, "v", 20_000)
+        assert 1 <= int(spark.conf.get(SAMPLE_SETTING)) * 3 * 20_000 * 2_000 <= (1 << 30) / 4
+    finally:
+        spark.conf.set(SAMPLE_SETTING, before)
+
+
 def test_merge_has_one_exchange_and_takes_no_inputs(spark):
     from keyline.operators.sort import merge_sorted
 
