@@ -1,8 +1,10 @@
 """Personal data by rules and by bootstrapped contexts.
 
 Rules find e-mail addresses, IP addresses, card and phone numbers. These are the seeds of
-a bootstrap. The lexical pattern of a place is the two words to its left; places are the
-seeds and all other identifier-like words (letters and digits mixed). Spark holds the
+a bootstrap. The lexical pattern of a place is the two words to its left (at the
+start of a line those of the line before, at the start of the text those to its right);
+places are the seeds, all other identifier-like words (with a digit) and runs of such
+words a space apart. Spark holds the
 graph of patterns and instances (distinct values) and scores it in rounds: a pattern is
 trusted if it holds enough distinct known identifiers and these are most of its instances;
 an instance becomes known when a trusted pattern holds it. Places that trusted patterns
@@ -12,6 +14,7 @@ hold and no rule found are the discovered identifiers.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -23,7 +26,6 @@ from pyspark.sql import functions as F
 from keyline.llm.common import materialize, table
 
 KINDS = ("email", "ip", "card", "phone", "id")  # "id": found by context
-ROUNDS = 3
 KNOWN_VALUES = 5  # distinct known identifiers that a trusted pattern holds at least
 PRECISION = 0.6  # share of known ones among the distinct values of a trusted pattern
 
@@ -35,6 +37,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]++")
+TOKEN = r"(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]++"
+GROUPS = re.compile(rf"(?<![A-Za-z0-9_-]){TOKEN}(?: {TOKEN})++")
 IDENTIFIER_CHARS = (6, 64)
 CONTEXT_CHARS = 80
 
@@ -77,26 +81,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def context(text: str, start: int) -> str:
-    """The pattern of a place: the two words to its left on its line, digits as 0."""
-    left = text[max(0, start - CONTEXT_CHARS) : start].rpartition("\n")[2].split()[-2:]
-    return re.sub(r"[0-9]+", "0", " ".join(left).lower())
+def context(text: str, start: int, end: int) -> str:
+    """The pattern of a place: the two words to its left on its line, digits as 0. Without
+    any, the last two of the text before with a line break, or the next two behind one."""
+    left = text[max(0, start - CONTEXT_CHARS) : start]
+    words = " ".join(left.rpartition("\n")[2].split()[-2:])
+    if not words and (before := left.split()[-2:]):
+        words = " ".join(before) + " \n"
+    elif not words and (after := text[end : end + CONTEXT_CHARS].split()[:2]):
+        words = "\n " + " ".join(after)
+    return re.sub(r"[0-9]+", "0", words.lower())
 
 
 def places(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
     """``(start, end, pattern, value, known)``: the spans and the other identifiers."""
-    out = [(s, e, context(text, s), text[s:e].lower(), True) for s, _, e in spans]
+    out = [(s, e, context(text, s, e), text[s:e].lower(), True) for s, _, e in spans]
+    for pattern in (IDENTIFIER, GROUPS):
+        out += _candidates(pattern, text, spans)
+    return [p for p in out if p[2]]
+
+
+def _candidates(pattern: re.Pattern, text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
+    """Places of ``pattern`` that overlap no span."""
+    out: list[tuple[int, int, str, str, bool]] = []
     covered, reach = sorted((s, e) for s, _, e in spans), 0
     at = 0
-    for m in IDENTIFIER.finditer(text):
+    for m in pattern.finditer(text):
         if not IDENTIFIER_CHARS[0] <= m.end() - m.start() <= IDENTIFIER_CHARS[1]:
             continue
         while at < len(covered) and covered[at][0] < m.end():
             reach = max(reach, covered[at][1])
             at += 1
         if reach <= m.start():
-            out.append((m.start(), m.end(), context(text, m.start()), m.group().lower(), False))
-    return [p for p in out if p[2]]
+            out.append((m.start(), m.end(), context(text, m.start(), m.end()), m.group().lower(), False))
+    return out
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
@@ -124,35 +142,35 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row += n
 
 
-def trusted_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def trusted_patterns(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """``pattern, score`` from the graph ``edges(pattern, value, known)``, each pair once.
 
     The score is the share of known values among all values of the pattern. Only patterns
     that hold ``KNOWN_VALUES`` known ones can be trusted in any round, and what a pattern
-    holds only grows, so the rounds go on until nothing changes or ``rounds`` are done.
+    holds only grows, so the rounds go on until nothing changes (or ``rounds`` are done).
     """
     known = edges.filter("known").select("value").distinct()
     trusted = None
-    for _ in range(rounds):
+    for done in itertools.count(1):
         marked = edges.join(known.withColumn("is_known", F.lit(True)), "value", "left")
         scores = marked.groupBy("pattern").agg(F.count("*").alias("n"), F.count("is_known").alias("hits"))
         trusted = scores.filter((F.col("hits") >= KNOWN_VALUES) & (F.col("hits") >= PRECISION * F.col("n")))
         trusted = materialize(trusted.select("pattern", (F.col("hits") / F.col("n")).alias("score")), "pii-patterns")
         more = edges.join(trusted, "pattern", "left_semi").select("value")
         grown = materialize(known.union(more).distinct(), "pii-known")
-        if grown.count() == known.count():
+        if done == rounds or grown.count() == known.count():
             break
         known = grown
     return trusted
 
 
-def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None) -> DataFrame:
     """``doc_id, spans, base, base_sha256`` for every row: arrays of ``(start, kind, end)``
     in code points, end exclusive, by start, then kind; ``base`` has the rules' alone.
 
     Null text counts as empty and has no spans. Texts of any length are searched whole.
     Rules apply to each row by itself, so repeated rows give the same base spans; a place
-    with nothing to its left has no pattern. Null ids stay null. An empty table gives an
+    that is the whole text has no pattern. Null ids stay null. An empty table gives an
     empty result; other columns are ignored.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

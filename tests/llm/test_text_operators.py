@@ -164,6 +164,23 @@ def test_pii_query(spark):
         assert [x for x in r["spans"].split(",") if x and not x.startswith("id:")] == [x for x in text.split(",") if x]
 
 
+def test_bootstrap_goes_on_until_nothing_grows(spark):
+    """A chain of six patterns, each of whose values the one before makes known."""
+    edges = [(f"p{k}", f"v{j}-{i}", j == 0) for k in range(6) for j in (k, k + 1) for i in range(6 if j == k else 3)]
+    # v{k+1} has six values; a pattern p{k}b shares its other half.
+    edges += [(f"q{k}", f"v{j}-{i}", j == 0) for k in range(6) for j in (k, k + 1) for i in (range(6) if j == k else range(3, 6))]
+    got = pii.trusted_patterns(spark.createDataFrame(edges, "pattern string, value string, known boolean"))
+    assert {r["pattern"] for r in got.collect()} == {f"{x}{k}" for x in "pq" for k in range(6)}
+
+
+def test_groups_and_line_starts_are_candidates(spark):
+    rows = [(i, f"Please write to user{i}@mail{i}.example.com today\nand reach me at\nuser{i}@mail{i}.example.com") for i in range(8)]
+    rows += [(100, "Please write to 555 123 4567 now"), (101, "and reach me at\nagent-007x"), (102, "Please write to DE89 3704 0044 0532 0130 00.")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = lambda i: {rows[8 + i - 100][1][s["start"] : s["end"]] for s in found[i]}
+    assert "555 123 4567" in spans(100) and "agent-007x" in spans(101) and "DE89 3704 0044 0532 0130 00" in spans(102)
+
+
 def test_bootstrap_finds_unseen_identifiers(spark):
     """Known addresses teach "write to"; an identifier that no rule knows follows it."""
     rows = [(i, f"Please write to user{i}@mail{i}.example.com today") for i in range(8)]
