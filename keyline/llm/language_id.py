@@ -8,8 +8,8 @@ are frozen, so the cost depends on the last ``ORDER`` bytes alone, and the costs
 languages for each n-gram that any language knows are worked out once. Scoring a text is
 one table look-up a byte (a few more for n-grams that no language knows) and exact.
 
-Training counts n-grams in Spark over a sample of whole labelled rows bounded by
-``TRAIN_BYTES`` in all; the tables are broadcast behind a check of their size.
+Training counts n-grams in Spark over a sample of pieces of labelled rows bounded by
+``TRAIN_BYTES`` in all, with one piece of every language at least; the tables are broadcast behind a check of their size.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from keyline.llm.common import checked_broadcast, extended, fold, free_name, tab
 ORDER = 4
 TRAIN_BYTES = 8 << 20  # of text, over all languages, in expectation
 LANGUAGE_BYTES = 2 << 20  # of text, a language at most
+PIECE = 1 << 14  # characters of a row that are drawn together
 MIN_COUNT = 2  # n-grams of order 3 and up that were seen less are left out of the trees
 MAX_NODES = 4_000_000
 CHUNK = 1 << 18  # bytes scored at a time
@@ -226,22 +227,39 @@ def _counted(texts: list[bytes], lang: int, order: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["language", "order", "key", "n"])
 
 
+def _draw(k: Column) -> Column:
+    """Draw of piece ``k`` of a row, in [0, 1)."""
+    seed = F.lit("language sample")
+    hashed = F.when(k == 0, F.xxhash64(seed, F.col("id"))).otherwise(F.xxhash64(seed, F.col("id"), k))
+    return F.pmod(hashed, F.lit(1 << 20)) / float(1 << 20)
+
+
 def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> PpmModel:
     """Context trees of the languages of ``labelled``. Rows with null label, text or id
-    teach nothing. Rows are picked whole by a hash of their id, at one rate a language, so
-    that a language gives ``LANGUAGE_BYTES``, and all give ``TRAIN_BYTES``, in expectation."""
+    teach nothing. Pieces of at most ``PIECE`` characters are picked by a hash of the row's
+    id and their place, at one rate a language, so that a language gives ``LANGUAGE_BYTES``,
+    and all give ``TRAIN_BYTES``, in expectation. The piece of a language with the least
+    hash is always picked, so that no language with text goes untaught."""
     rows = labelled.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull())
-    sizes = {r["lang"]: r["b"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).collect()}
+    last = F.greatest(F.lit(0), F.floor((F.length("text") - 1) / PIECE)).cast("int")
+    draws = F.transform(F.sequence(F.lit(0), last), _draw)
+    least = F.min(F.when(F.length("text") > 0, F.array_min(draws))).alias("least")
+    found = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b"), least).collect()
+    sizes = {r["lang"]: r["b"] for r in found}
+    leasts = {r["lang"]: 0.0 if r["least"] is None else r["least"] for r in found}
     languages = sorted(sizes)
     if not languages:
         return PpmModel([], pd.DataFrame({c: pd.Series(dtype="int64") for c in ("language", "order", "key", "n")}), order)
     each = min(LANGUAGE_BYTES, TRAIN_BYTES // len(languages))
     rates = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, each / max(1, sizes[lang])))])
     codes = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), "id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(draw < rates[F.col("lang")]).select(codes[F.col("lang")].cast("long").alias("code"), "text")
+    first = F.create_map(*[F.lit(x) for lang in languages for x in (lang, leasts[lang])])
+    lang = F.col("lang")
+    picked = F.filter(F.sequence(F.lit(0), last), lambda k: (_draw(k) < rates[lang]) | (_draw(k) <= first[lang]))
+    pieces = F.transform(picked, lambda k: F.substr(F.col("text"), k * PIECE + 1, F.lit(PIECE)))
+    sample = rows.select(codes[lang].cast("long").alias("code"), F.explode(pieces).alias("text"))
     counts = sample.mapInArrow(_count(order), "language long, order long, key long, n long")
     counts = counts.groupBy("language", "order", "key").agg(F.sum("n").alias("n"))
     kept = counts.filter((F.col("order") < 3) | (F.col("n") >= MIN_COUNT)).limit(MAX_NODES + 1).toPandas()

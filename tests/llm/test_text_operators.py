@@ -67,6 +67,17 @@ def test_language_held_out(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_language_of_few_long_documents_is_taught(spark, monkeypatch):
+    """A language whose text lies in two long documents gives pieces to a small sample."""
+    monkeypatch.setattr(language_id, "LANGUAGE_BYTES", 8_000)
+    long = [(i, "ωκεανός " * 20_000, "el") for i in range(2)]
+    short = [(10 + i, prose(i, 60), "en") for i in range(40)]
+    docs = spark.createDataFrame(long + short, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model.languages == ["el", "en"] and model.predict(["ωκεανός ωκεανός"])[0] == ["el"]
+    assert model.code_lengths(["ωκεανός".encode()])[0][0] < 14 * 6
+
+
 def test_language_odd_rows(spark, odd):
     got = {r["doc_id"]: r for r in language_id.op1_language_id(spark, odd).collect()}
     assert [got[i]["lang_pred"] for i in (4, 5, 6, 13)] == ["und"] * 4 and got[13]["score"] == 0.0
