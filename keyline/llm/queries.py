@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, mixing, pii, token_counts, toxicity, warc
+from keyline.llm import (
+    alignment,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    license_scan,
+    mixing,
+    pii,
+    token_counts,
+    toxicity,
+    warc,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -20,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
+    "op11_whitening": whitening.op11_whitening,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
