@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keyline.llm import (
     alignment,
+    bloom_lm,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
     "op11_whitening": whitening.op11_whitening,
+    "op12_lm_scoring": bloom_lm.op12_lm_scoring,
     "op13_alignment": alignment.op13_alignment,
 }
 
