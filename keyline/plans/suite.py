@@ -34,6 +34,7 @@ from keyline.operators.sort import merge_sorted, sort_records, sort_within_shard
 from keyline.plans import corpora as C
 from keyline.plans.sort_file import sort_file
 from keyline.session import scratch_path
+from keyline.sources import generator as G
 from keyline.sources.generator import SIZE_UNIT, generate_lines, line_size
 from keyline.sources.lines import read_numbered_lines
 from keyline.sources.sinks import REPORT_SCHEMA, write_lines
@@ -360,7 +361,7 @@ def _doc_chars(spark, sf) -> int:
 
 
 def generate_lines_q(spark, sf):
-    """SRC-3: as many generated characters as the documents table holds (rows-only check)."""
+    """SRC-3: as many generated characters as the documents table holds."""
     return generate_lines(spark, target_chars=_doc_chars(spark, sf), seed=42).select("id", "number", "text")
 
 
@@ -377,6 +378,22 @@ def generate_size_check(spark, sf):
     )
 
 
+def generate_totals(spark, sf):
+    """GEN-2/3, NUM-3..6, STR-10/12: totals of the generated lines, reuse and signs among them."""
+    n_rows, pool = G.find_cut(spark, _doc_chars(spark, sf), 42, 0.01)
+    rows = G.with_source(G.generated_lines(spark, n_rows, 42, 0.01, pool), 42, 0.01, pool)
+    text = F.char_length("text")
+    return rows.agg(
+        F.count("*").alias("n_lines"),
+        F.sum(line_size(F.col("number"), text)).cast("bigint").alias("n_chars"),
+        F.max("id").alias("last_id"),
+        F.count_if(F.col("number") < 0).alias("n_negative"),
+        F.count_if(F.col("src") != F.col("id")).alias("n_reused"),
+        F.min(text).alias("shortest"),
+        F.max(text).alias("longest"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "parse_lines": parse_lines,
     "parse_rejects": parse_rejects,
@@ -412,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "encoding_roundtrip_ascii": encoding_roundtrip_ascii,
     "encoding_roundtrip_windows1252": encoding_roundtrip_windows1252,
     "generate_lines": generate_lines_q,
+    "generate_totals": generate_totals,
     "generate_size_check": generate_size_check,
 }
 
@@ -483,6 +501,35 @@ BLANKS_SQL = f"""SELECT row_number() OVER (ORDER BY text, number, flag) AS ln, v
   FROM ({P1}) WHERE parse_error IS NULL AND number % 10 = 0)"""
 DOC_CHARS_SQL = "SELECT sum(length(text)) FROM documents"
 
+
+def generated_sql(target: str, seed: int, reuse_chance: float) -> str:
+    """DuckDB SQL of the generated lines (id, number, text, size) up to a size."""
+    words = "[" + ", ".join(f"'{w}'" for w in G.WORDS) + "]"
+    span, n = G.MAX_TEXT - G.MIN_TEXT + 1, len(G.WORDS)
+    return f"""
+        WITH target AS (SELECT CAST(({target}) AS BIGINT) AS chars),
+        ids AS (SELECT unnest(range(0, (SELECT chars // {G.MIN_TEXT + 4} + 2 FROM target))) AS id),
+        drawn AS (SELECT id, CAST(('0x' || substr(h, 1, 16)) AS UBIGINT) & 9223372036854775807 AS v, CAST(('0x' || substr(h, 17, 15)) AS BIGINT) AS y
+            FROM (SELECT id, md5('{seed}:' || id) AS h FROM ids)),
+        rolled AS (SELECT id, y, CASE WHEN y % 100 < {int(100 * G.NEGATIVE_CHANCE)} THEN -CAST(v AS BIGINT) ELSE CAST(v AS BIGINT) END AS number,
+            id = 0 OR (y // 100) % 1000000 >= {reuse_chance * 1_000_000} AS fresh FROM drawn),
+        pool AS (SELECT id AS pool_id, row_number() OVER (ORDER BY id) - 1 AS k FROM rolled WHERE fresh ORDER BY id LIMIT {G.POOL_SIZE}),
+        reusing AS (SELECT r.id, (any_value(r.y) // 100000000) % count(*) AS k FROM rolled r JOIN pool p ON p.pool_id < r.id WHERE NOT r.fresh GROUP BY r.id),
+        sourced AS (SELECT r.id, r.number, coalesce(p.pool_id, r.id) AS src FROM rolled r LEFT JOIN reusing u USING (id) LEFT JOIN pool p USING (k)),
+        worded AS (SELECT *, 10 + x % {span} AS len, 1 + (x // {span}) % least({G.MAX_WORDS}, (10 + x % {span}) // 5) AS n_words
+            FROM (SELECT *, CAST(('0x' || substr(t, 1, 15)) AS BIGINT) AS x, CAST(('0x' || substr(t, 16, 15)) AS BIGINT) AS z
+                FROM (SELECT *, md5('{seed}:' || src || ':t') AS t FROM sourced))),
+        sized AS (SELECT *, length(CAST(number AS VARCHAR)) + 3 + len AS size FROM worded),
+        kept AS (SELECT * FROM (SELECT *, sum(size) OVER (ORDER BY id) - size AS before FROM sized) WHERE before < (SELECT chars FROM target)),
+        joined AS (SELECT *, array_to_string([({words})[CAST((z // CAST(pow({n}, k) AS BIGINT)) % {n} AS INTEGER) + 1] for k in range(0, n_words)], ' ') AS j FROM kept),
+        cut AS (SELECT *, CASE WHEN length(j) > len AND substr(j, len, 1) = ' ' THEN substr(j, 1, len - 1) || substr(j, len + 1, 1) ELSE substr(j, 1, len) END AS c FROM joined),
+        padded AS (SELECT *, replace(replace(array_to_string([to_base64(unhex(substr(sha256('{seed}:' || src || ':' || b), 1, {G._PAD_HEX})))
+            for b in range(0, (len - length(c) + {G._PAD_BLOCK - 1}) // {G._PAD_BLOCK} + 1)], ''), '+', ''), '/', '') AS pad FROM cut)
+        SELECT id, number, CASE WHEN len > length(c) THEN c || rpad(pad, CAST(len - length(c) AS INTEGER), 'a') ELSE c END AS text, CAST(size AS BIGINT) AS size, src FROM padded"""
+
+
+GENERATED = generated_sql(DOC_CHARS_SQL, 42, 0.01)
+
 ORACLES: dict[str, str] = {
     "parse_lines": f"SELECT line_id, value, number, text, parse_error FROM ({P5})",
     "parse_rejects": f"SELECT source, id, idx, value, parse_error FROM ({PR}) WHERE parse_error IS NOT NULL",
@@ -560,6 +607,10 @@ FROM r a JOIN r b ON b.line_id = a.line_id + 1""",
     "encoding_roundtrip_utf16": f"SELECT row_number() OVER (ORDER BY doc_id, idx) AS line_no, value FROM ({C.C3_SQL})",
     "run_report": f"""SELECT 'ok' AS status, count(*) AS rows_in, count(parse_error) AS rows_rejected,
   count(*) - count(parse_error) AS rows_out FROM ({P5})""",
+    "generate_lines": f"SELECT id, number, text FROM ({GENERATED})",
+    "generate_totals": f"""SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(size) AS BIGINT) AS n_chars, CAST(max(id) AS BIGINT) AS last_id,
+        CAST(count(*) FILTER (number < 0) AS BIGINT) AS n_negative, CAST(count(*) FILTER (src <> id) AS BIGINT) AS n_reused,
+        CAST(min(length(text)) AS INTEGER) AS shortest, CAST(max(length(text)) AS INTEGER) AS longest FROM ({GENERATED})""",
     "generate_size_check": f"SELECT CAST(({DOC_CHARS_SQL}) AS BIGINT) AS target_chars, true AS reached, true AS minimal",
 }
 

@@ -1,9 +1,12 @@
 """Synthetic keyed lines (SRC-3, GEN-1..3, NUM-3..6, STR-9..12, WIN-3).
 
-Every random choice for row ``id`` is a hash of the id, the seed and a salt
-(``xxhash64``; SHA-512 for the padding letters), so a row depends on its id alone and
-the same ``(size, seed, reuse_chance)`` gives the same lines on any cluster size, at any
-size of the output and on task retries.
+Randomness is a counter-based stream that any engine can repeat: the MD5 of
+``"{seed}:{id}"`` gives row ``id`` its number, sign and reuse, the MD5 of
+``"{seed}:{id}:t"`` its text's length and words, and the SHA-256 of
+``"{seed}:{id}:{block}"`` its padding. Whole numbers are runs of 15 hex digits, taken
+apart by division. A row thus depends on its id alone: the same ``(size, seed,
+reuse_chance)`` gives the same lines on any cluster size, at any size of the output and on
+task retries, and the DuckDB oracle of ``generate_lines`` computes them again.
 
 Per line: a non-negative 63-bit number, negated with probability 0.01; a text of
 length 10..1024 made of 1..min(9, length/5) words from a fixed list joined by
@@ -45,44 +48,51 @@ MAX_WORDS = 9
 NEGATIVE_CHANCE = 0.01
 SIZE_UNIT = 1_000_000  # characters per "MB" of --size
 
-# Salts of the independent random streams.
-_NUM, _SIGN, _REUSE, _PICK, _LEN, _WC, _WORD, _PAD = 1, 2, 3, 4, 5, 6, 100, 200
-_UNIT = 1_000_000
-# Padding characters counted on per hash block (a block gives about 81).
-_PAD_BLOCK = 64
+_REUSE_UNIT = 1_000_000  # steps of the reuse chance
+# Fewest padding characters counted on per block: a block is 40 signs of base 64 (30 bytes,
+# so that every sign has six random bits), about 38.8 of them letters or digits.
+_PAD_HEX = 60
+_PAD_BLOCK = 36
+_PAD_BLOCKS = 2 + (MAX_TEXT - 1) // _PAD_BLOCK
 ROWS_PER_PARTITION = 25_000  # grid cell of generated rows (about 13.5 MB of text per task)
 MAX_PARTITIONS = 100_000  # larger outputs get larger cells instead of more tasks
 FANOUT = 4096  # buckets per level of the size-cut search
 
 
-def _h(id_col: Column, seed: int, salt: int) -> Column:
-    return F.xxhash64(id_col, F.lit(seed).cast("bigint"), F.lit(salt))
+def _digest(id_col: Column, seed: int, stream: str = "") -> Column:
+    return F.md5(F.concat(F.lit(f"{int(seed)}:"), id_col.cast("string"), F.lit(stream)))
 
 
-def _uniform(id_col: Column, seed: int, salt: int) -> Column:
-    """NUM-5: a double in [0, 1)."""
-    return F.pmod(_h(id_col, seed, salt), F.lit(_UNIT)) / F.lit(float(_UNIT))
+def _whole(digest: Column, start: int) -> Column:
+    """NUM-4, NUM-5: a whole number below 2^60 from 15 hex digits of a digest."""
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
 
 
-def _below(id_col: Column, seed: int, salt: int, n: Column | int) -> Column:
-    """NUM-4: an int in [0, n); 0 when n <= 0."""
-    n = F.lit(n) if isinstance(n, int) else n
-    return F.when(n <= 0, F.lit(0)).otherwise(F.pmod(_h(id_col, seed, salt), n.cast("bigint")).cast("int"))
+def _div(a: Column, n: int) -> Column:
+    return F.call_function("div", a, F.lit(n).cast("bigint"))
 
 
 def number_expr(id_col: Column, seed: int) -> Column:
     """NUM-3: non-negative 63-bit value, negated with probability 0.01."""
-    value = _h(id_col, seed, _NUM).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return F.when(_uniform(id_col, seed, _SIGN) < NEGATIVE_CHANCE, -value).otherwise(value)
+    digest = _digest(id_col, seed)
+    value = F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    return F.when(_whole(digest, 17) % 100 < int(100 * NEGATIVE_CHANCE), -value).otherwise(value)
 
 
 def is_fresh(id_col: Column, seed: int, reuse_chance: float) -> Column:
     """GEN-2: a row draws a new text unless the pool is non-empty and it rolls reuse."""
-    return (id_col == 0) | (_uniform(id_col, seed, _REUSE) >= F.lit(float(reuse_chance)))
+    roll = _div(_whole(_digest(id_col, seed), 17), 100) % _REUSE_UNIT
+    return (id_col == 0) | (roll >= F.lit(float(reuse_chance) * _REUSE_UNIT))
+
+
+def _pick(id_col: Column, seed: int, n: Column) -> Column:
+    """The pool slot below ``n`` that a reusing row takes."""
+    return (_div(_whole(_digest(id_col, seed), 17), 100 * _REUSE_UNIT) % n).cast("int")
 
 
 def text_length(src: Column, seed: int) -> Column:
-    return F.lit(MIN_TEXT) + _below(src, seed, _LEN, MAX_TEXT - MIN_TEXT + 1)
+    span = MAX_TEXT - MIN_TEXT + 1
+    return (F.lit(MIN_TEXT) + _whole(_digest(src, seed, ":t"), 1) % span).cast("int")
 
 
 def pool_table(spark: SparkSession, pool: list[int]) -> DataFrame:
@@ -107,7 +117,7 @@ def with_source(df: DataFrame, seed: int, reuse_chance: float, pool: list[int],
     rank = F.array_position(F.sort_array(F.array_union(arr, F.array(i))), i) - F.lit(1)
     fill = F.when(F.col("_fresh"), F.lit(None).cast("int")).when(i > F.lit(int(pool[-1])), F.lit(len(pool)))
     staged = staged.select("*", fill.otherwise(rank.cast("int")).alias("_fill"))
-    staged = staged.select("*", F.when(~F.col("_fresh"), _below(i, seed, _PICK, F.col("_fill"))).alias("_k"))
+    staged = staged.select("*", F.when(~F.col("_fresh"), _pick(i, seed, F.col("_fill"))).alias("_k"))
     table = F.broadcast(pool_table(df.sparkSession, pool))
     joined = staged.join(table, F.col("_k") == F.col("k"), "left")
     return joined.select(*df.columns, F.coalesce(F.col("pool_id"), i).alias(out))
@@ -115,10 +125,13 @@ def with_source(df: DataFrame, seed: int, reuse_chance: float, pool: list[int],
 
 def word_picks(src: Column, seed: int) -> tuple[Column, Column, list[Column]]:
     """Length, word count and the (up to 9) chosen words of fresh row ``src``."""
+    digest, span = _digest(src, seed, ":t"), MAX_TEXT - MIN_TEXT + 1
     length = text_length(src, seed)
-    n_words = F.lit(1) + _below(src, seed, _WC, F.least(F.lit(MAX_WORDS + 1), F.floor(length / 5) + 1) - 1)
+    most = F.least(F.lit(MAX_WORDS), F.floor(length / 5)).cast("bigint")
+    n_words = (F.lit(1) + _div(_whole(digest, 1), span) % most).cast("int")
     words = F.array(*[F.lit(w) for w in WORDS])
-    picked = [F.element_at(words, _below(src, seed, _WORD + k, len(WORDS)) + 1) for k in range(1, MAX_WORDS + 1)]
+    drawn = _whole(digest, 16)
+    picked = [F.element_at(words, (_div(drawn, len(WORDS) ** k) % len(WORDS) + 1).cast("int")) for k in range(MAX_WORDS)]
     return length, n_words, picked
 
 
@@ -150,18 +163,20 @@ def with_text(df: DataFrame, seed: int, src: str = "src") -> DataFrame:
 def padding(src: Column, seed: int, need: Column) -> Column:
     """STR-11: ``need`` letters/digits, uniform over the 62-character alphabet.
 
-    Blocks are base 64 of 63 bytes (whole signs) of the SHA-512 of (id, seed, block),
-    without its two other signs, so
-    the padding depends on the id alone, whatever the partitions. One block more than
-    needed is drawn; should the blocks still fall short, "a" fills up.
+    Blocks are the base 64 of SHA-256 digests of (id, seed, block) without its two other
+    signs, so the padding depends on the id alone, whatever the partitions. Blocks are
+    drawn while fewer than ``need`` characters are sure; should they still fall short,
+    "a" fills up.
     """
-    last = F.ceil(need / F.lit(float(_PAD_BLOCK))).cast("int")
-    head = F.concat(src.cast("string"), F.lit(f":{int(seed)}:{_PAD}:"))
-    drawn = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda j: F.translate(F.base64(F.unhex(F.substring(F.sha2(F.concat(head, j.cast("string")), 512), 1, 126))), "+/=\r\n", ""),
-    )
-    return F.when(need > 0, F.rpad(F.array_join(drawn, ""), need, F.lit("a"))).otherwise(F.lit(""))
+    head = F.concat(F.lit(f"{int(seed)}:"), src.cast("string"), F.lit(":"))
+    blocks = [
+        F.when(need > (j - 1) * _PAD_BLOCK, F.base64(F.unhex(F.substring(F.sha2(F.concat(head, F.lit(str(j))), 256), 1, _PAD_HEX)))).otherwise(F.lit(""))
+        for j in range(_PAD_BLOCKS)
+    ]
+    drawn = F.concat(*blocks)
+    for sign in "+/":
+        drawn = F.replace(drawn, F.lit(sign), F.lit(""))
+    return F.when(need > 0, F.rpad(drawn, need, F.lit("a"))).otherwise(F.lit(""))
 
 
 def line_size(number: Column, length: Column) -> Column:
