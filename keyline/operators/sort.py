@@ -116,6 +116,41 @@ def sort_within_shards(
     return runs.select(*keep, "number", text_from_key(F.col("_k"), F.col("_t")).alias("text"))
 
 
+def sort_shards(
+    df: DataFrame,
+    shards: list[str],
+    number: str = "number",
+    text: str = "text",
+    text_order: str = "utf16",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """SRT-2: every shard sorted on its own, whatever its size: ``shards`` columns,
+    ``rank`` (1-based within the shard), ``number, text``, in (shard, record) order.
+
+    One range exchange on (shard, key, number, scan position) cuts a large shard into
+    several tasks and packs small ones together, so no task depends on how records fall
+    into shards. Ranks come from the fixed copy: the records of a shard in the partitions
+    before it (one row a shard and partition that meet) plus the place in its own.
+    """
+    spark = df.sparkSession
+    rows = df.select(*shards, F.col(number).alias("number"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_u"))
+    keyed = with_ordinal_key(rows, "_text", "_k", "_t", text_order).select(*shards, "_k", "number", "_t", "_u")
+    keys = [*shards, "_k", "number", "_u"]
+    parts = num_partitions or range_partitions(spark, df)
+    bound_key_sample(spark, df, text, parts)
+    runs = keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("_u")
+    fixed = reliable_checkpoint(runs)
+    shard = F.struct(*shards).alias("_s")  # null shards are equal as parts of a struct
+    placed = fixed.select("*", shard, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
+    # Shards meet partitions in runs, so this has at most shards + partitions rows.
+    met = placed.groupBy("_p", "_s").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
+    before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    met = reliable_checkpoint(met.select("_p", "_s", "_i0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    out = join_small(placed, met, ["_p", "_s"])
+    rank = (F.col("_off") + F.col("_i") - F.col("_i0") + F.lit(1)).alias("rank")
+    return out.select(*shards, rank, "number", text_from_key(F.col("_k"), F.col("_t")).alias("text"))
+
+
 def merge_sorted(inputs: list[DataFrame], text_order: str = "utf16", spark: SparkSession | None = None) -> DataFrame:
     """SRT-3: merge record inputs into one sorted output, duplicates kept (bag union).
 

@@ -30,7 +30,8 @@ from keyline.functions.record import (
 )
 from keyline.operators.audit import NO_PREVIOUS, audit_lines
 from keyline.operators.filter import parse_records, reject_reason, rejected_lines
-from keyline.operators.sort import merge_sorted, sort_records, sort_within_shards, with_positions
+from keyline.operators.neighbours import with_previous
+from keyline.operators.sort import merge_sorted, sort_records, sort_shards, sort_within_shards, with_positions
 from keyline.plans import corpora as C
 from keyline.plans.sort_file import sort_file
 from keyline.session import scratch_path
@@ -148,6 +149,18 @@ def sorted_shards(spark, sf):
     return runs.select("shard", rank.alias("rank"), "number", "text")
 
 
+def _skewed_shards(spark, sf):
+    k = F.col("line_id")
+    shard = F.when(k % 2 == 0, 0).otherwise(F.floor(k / 500) + 1).cast("bigint")
+    return _records(C.c1_part(spark, sf)).withColumn("shard", shard)
+
+
+def sorted_skewed_shards(spark, sf):
+    """SRT-2 over C1: even keys are one shard, half of all records; the odd ones are a
+    shard for every 500 keys, so shards grow with the table."""
+    return sort_shards(_skewed_shards(spark, sf), ["shard"])
+
+
 def merge_sorted_inputs(spark, sf):
     """SRT-3 over C1 and C2: one range exchange merges both."""
     return with_positions(merge_sorted([_records(C.c1_part(spark, sf)), _records(C.c2_orders(spark, sf))]))
@@ -231,12 +244,21 @@ def equal_record_groups(spark, sf):
 def adjacent_duplicates(spark, sf):
     """WIN-2 over sorted C1: records whose text equals the previous record's text.
 
-    The previous record is found by joining positions ``pos - 1`` (an equi-join),
-    not by a window over one global partition.
+    One range exchange; records are not joined, only the last record of each partition is.
     """
-    s = with_positions(sort_records(_records(C.c1_part(spark, sf))))
-    prev = s.select((F.col("pos") + 1).alias("pos"), F.col("text").alias("prev_text"))
-    return s.join(prev, "pos").where(F.col("text") == F.col("prev_text")).select("pos", "number", "text")
+    s = with_previous(sort_records(_records(C.c1_part(spark, sf))), ["text"])
+    return s.where(F.col("text") == F.col("prev_text")).select("pos", "number", "text")
+
+
+def neighbouring_orders(spark, sf):
+    """WIN-2 over another frame: each order of a customer (by date and key) beside the
+    order before it in the whole order; days between where the customer is the same."""
+    o = C.table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
+    keys = ["o_custkey", "day", "o_orderkey"]
+    ordered = o.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    s = with_previous(ordered, ["o_custkey", "day"])
+    gap = F.when(F.col("o_custkey") == F.col("prev_o_custkey"), F.datediff("day", "prev_day"))
+    return s.select("pos", "o_orderkey", F.col("prev_o_custkey").alias("previous_customer"), gap.alias("days_since"))
 
 
 # ---------------------------------------------------------------- audit
@@ -405,12 +427,14 @@ QUERIES: dict[str, Query] = {
     "sort_lines": sort_lines,
     "sort_documents": sort_documents,
     "sorted_shards": sorted_shards,
+    "sorted_skewed_shards": sorted_skewed_shards,
     "merge_sorted": merge_sorted_inputs,
     "sort_lines_file": sort_lines_file,
     "number_lines": number_lines,
     "compare_pairs": compare_pairs,
     "equal_record_groups": equal_record_groups,
     "adjacent_duplicates": adjacent_duplicates,
+    "neighbouring_orders": neighbouring_orders,
     "audit_ok": audit_ok,
     "audit_violation": audit_violation,
     "audit_malformed": audit_malformed,
@@ -545,6 +569,11 @@ ORACLES: dict[str, str] = {
     "sort_documents": _sorted_sql(P3),
     "sorted_shards": f"""SELECT line_id % 16 AS shard, row_number() OVER (PARTITION BY line_id % 16 ORDER BY text, number) AS rank,
   number, text FROM ({P1}) WHERE parse_error IS NULL""",
+    "sorted_skewed_shards": f"""SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY text, number) AS rank, number, text FROM (
+  SELECT CASE WHEN line_id % 2 = 0 THEN 0 ELSE line_id // 500 + 1 END AS shard, number, text FROM ({P1}) WHERE parse_error IS NULL)""",
+    "neighbouring_orders": """SELECT row_number() OVER w AS pos, o_orderkey, lag(o_custkey) OVER w AS previous_customer,
+  CASE WHEN o_custkey = lag(o_custkey) OVER w THEN CAST(CAST(o_orderdate AS DATE) - lag(CAST(o_orderdate AS DATE)) OVER w AS INTEGER) END AS days_since
+FROM orders WINDOW w AS (ORDER BY o_custkey, CAST(o_orderdate AS DATE), o_orderkey)""",
     "strict_failure": f"SELECT parse_error AS message FROM ({P5}) WHERE parse_error IS NOT NULL ORDER BY line_id LIMIT 1",
     "sort_high_characters": """SELECT row_number() OVER (ORDER BY CASE p_partkey % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END, p_name, p_partkey) AS pos,
   p_partkey AS number, CASE p_partkey % 3 WHEN 0 THEN chr(128512) WHEN 1 THEN chr(65313) ELSE 'z' END || p_name AS text FROM part""",
