@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from helpers import DOCS, odd_rows  # noqa: E402
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.fixture(scope="session")
@@ -20,6 +20,8 @@ def odd(spark, tmp_path_factory):
     text = odd_rows()[8][1].split()
     items = [(1, " ".join(text[500:530])), (2, None), (3, ""), (None, "not in any of them at all here"), (4, "zz yy")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    vectors = [(1, [0.5, 1.0, -1.0], 0), (2, [0.25, 3.0, 2.0], 1), (3, None, 0), (4, [None, 1.0, 2.0], None), (None, [0.5, 1.0, -1.0], 1), (5, [float("nan")] * 3, 1)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     big = "<p>" + "long page " * 200
     pages = [(1, "http://a/", big), (2, "http://b/", big), (3, None, big), (4, "u", None), (5, "u", ""), (6, "u", "small"), (7, "u", "small"), (None, "u", big), (2, "u", "é\r\n\r\nWARC/1.1\r\n" * 90), (8, "u v\r\n", "é\r\n\r\nWARC/1.1\r\n" * 90)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
