@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from keyline.functions.text import WHITESPACE, ends_with_ws, ordinal_key, ws_ltrim, ws_trim
+from keyline.functions.text import WHITESPACE, ends_with_ws, ordinal_key, with_ordinal_key, ws_ltrim, ws_trim
 
 # The three reject messages of the record format.
 MSG_EMPTY = "Malformed line: is null or empty"
@@ -179,6 +179,7 @@ class LineFormat:
     separator: str = "."
     joiner: str = RECORD_SEPARATOR
     number_first: bool = False
+    columns: tuple[str, ...] = ("number", "text")  # what a parsed record is made of
 
     def parse(self, value: Column) -> ParsedColumns:
         return parse_columns(value, self.separator)
@@ -187,6 +188,10 @@ class LineFormat:
         """``keep`` columns plus ``number, text, parse_error`` (the staged parse)."""
         return with_parsed(df, value, keep, self.separator)
 
+    def keyed(self, df, text_order: str | None = None):
+        """``df`` with the text's sort key ``_k``, and the text ``_t`` where the key is not it."""
+        return with_ordinal_key(df, "text", "_k", "_t", text_order or self.text_order)
+
     def format(self, number: Column, text: Column) -> Column:
         return format_record(number, text, self.joiner)
 

@@ -30,10 +30,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyline.functions.record import KEYED_LINE, LineFormat
-from keyline.functions.text import is_blank, text_from_key, with_ordinal_key
+from keyline.functions.text import is_blank, text_from_key
+from keyline.functions.typed import TypedFormat
 from keyline.operators.split_scan import SUMMARY_SCHEMA, summarize_partition
 from keyline.session import reliable_checkpoint
-from keyline.sources.lines import file_order, scan_lines
+from keyline.sources.lines import file_order, list_files, scan_lines
 
 # Fixed value: previous-line text when a malformed line has no valid record before it.
 NO_PREVIOUS = "N/A (first or previous was invalid)"
@@ -59,7 +60,7 @@ def _before(a: Column, b: Column, fmt: LineFormat) -> Column:
 def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: LineFormat = KEYED_LINE) -> DataFrame:
     """Steps 2-3: one row per split of a scanned file (``value, _f, _b, _m``)."""
     parsed = line_format.parse_frame(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
-    keyed = with_ordinal_key(parsed, "text", "_k", "_t", text_order)
+    keyed = line_format.keyed(parsed, text_order)
     blank, err = F.col("_blank"), F.col("parse_error")
     staged = keyed.select(
         "_f",
@@ -73,7 +74,8 @@ def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: Li
     w = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     # Previous non-blank line of the split: a record, or a marker for a malformed one.
     prev_any = F.last(F.when(~F.col("_blank"), F.struct(F.col("_m").alias("m"), F.col("_r").alias("r"))), True).over(w)
-    with_prev = staged.select("*", prev_any.alias("_prev"))
+    blanks = F.sum(F.col("_blank").cast("bigint")).over(w)
+    with_prev = staged.select("*", prev_any.alias("_prev"), F.coalesce(blanks, F.lit(0)).alias("_blanks"))
     cur, prev = F.col("_r"), F.col("_prev.r")
     has_prev = F.col("_prev").isNotNull()
     in_order_break = has_prev & _before(cur, prev, line_format)
@@ -95,10 +97,12 @@ def split_summaries(lines: DataFrame, text_order: str = "utf16", line_format: Li
                     has_prev.alias("has_prev"),
                     prev_line.alias("prev_line"),
                     cur_line.alias("cur_line"),
+                    F.col("_blanks").alias("blanks"),
                 ),
             )
         ).alias("viol"),
         F.min(F.when(duplicate, F.col("_m"))).alias("dup_m"),
+        F.count_if("_blank").alias("n_blank"),
     )
 
 
@@ -108,7 +112,7 @@ def split_summaries_arrow(
     """Steps 2-3 without a shuffle: the per-split facts of :func:`split_summaries`
     from one ``mapInArrow`` pass over the scan (see ``keyline.operators.split_scan``)."""
     parsed = line_format.parse_frame(lines.select("value", "_f", "_b", "_m", is_blank(F.col("value")).alias("_blank")))
-    keyed = with_ordinal_key(parsed, "text", "_k", "_t", text_order)
+    keyed = line_format.keyed(parsed, text_order)
     blank, err = F.col("_blank"), F.col("parse_error")
     ok = ~blank & err.isNull()
     staged = keyed.select(
@@ -143,33 +147,34 @@ def split_summaries_arrow(
             F.col("viol_has_prev").alias("has_prev"),
             F.col("viol_prev_line").alias("prev_line"),
             F.col("viol_cur_line").alias("cur_line"),
+            F.col("viol_blank").alias("blanks"),
         ),
     )
     return flat.select(
-        "_f", "_b", "n_lines", "m0", rec("first").alias("first"), rec("last").alias("last"), viol.alias("viol"), "dup_m"
+        "_f", "_b", "n_lines", "m0", rec("first").alias("first"), rec("last").alias("last"), viol.alias("viol"), "dup_m", "n_blank"
     )
 
 
 def _located(summaries: DataFrame) -> DataFrame:
-    """Each split with ``off``, the lines before it, and ``nb``, the splits with a non-blank
-    line before it. Sums run within each file, then over one row (path and two numbers) a
-    file; no line's text is in a window."""
+    """Each split with ``off``, the lines before it, ``blank_off``, the blank ones of them,
+    and ``nb``, the splits with a non-blank line before it. Sums run within each file, then
+    over one row (path and three numbers) a file; no line's text is in a window."""
     used = F.when(F.col("first").isNotNull(), 1).otherwise(0).cast("bigint")
-    numbers = summaries.select("_f", "_b", "n_lines", used.alias("used"))
+    sums = {"n_lines": "off", "used": "nb", "n_blank": "blank_off"}
+    numbers = summaries.select("_f", "_b", "n_lines", used.alias("used"), "n_blank")
+    before = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
     inside = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    numbers = numbers.select(
-        "_f", "_b", F.coalesce(F.sum("n_lines").over(inside), F.lit(0)).alias("off"), F.coalesce(F.sum("used").over(inside), F.lit(0)).alias("nb")
-    )
-    files = summaries.groupBy("_f").agg(F.sum("n_lines").alias("n"), F.sum(used).alias("u"))
+    files = numbers.groupBy("_f").agg(*[F.sum(c).alias(c) for c in sums])
     over = Window.orderBy(*file_order("_f")).rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_f", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("fo"), F.coalesce(F.sum("u").over(over), F.lit(0)).alias("fu"))
-    placed = numbers.join(files, "_f").select("_f", "_b", (F.col("off") + F.col("fo")).alias("off"), (F.col("nb") + F.col("fu")).alias("nb"))
+    files = files.select("_f", *[before(c, over).alias(f"_{to}") for c, to in sums.items()])
+    numbers = numbers.select("_f", "_b", *[before(c, inside).alias(to) for c, to in sums.items()])
+    placed = numbers.join(files, "_f").select("_f", "_b", *[(F.col(to) + F.col(f"_{to}")).alias(to) for to in sums.values()])
     return summaries.join(placed, ["_f", "_b"])
 
 
 def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFrame:
-    """Step 4: one row with ``sorted_lines_total, v`` (line, previous and current line of
-    the first violation) and ``first_duplicate_line``.
+    """Step 4: one row with ``sorted_lines_total``, ``blank_total``, ``v`` (line, previous
+    and current line of the first violation, blank lines before it) and ``first_duplicate_line``.
 
     A split meets the last record of the non-blank split before it by an equi-join on
     their ordinals. ``summaries`` is read several times: pass a written table.
@@ -177,7 +182,7 @@ def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFr
     s = _located(summaries)
     before = s.filter(F.col("first").isNotNull()).select((F.col("nb") + 1).alias("nb"), F.col("last").alias("plast"))
     used = s.filter(F.col("first").isNotNull()).join(before, "nb", "left")
-    total = summaries.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).cast("bigint").alias("sorted_lines_total"))
+    total = summaries.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(to) for c, to in (("n_lines", "sorted_lines_total"), ("n_blank", "blank_total"))])
     line_of = lambda m: F.col("off") + (m - F.col("m0")) + F.lit(1)
     first, plast = F.col("first"), F.col("plast")
     first_ok = first.isNotNull() & first.r.isNotNull()
@@ -192,6 +197,7 @@ def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFr
             line_of(viol.m).alias("line"),
             F.when(viol.has_prev, viol.prev_line).otherwise(F.coalesce(plast_line, F.lit(NO_PREVIOUS))).alias("prev"),
             viol.cur_line.alias("cur"),
+            (F.col("blank_off") + viol.blanks).alias("blanks"),
         ),
     )
     at_boundary = F.when(
@@ -200,6 +206,7 @@ def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFr
             line_of(first.m).alias("line"),
             plast_line.alias("prev"),
             _fmt(first.r, line_format).alias("cur"),
+            (F.col("blank_off") + first.m - F.col("m0")).alias("blanks"),
         ),
     )
     dup_line = F.least(
@@ -207,13 +214,14 @@ def stitch(summaries: DataFrame, line_format: LineFormat = KEYED_LINE) -> DataFr
         F.when(boundary_dup, line_of(first.m)),
     )
     firsts = used.agg(F.min(F.least(in_split, at_boundary)).alias("v"), F.min(dup_line).alias("first_duplicate_line"))
-    # Two one-row results side by side, without a join: union, then one aggregate.
-    none = F.lit(None)
-    both_rows = total.select("sorted_lines_total", none.cast(firsts.schema["v"].dataType).alias("v"), none.cast("bigint").alias("first_duplicate_line"))
-    both_rows = both_rows.unionByName(firsts.select(none.cast("bigint").alias("sorted_lines_total"), "v", "first_duplicate_line"))
-    return both_rows.agg(
-        F.max("sorted_lines_total").alias("sorted_lines_total"), F.max("v").alias("v"), F.max("first_duplicate_line").alias("first_duplicate_line")
-    )
+    return _side_by_side(total, firsts)
+
+
+def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two one-row results as one row, without a join: union, then one aggregate."""
+    wide = [*a.schema.fields, *b.schema.fields]
+    rows = [d.select(*[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wide]) for d in (a, b)]
+    return rows[0].union(rows[1]).agg(*[F.max(f.name).alias(f.name) for f in wide])
 
 
 def audit_lines(
@@ -224,7 +232,9 @@ def audit_lines(
     text_order: str = "utf16",
     require_duplicates: bool = True,
     method: str = "arrow",
-    line_format: LineFormat | None = None,
+    line_format: LineFormat | TypedFormat | None = None,
+    blank_lines: bool = False,
+    first_wave: int | None = None,
 ) -> DataFrame:
     """AUD-1: audit ``sorted_path`` against ``original_path``; one-row DataFrame.
 
@@ -239,6 +249,12 @@ def audit_lines(
     ``method="arrow"`` (default) summarises each split in the scan's own tasks
     (no shuffle); ``"window"`` does the same with a per-split window (one hash
     exchange of the sorted file). Both give the same row.
+
+    ``blank_lines`` adds the column of that name: blank lines that were skipped, up to the
+    violation if there is one (FLT-4). ``first_wave`` (a number of files) reads the sorted
+    files in waves of file order, each twice as many files as the one before, and stops at
+    the first wave that holds or ends a violation; ``files_read`` and ``files_total`` are
+    then added. Later files cannot change the row: it is cut off at the first violation.
     """
     if method not in ("arrow", "window"):
         raise ValueError("method must be 'arrow' or 'window'")
@@ -249,27 +265,25 @@ def audit_lines(
     original = scan_lines(spark, original_path, encoding, with_split=False).agg(
         F.count(F.lit(1)).alias("original_lines")
     )
-    sorted_scan = scan_lines(spark, sorted_path, encoding, with_split=True)
     summaries = split_summaries_arrow if method == "arrow" else split_summaries
-    st = stitch(reliable_checkpoint(summaries(sorted_scan, fmt.text_order, fmt)), fmt)
-    # Two one-row results side by side, without a join: union then one aggregate.
-    both = st.select(
-        "sorted_lines_total", "v", "first_duplicate_line", F.lit(None).cast("bigint").alias("original_lines")
-    ).unionByName(
-        original.select(
-            F.lit(None).cast("bigint").alias("sorted_lines_total"),
-            F.lit(None).cast(st.schema["v"].dataType).alias("v"),
-            F.lit(None).cast("bigint").alias("first_duplicate_line"),
-            "original_lines",
-        )
-    )
-    one = both.agg(
-        F.max("original_lines").alias("original_lines"),
-        F.max("sorted_lines_total").alias("total"),
-        F.max("v").alias("v"),
-        F.max("first_duplicate_line").alias("d"),
-    )
-    return verdict(one, require_duplicates)
+
+    def read(files) -> DataFrame:
+        scan = scan_lines(spark, files, encoding, with_split=True)
+        return reliable_checkpoint(summaries(scan, fmt.text_order, fmt))
+
+    if first_wave is None:
+        return verdict(_side_by_side(stitch(read(sorted_path), fmt), original), require_duplicates, blank_lines)
+    files = list_files(spark, sorted_path)
+    done, wave, seen = 0, max(1, first_wave), None
+    while done < len(files) or seen is None:
+        own = read(files[done : done + wave] or sorted_path)
+        seen = own if seen is None else seen.unionByName(own)
+        done, wave = min(len(files), done + wave), 2 * wave
+        st = stitch(seen, fmt)
+        if done < len(files) and st.filter(F.col("v").isNotNull()).count():
+            break
+    row = verdict(_side_by_side(st, original), require_duplicates, blank_lines)
+    return row.select("*", F.lit(done).cast("bigint").alias("files_read"), F.lit(len(files)).cast("bigint").alias("files_total"))
 
 
 def timed_audit(spark: SparkSession, *args, **kw) -> DataFrame:
@@ -280,12 +294,12 @@ def timed_audit(spark: SparkSession, *args, **kw) -> DataFrame:
     return done.withColumn("elapsed_seconds", F.lit(round(time.time() - started, 3)))
 
 
-def verdict(one: DataFrame, require_duplicates: bool = True) -> DataFrame:
+def verdict(one: DataFrame, require_duplicates: bool = True, blank_lines: bool = False) -> DataFrame:
     """AUD-3/4: counts, flags and status from the reduced audit row."""
     v = F.col("v")
     is_sorted = v.isNull()
-    sorted_lines = F.coalesce(v.line, F.col("total"), F.lit(0)).cast("bigint")
-    found_dup = F.coalesce(F.col("d") < F.coalesce(v.line, F.lit(2**62)), F.lit(False))
+    sorted_lines = F.coalesce(v.line, F.col("sorted_lines_total"), F.lit(0)).cast("bigint")
+    found_dup = F.coalesce(F.col("first_duplicate_line") < F.coalesce(v.line, F.lit(2**62)), F.lit(False))
     counts_match = sorted_lines == F.col("original_lines")
     status = (
         F.when(~is_sorted, F.lit("order_violation"))
@@ -304,4 +318,5 @@ def verdict(one: DataFrame, require_duplicates: bool = True) -> DataFrame:
         counts_match.alias("line_counts_match"),
         status.alias("status"),
         (status == F.lit("ok")).alias("passed"),
+        *([F.coalesce(v.blanks, F.col("blank_total")).alias("blank_lines")] if blank_lines else []),
     )

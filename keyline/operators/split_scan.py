@@ -25,14 +25,14 @@ SUMMARY_SCHEMA = (
     "first_m bigint, first_ok boolean, first_k binary, first_n bigint, first_t string, "
     "last_m bigint, last_ok boolean, last_k binary, last_n bigint, last_t string, "
     "viol_m bigint, viol_has_prev boolean, viol_prev_line string, viol_cur_line string, "
-    "dup_m bigint"
+    "dup_m bigint, n_blank bigint, viol_blank bigint"
 )
 _FIELDS = [f.strip().split(" ")[0] for f in SUMMARY_SCHEMA.split(",")]
 
 
 def _fmt(n, k, t, joiner):
     text = t if t is not None else k.decode("utf-8", "surrogateescape")
-    return f"{n}{joiner}{text}"
+    return text if joiner is None else f"{n}{joiner}{text}"
 
 
 class _Split:
@@ -41,7 +41,7 @@ class _Split:
     def __init__(self, f, b):
         for name in _FIELDS:
             setattr(self, name, None)
-        self._f, self._b, self.n_lines = f, b, 0
+        self._f, self._b, self.n_lines, self.n_blank = f, b, 0, 0
 
 
 def _summaries(batches, joiner, number_first):
@@ -62,7 +62,7 @@ def _summaries(batches, joiner, number_first):
         starts = np.flatnonzero(change)
         ends = np.append(starts[1:], rows)
         run_of = np.repeat(np.arange(len(starts)), ends - starts)
-        run_keys = []
+        run_keys, blank_before = [], []
         for s, e in zip(starts, ends):
             key = (int(fh[s]), int(bb[s]))
             sp = splits.get(key)
@@ -70,6 +70,8 @@ def _summaries(batches, joiner, number_first):
                 sp = splits[key] = _Split(rb.column("_f")[int(s)].as_py(), int(bb[s]))
                 sp.m0 = int(mm[s])
             sp.n_lines += int(e - s)
+            blank_before.append(sp.n_blank)
+            sp.n_blank += int(blank[s:e].sum())
             run_keys.append(key)
 
         nb = np.flatnonzero(~blank)
@@ -126,6 +128,7 @@ def _summaries(batches, joiner, number_first):
                     i = int(s + hits[0])
                     has_prev = bool(prev_same[i])
                     sp.viol_m, sp.viol_has_prev = int(mm[nb[i]]), has_prev
+                    sp.viol_blank = blank_before[runs[i]] + int(blank[starts[runs[i]] : nb[i]].sum())
                     if has_prev and pok[i]:
                         if i > 0:
                             sp.viol_prev_line = _fmt(int(n[i - 1]), k[i - 1].as_py(), t[i - 1].as_py(), joiner)
@@ -150,9 +153,9 @@ def _summaries(batches, joiner, number_first):
         yield pa.RecordBatch.from_pydict(cols, schema=_arrow_schema())
 
 
-def summarize_partition(joiner: str = ". ", number_first: bool = False):
+def summarize_partition(joiner: str | None = ". ", number_first: bool = False):
     """The ``mapInArrow`` function for records written with ``joiner`` between number and
-    text, ordered by text then number (or number then text)."""
+    text (None: as the text alone), ordered by text then number (or number then text)."""
     return lambda batches: _summaries(batches, joiner, number_first)
 
 

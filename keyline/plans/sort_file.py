@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyline.functions.record import KEYED_LINE, LineFormat
-from keyline.functions.text import text_from_key, with_ordinal_key
+from keyline.functions.text import text_from_key
 from keyline.operators.filter import all_parsed
 from keyline.operators.sort import bound_key_sample, range_partitions
 from keyline.sources.lines import scan_lines
@@ -68,10 +68,10 @@ def sorted_records(
     fmt = line_format or LineFormat(text_order)
     parsed = parsed_scan(spark, path, encoding, mode, fmt)
     parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False))
-    rows = parsed.select("number", "text", "parse_error", "_m")
+    rows = parsed.select(*fmt.columns, "parse_error", "_m")
     if observation is None and mode != "strict":
         rows = rows.filter(F.col("parse_error").isNull())
-    keyed = with_ordinal_key(rows, "text", "_k", "_t", fmt.text_order)
+    keyed = fmt.keyed(rows)
     staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
     keys = [*fmt.order_by("_k", "number"), "_u"]
     bound_key_sample(spark, scan_lines(spark, path, encoding, with_split=False), "value", parts)

@@ -28,16 +28,17 @@ from keyline.functions.record import (
     record_less_equal,
     records_equal,
 )
+from keyline.functions.typed import Field, TypedFormat
 from keyline.operators.audit import NO_PREVIOUS, audit_lines
 from keyline.operators.filter import parse_records, reject_reason, rejected_lines
 from keyline.operators.neighbours import with_previous
 from keyline.operators.sort import merge_sorted, sort_records, sort_shards, sort_within_shards, with_positions
 from keyline.plans import corpora as C
-from keyline.plans.sort_file import sort_file
+from keyline.plans.sort_file import parsed_scan, sort_file
 from keyline.session import scratch_path
 from keyline.sources import generator as G
 from keyline.sources.generator import SIZE_UNIT, generate_lines, line_size
-from keyline.sources.lines import read_numbered_lines
+from keyline.sources.lines import read_numbered_lines, scan_lines
 from keyline.sources.sinks import REPORT_SCHEMA, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +201,86 @@ def audit_pipe_format(spark, sf):
     return audit_lines(spark, *_pipe_files(spark, sf), line_format=PIPE)
 
 
+# UDF-1, CMP-2: order date (newest first), priority, key.
+ORDER_FORMAT = TypedFormat((Field("day", "date", descending=True), Field("priority", "text"), Field("order", "long")), separator="|")
+
+
+def _typed_files(spark, sf):
+    o = C.table(spark, sf, "orders")
+    key = F.when(F.col("o_orderkey") % 3 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    day = F.col("o_orderdate").cast("date").cast("string")
+    line = F.concat_ws("| ", day, "o_orderpriority", key.cast("string"))
+    bad = F.when(F.col("o_orderkey") % 50 == 1, F.concat(F.lit("soon"), line)).when(F.col("o_orderkey") % 50 == 2, day)
+    src = _write_file(spark, o.select(F.coalesce(bad, line).alias("value")), "typed")
+    out = scratch_path(spark, "typed-sorted")
+    sort_file(spark, src, out, report_path=None, line_format=ORDER_FORMAT)
+    return src, out
+
+
+def sort_typed_format(spark, sf):
+    """UDF-1, CMP-2: lines of three typed fields, one of them descending, sorted as a file."""
+    return read_numbered_lines(spark, _typed_files(spark, sf)[1])
+
+
+def audit_typed_format(spark, sf):
+    """UDF-1: the audit of that file in its own format; malformed lines make the counts differ."""
+    return audit_lines(spark, *_typed_files(spark, sf), line_format=ORDER_FORMAT, require_duplicates=False)
+
+
+def typed_rejects(spark, sf):
+    """UDF-1, FLT-3: the lines that are not of the typed format, with their reasons."""
+    rows = ORDER_FORMAT.parse_frame(scan_lines(spark, _typed_files(spark, sf)[0], with_split=False))
+    return rows.where("parse_error is not null").select("value", "parse_error")
+
+
+def strict_reread(spark, sf):
+    """SRC-2: a sorted file is read strictly, every line a record; the C5 file it came from
+    is not, and the read fails on a malformed line."""
+    src = _write_file(spark, C.c5_mixed(spark, sf), "c5")
+    out = scratch_path(spark, "c5-sorted")
+    sort_file(spark, src, out, report_path=None)
+    try:
+        parsed_scan(spark, src, mode="strict").count()
+        refused = False
+    except PySparkException as e:
+        refused = "Malformed line" in ((e.getMessageParameters() or {}).get("errorMessage") or "")
+    records = parsed_scan(spark, out, mode="strict").select("number", "text")
+    return records.select("*", F.lit(refused).alias("source_refused"))
+
+
+def refused_arguments(spark, sf):
+    """VAL-1: jobs that must be refused before any work, on a written file; nulls and empty
+    paths, an output over its input, sizes and chances out of range."""
+    src = _write_file(spark, C.c1_part(spark, sf), "c1")
+    n = C.table(spark, sf, "part").count()
+    cases = {
+        "blank input": lambda: sort_file(spark, " ", f"{src}-x"),
+        "no output": lambda: sort_file(spark, src, None),
+        "output is input": lambda: sort_file(spark, src, src),
+        "output in input": lambda: sort_file(spark, src, f"{src}/inside"),
+        "size 0": lambda: G.validate(n - n, 0.01),
+        "chance over 1": lambda: G.validate(n, 1.5),
+        "negative chance": lambda: G.validate(n, -0.1),
+        "blank audit": lambda: audit_lines(spark, src, ""),
+    }
+    rows = []
+    for name, job in cases.items():
+        try:
+            job()
+            rows.append((name, False))
+        except ValueError:
+            rows.append((name, True))
+    kept = read_numbered_lines(spark, src).count()  # the input is as it was
+    return spark.createDataFrame([(*r, kept) for r in rows], "job string, refused boolean, input_lines long")
+
+
+def least_greatest(spark, sf):
+    """NUM-6: the lesser and the greater of discount and tax per lineitem row, null only
+    where both are (a rate of 0 is taken for none)."""
+    rates = [F.nullif(F.col(c), F.lit(0)) for c in ("l_discount", "l_tax")]
+    return C.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.least(*rates).alias("least"), F.greatest(*rates).alias("greatest"))
+
+
 def sort_lines_file(spark, sf):
     """SRC-1, SRT-1, SNK-1, PRJ-4: sort the C5 file, read the output back numbered."""
     src = _write_file(spark, C.c5_mixed(spark, sf), "c5")
@@ -317,7 +398,26 @@ def _with_blanks(spark, sf):
 def audit_blank_lines(spark, sf):
     """FLT-4, STR-5: sorted C1 with blank and white-space lines inserted (counted, skipped)."""
     path = _write_file(spark, _with_blanks(spark, sf), "c1-blanks", order=["text", "number", "flag"])
-    return audit_lines(spark, path, path)
+    return audit_lines(spark, path, path, blank_lines=True)
+
+
+def audit_blank_violation(spark, sf):
+    """FLT-4: the same lines in key order: blank lines are counted up to the violation."""
+    path = _write_file(spark, _with_blanks(spark, sf), "c1-blanks-key", order=["number", "flag"])
+    return audit_lines(spark, path, path, blank_lines=True)
+
+
+def audit_broken_early(spark, sf):
+    """SRT-5: sorted C1 in 16 files behind one line that sorts last, read in waves of 2, 4,
+    ... files: the first wave holds the violation, and most files are not read."""
+    folder = scratch_path(spark, "c1-broken")
+    first = C.c1_part(spark, sf).limit(1).select(F.lit("0. ~~~~ last of all").alias("value"))
+    write_lines(first, f"{folder}/a")
+    records = sort_records(_records(C.c1_part(spark, sf)), num_partitions=16)
+    write_lines(records, f"{folder}/b", format_record(F.col("number"), F.col("text")))
+    row = audit_lines(spark, f"{folder}/*", [f"{folder}/a", f"{folder}/b"], first_wave=2)
+    stopped = (F.col("files_read") < F.col("files_total")).alias("stopped_early")
+    return row.select(*AUDIT_COLUMNS, "files_read", stopped)
 
 
 # ---------------------------------------------------------------- encodings
@@ -449,6 +549,14 @@ QUERIES: dict[str, Query] = {
     "sort_high_characters": sort_high_characters,
     "sort_pipe_format": sort_pipe_format,
     "audit_pipe_format": audit_pipe_format,
+    "sort_typed_format": sort_typed_format,
+    "audit_typed_format": audit_typed_format,
+    "typed_rejects": typed_rejects,
+    "strict_reread": strict_reread,
+    "refused_arguments": refused_arguments,
+    "audit_blank_violation": audit_blank_violation,
+    "audit_broken_early": audit_broken_early,
+    "least_greatest": least_greatest,
     "encoding_roundtrip_utf32": encoding_roundtrip_utf32,
     "encoding_roundtrip_ascii": encoding_roundtrip_ascii,
     "encoding_roundtrip_windows1252": encoding_roundtrip_windows1252,
@@ -523,9 +631,25 @@ BLANKS_SQL = f"""SELECT row_number() OVER (ORDER BY text, number, flag) AS ln, v
   UNION ALL
   SELECT text, number, 1 AS flag, CASE WHEN number % 20 = 0 THEN '  ' WHEN number % 30 = 0 THEN chr(12288) || ' ' ELSE '' END
   FROM ({P1}) WHERE parse_error IS NULL AND number % 10 = 0)"""
+# The same lines by number.
+BLANKS_BY_NUMBER_SQL = BLANKS_SQL.replace("ORDER BY text, number, flag", "ORDER BY number, flag")
 DOC_CHARS_SQL = "SELECT sum(length(text)) FROM documents"
 
 
+def blank_audit_sql(lines: str) -> str:
+    """:func:`audit_sql` of one file against itself, with ``blank_lines``."""
+    blank = f"SELECT count(*) FROM ({lines}) b WHERE NOT ({NOT_BLANK}) AND (a.is_sorted OR b.ln < a.violation_line)"
+    return f"SELECT a.*, ({blank}) AS blank_lines FROM ({audit_sql(lines, f'SELECT count(*) FROM ({lines})')}) a"
+
+
+BROKEN_SQL = f"""SELECT 1 AS ln, '0. ~~~~ last of all' AS value UNION ALL SELECT ln + 1, value FROM ({_sorted_file_sql(P1)})"""
+TYPED_SQL = """SELECT day, o_orderpriority AS priority, number, CASE WHEN k % 50 = 1 THEN 'soon' || line WHEN k % 50 = 2 THEN CAST(day AS VARCHAR) ELSE line END AS value,
+  CASE WHEN k % 50 = 1 THEN 'Malformed line (invalid day ' || chr(39) || 'soon' || day || chr(39) || '). Full line: soon' || line
+       WHEN k % 50 = 2 THEN 'Malformed line: not 3 fields. Value: ' || day END AS parse_error
+FROM (SELECT *, day || '| ' || o_orderpriority || '| ' || number AS line FROM (
+  SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END AS number FROM orders))"""
+
+
 def generated_sql(target: str, seed: int, reuse_chance: float) -> str:
     """DuckDB SQL of the generated lines (id, number, text, size) up to a size."""
     words = "[" + ", ".join(f"'{w}'" for w in G.WORDS) + "]"
@@ -625,7 +749,20 @@ FROM r a JOIN r b ON b.line_id = a.line_id + 1""",
     "audit_no_duplicates": audit_sql(
         _sorted_file_sql(C.parse_sql(DISTINCT_SQL)), "SELECT count(*) FROM (SELECT DISTINCT p_name FROM part)"
     ),
-    "audit_blank_lines": audit_sql(BLANKS_SQL, f"SELECT count(*) FROM ({BLANKS_SQL})"),
+    "audit_blank_lines": blank_audit_sql(BLANKS_SQL),
+    "audit_blank_violation": blank_audit_sql(BLANKS_BY_NUMBER_SQL),
+    "audit_broken_early": f"SELECT *, CAST(2 AS BIGINT) AS files_read, true AS stopped_early FROM ({audit_sql(BROKEN_SQL, f'SELECT count(*) FROM ({BROKEN_SQL})')})",
+    "sort_typed_format": f"""SELECT row_number() OVER (ORDER BY day DESC, priority, number) AS line_no, day || '|' || priority || '|' || number AS value
+  FROM ({TYPED_SQL}) WHERE parse_error IS NULL""",
+    "audit_typed_format": f"""SELECT count(*) AS original_lines, count(*) FILTER (parse_error IS NULL) AS sorted_lines, true AS is_sorted, CAST(-1 AS BIGINT) AS violation_line,
+  CAST(NULL AS VARCHAR) AS previous_line, CAST(NULL AS VARCHAR) AS current_line, false AS found_duplicate, count(parse_error) = 0 AS line_counts_match,
+  CASE WHEN count(parse_error) = 0 THEN 'ok' ELSE 'count_mismatch' END AS status, count(parse_error) = 0 AS passed FROM ({TYPED_SQL})""",
+    "typed_rejects": f"SELECT value, parse_error FROM ({TYPED_SQL}) WHERE parse_error IS NOT NULL",
+    "strict_reread": f"SELECT number, text, (SELECT count(parse_error) > 0 FROM ({P5})) AS source_refused FROM ({P5}) WHERE parse_error IS NULL",
+    "refused_arguments": """SELECT unnest(['blank input', 'no output', 'output is input', 'output in input', 'size 0', 'chance over 1', 'negative chance', 'blank audit']) AS job,
+  true AS refused, (SELECT count(*) FROM part) AS input_lines""",
+    "least_greatest": """SELECT l_orderkey, l_partkey, least(nullif(l_discount, 0), nullif(l_tax, 0)) AS least,
+  greatest(nullif(l_discount, 0), nullif(l_tax, 0)) AS greatest FROM lineitem""",
     "line_bytes": f"""SELECT doc_id, idx, CAST(strlen(value) AS INTEGER) AS n_bytes,
   CAST(2 * (length(value) + length(regexp_replace(value, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g'))) AS INTEGER) AS n_utf16_bytes,
   CAST(length(value) AS INTEGER) AS n_chars FROM ({C.C3_SQL})""",

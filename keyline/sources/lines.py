@@ -85,6 +85,12 @@ def _head(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def list_files(spark: SparkSession, path) -> list[str]:
+    """The files of ``path`` in file order (one path a file reaches the driver)."""
+    files = spark.read.format("binaryFile").load(_paths(path)).select("path")
+    return [r.path for r in files.orderBy(*file_order("path")).collect()]
+
+
 def paths_by_charset(spark: SparkSession, path, declared: str) -> list[tuple[str, list[str]]]:
     """The files of ``path`` by charset: what their byte-order mark says, else ``declared``.
     Only the listing and the first four bytes of each file are read."""
