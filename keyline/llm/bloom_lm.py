@@ -26,6 +26,7 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,15 @@ def tokens(text: bytes) -> list[bytes]:
     return [t if len(t) <= KEY_BYTES else token_key(t) for t in text.lower().split()]
 
 
+def distinct_tokens(text: bytes) -> Counter[bytes]:
+    """Tokens of a text, the end among them, with their numbers."""
+    counted = Counter(text.lower().split())
+    for t in [t for t in counted if len(t) > KEY_BYTES]:
+        counted[token_key(t)] += counted.pop(t)
+    counted[END] = 1
+    return counted
+
+
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[bytes] = Counter()
 
@@ -299,7 +309,7 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER, hashes
 # --- scores ----------------------------------------------------------------------------
 
 
-def text_score(levels: list[np.ndarray], n_tokens: int, n_distinct: int) -> float:
+def text_score(levels: np.ndarray, n_tokens: int, n_distinct: int) -> float:
     """log10 probability of a text. ``levels[k]``: those of its (k + 1)-grams that end at
     its begin, at each word and at its end."""
     cut = [levels[0]]
@@ -358,12 +368,13 @@ def _scored(shard: Broadcast, known: Broadcast | None, n: int, v: int, order: in
                 else:
                     get, figures = known.value.get, ([], [], [], [], [])
                     for text, q in zip(own, levels):
-                        counted = Counter(tokens(text))
-                        counted[END] = 1
-                        hits = [(get(t), times) for t, times in counted.items()]
-                        rare = [{"token": t, "times": times} for (c, times), t in zip(hits, counted) if c is None]
-                        c, times = np.array([h for h in hits if h[0] is not None], np.float64).reshape(-1, 2).T
-                        row = (counted.total(), int(times.sum()), float((times * log((c + 1) / (n + v + 1))).sum()), text_score(np.split(q, order), n, v), rare)
+                        counted = distinct_tokens(text)
+                        keys, times = list(counted), np.fromiter(counted.values(), np.int64, len(counted))
+                        c = np.fromiter(map(get, keys, repeat(0)), np.float64, len(keys))
+                        missed, hit = np.flatnonzero(c == 0).tolist(), c > 0
+                        rare = [{"token": keys[i], "times": counted[keys[i]]} for i in missed]
+                        plain = float((times[hit] * log((c[hit] + 1) / (n + v + 1))).sum())
+                        row = (int(times.sum()), int(times[hit].sum()), plain, text_score(q.reshape(order, -1), n, v), rare)
                         for column, value in zip(figures, row):
                             column.append(value)
                     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), _RARE)
