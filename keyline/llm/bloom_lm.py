@@ -43,8 +43,8 @@ MASS = 64.0  # weight of the shorter history, in counts
 HASHES = 5  # bits a level; about one false level in 2^HASHES before levels are cut
 FILTER_BYTES = 60 << 20  # of the filter that is broadcast at a time
 PART_TOKENS = 1 << 19  # n-grams, counted with repeats, that a part is meant for
-WINDOW = 1 << 21  # distinct n-grams that a task holds
-RUN_BYTES = 4 << 20  # texts that are hashed at a time; one text at least
+WINDOW = 1 << 20  # distinct n-grams that a task holds
+RUN_BYTES = 1 << 20  # texts that are hashed at a time; one text at least
 FREQUENT = 1 << 18  # entries of the broadcast table of tokens
 VOCABULARY = 1 << 19  # distinct tokens that a task holds
 KEY_BYTES = 64  # a longer token is known by its digest
