@@ -11,7 +11,7 @@ weighted Jaccard similarity of their 5-word shingles, worked out exactly, is 0.7
 A shingle weighs the more the fewer items of the whole benchmark have it.
 
 Distinct item texts are collected in blocks, bounded by the bytes of their index, and
-broadcast one block a pass; the ids of the items that have a text join its hits in Spark.
+broadcast one block a pass, one at a time; the ids of the items that have a text join its hits in Spark.
 The query and ``clean`` never shuffle documents.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyline.llm.common import checked_broadcast, extended, free_name, materialize, runs, table
-from keyline.llm.shingles import PLAIN, shingle_hashes, word_hashes
+from keyline.llm.shingles import PLAIN, SHINGLE, shingle_hashes, word_hashes
 
 SIMILARITY = 0.75
 RADIUS = 7
@@ -68,10 +68,12 @@ def words_of(texts: list[str | None]) -> list[np.ndarray]:
     return word_hashes([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts], PLAIN)
 
 
-def _running_votes(words: np.ndarray) -> np.ndarray:
-    """Running sums of +1 / -1 a bit; 16 bits wrap, differences within a window do not."""
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16)
-    votes = np.zeros((len(words) + 1, 64), np.int16)
+def _running_votes(words: np.ndarray, longest: int) -> np.ndarray:
+    """Running sums of +1 / -1 a bit. Sums may wrap; differences within a window do not, as
+    its votes fit: 16 bits for windows below 32,768 words, else 32."""
+    kind = np.int16 if longest < 1 << 15 else np.int32
+    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1).astype(kind)
+    votes = np.zeros((len(words) + 1, 64), kind)
     np.cumsum(2 * bits - 1, axis=0, out=votes[1:])
     return votes
 
@@ -88,30 +90,29 @@ class _Windows:
         self.items, self.offsets = np.array(items), np.array(offsets)
         blocks = self.prints.view(np.uint16).reshape(-1, BLOCKS)
         near = np.array([0, *[1 << b for b in range(16)]], np.uint16)
-        self.starts, self.entries = [], []
+        self.starts, self.entries, self.some = [], [], []
         for b in range(BLOCKS):
             values = (blocks[:, b][:, None] ^ near[None, :]).ravel()
             order = np.argsort(values, kind="stable")
             self.entries.append(np.repeat(np.arange(len(prints), dtype=np.int32), len(near))[order])
             self.starts.append(np.searchsorted(values[order], np.arange((1 << 16) + 1)).astype(np.int32))
+            self.some.append(np.diff(self.starts[-1]) > 0)
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, entry) of all pairs within the radius, each once."""
         blocks = prints.view(np.uint16).reshape(-1, BLOCKS)
-        places, entries = [], []
+        pairs = []
         for b in range(BLOCKS):
-            low = self.starts[b][blocks[:, b]].astype(np.int64)
-            n = self.starts[b][blocks[:, b].astype(np.int64) + 1] - low
-            some = np.flatnonzero(n)
-            n = n[some]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            entry = self.entries[b][np.repeat(low[some], n) + step]
+            own = blocks[:, b]
+            some = np.flatnonzero(self.some[b][own])
+            value = own[some].astype(np.int64)
+            low = self.starts[b][value].astype(np.int64)
+            n = self.starts[b][value + 1] - low
+            entry = self.entries[b][np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             place = np.repeat(some, n)
             close = np.bitwise_count(prints[place] ^ self.prints[entry]) <= RADIUS
-            places.append(place[close])
-            entries.append(entry[close])
-        pairs = np.unique(np.stack([np.concatenate(places), np.concatenate(entries)]), axis=1)
-        return pairs[0], pairs[1]
+            pairs.append(place[close] * len(self.prints) + entry[close])
+        return np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.prints)))
 
 
 class BenchmarkIndex:
@@ -126,7 +127,7 @@ class BenchmarkIndex:
         for i, w in enumerate(words):
             if not len(w):
                 continue
-            votes = _running_votes(w)
+            votes = _running_votes(w, len(w))
             for size, places in item_windows(len(w)).items():
                 prints = _fingerprints(votes, size)
                 p, items, offsets = held.setdefault(size, ([], [], []))
@@ -134,9 +135,10 @@ class BenchmarkIndex:
                 items += [i] * len(places)
                 offsets += places
         self.windows = {size: _Windows(*v) for size, v in sorted(held.items())}
+        self.all_shingles = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.array(x, np.uint64) for x in self.shingles]]))
 
     def nbytes(self) -> int:
-        return sum(ENTRY * len(w.prints) + BLOCKS * 4 * ((1 << 16) + 1) for w in self.windows.values()) + SHINGLE_ENTRY * sum(map(len, self.shingles))
+        return sum(ENTRY * len(w.prints) + BLOCKS * 5 * ((1 << 16) + 1) for w in self.windows.values()) + (SHINGLE_ENTRY + 8) * sum(map(len, self.shingles))
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and those of ``words``."""
@@ -144,6 +146,22 @@ class BenchmarkIndex:
         weigh = lambda s: sum(self.weights.get(x, self.unseen) for x in sorted(s))
         return weigh(mine & theirs) / weigh(mine | theirs)
 
+    def _known_before(self, words: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
+        """For each place of the texts end to end, the places before it where a shingle
+        begins that some item has. Texts and items shorter than a shingle have one for all
+        their words, which may begin at any place: those count as known."""
+        shingle = np.zeros(len(flat), np.uint64)
+        at, short = 0, any(0 < n < SHINGLE for n in self.lengths)
+        for w in words:
+            if len(w):
+                own = shingle_hashes(w)
+                shingle[at : at + len(own)] = own
+            at += len(w)
+        place = np.searchsorted(self.all_shingles, shingle)
+        place[place == len(self.all_shingles)] = 0
+        mark = self.all_shingles[place] == shingle if len(self.all_shingles) else np.zeros(len(flat), bool)
+        return np.concatenate([[0], np.cumsum(mark | short)])
+
     def hits(self, texts: list[str | None]) -> list[list[dict]]:
         """Of each whole text: the best window of each item that is similar enough."""
         words = words_of(texts)
@@ -152,44 +170,48 @@ class BenchmarkIndex:
         flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
         first = np.cumsum(lengths) - lengths
         text_of = np.repeat(np.arange(len(words)), lengths)
+        known = self._known_before(words, flat)
+        item_length = np.array(self.lengths)
         longest = max(self.windows, default=0)
         seen: set[tuple[int, int]] = set()
         for a in range(0, len(flat), CHUNK):
-            votes = _running_votes(flat[a : a + CHUNK + longest - 1])
+            votes = _running_votes(flat[a : a + CHUNK + longest - 1], longest)
             for size, index in self.windows.items():
                 prints = _fingerprints(votes, size)[:CHUNK] if len(votes) > size else np.zeros(0, np.uint64)
-                places, entries = index.within(prints)
-                for place, entry in zip((places + a).tolist(), entries.tolist()):
-                    text = int(text_of[place])
-                    if text_of[place + size - 1] != text:
-                        continue
-                    item = int(index.items[entry])
-                    # The item laid over the text, moved inside it where it would stick out.
-                    n, base = int(lengths[text]), int(first[text])
-                    start = max(0, min(place - base - int(index.offsets[entry]), n - self.lengths[item]))
-                    if (key := (item, base + start)) in seen:
+                place, entry = index.within(prints)
+                place += a
+                text = text_of[place]
+                inside = text_of[place + size - 1] == text
+                place, entry, text = place[inside], entry[inside], text[inside]
+                item = index.items[entry]
+                # The item laid over the text, moved inside it where it would stick out.
+                start = np.maximum(0, np.minimum(place - first[text] - index.offsets[entry], lengths[text] - item_length[item]))
+                begin = first[text] + start
+                end = np.minimum(begin + item_length[item], first[text] + lengths[text])
+                # No shingle of any item in there: the similarity is 0.
+                for i in np.flatnonzero(known[end] > known[begin]).tolist():
+                    key = (int(item[i]), int(begin[i]))
+                    if key in seen:
                         continue
                     seen.add(key)
-                    s = self.similarity(item, words[text][start : start + self.lengths[item]])
-                    if s >= SIMILARITY and (item not in found[text] or (s, -start) > (found[text][item][0], -found[text][item][1])):
-                        found[text][item] = (s, start)
+                    t, at = int(text[i]), int(start[i])
+                    s = self.similarity(key[0], words[t][at : at + self.lengths[key[0]]])
+                    best = found[t].get(key[0])
+                    if s >= SIMILARITY and (best is None or (s, -at) > (best[0], -best[1])):
+                        found[t][key[0]] = (s, at)
         return [
             [{"item_id": self.ids[i], "start": start, "similarity": s} for i, (s, start) in sorted(f.items())] for f in found
         ]
 
 
-def _marked(index: Broadcast, text: int, hits: int | None, names: list[str], kind: pa.DataType):
+def _marked(index: Broadcast, text: int, names: list[str], kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text).to_pylist()
             found: list[list[dict]] = []
             for a, b in runs(texts, SLICE):
                 found += index.value.hits(texts[a:b])
-            columns = batch.columns
-            if hits is not None:
-                found = [x + y for x, y in zip(columns[hits].to_pylist(), found)]
-                columns = [c for i, c in enumerate(columns) if i != hits]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, kind)], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=names)
 
     return run
 
@@ -255,14 +277,30 @@ def _mark_texts(docs: DataFrame, items: DataFrame, text_col: str) -> tuple[DataF
     schema = extended(docs, **{name: T.ArrayType(TEXT_HIT)})
     names = [f.name for f in schema]
     kind = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("similarity", pa.float64())]))
-    out, at = docs, docs.columns.index(text_col)
-    for i, (low, high) in enumerate(ranges):
+
+    def shared(low: int, high: int) -> Broadcast:
         part = texts.filter(F.col("block").between(low, high)).select("key", "text").orderBy("key").collect()
         weights = _block_weights(counts, low, high, n_items)
         index = BenchmarkIndex([r["key"] for r in part], [r["text"] for r in part], weights, _unseen(n_items))
-        shared = checked_broadcast(spark, index, index.nbytes())
-        out = out.mapInArrow(_marked(shared, at, len(docs.columns) if i else None, names, kind), schema)
-    return out, name
+        return checked_broadcast(spark, index, index.nbytes())
+
+    if len(ranges) == 1:
+        return docs.mapInArrow(_marked(shared(*ranges[0]), docs.columns.index(text_col), names, kind), schema), name
+    # Several blocks: one broadcast lives at a time, and each pass leaves its hits only.
+    row = free_name(docs, "row")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "benchmark-rows")
+    only = numbered.select(F.col(row).alias("hit_row"), F.col(f"`{text_col}`").alias("text"))
+    found = None
+    for low, high in ranges:
+        index = shared(low, high)
+        marked = only.mapInArrow(_marked(index, 1, ["hit_row", "text", "hits"], kind), extended(only, hits=T.ArrayType(TEXT_HIT)))
+        own = materialize(marked.filter(F.size("hits") > 0).select("hit_row", "hits"), "benchmark-hits")
+        index.unpersist()
+        found = own if found is None else found.union(own)
+    all_hits = found.groupBy("hit_row").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("all_hits"))  # a list a block at most
+    out = numbered.join(all_hits, numbered[row] == all_hits["hit_row"], "left")
+    none = F.array().cast(T.ArrayType(TEXT_HIT))
+    return out.select(*[numbered[f"`{c}`"] for c in docs.columns], F.coalesce(all_hits["all_hits"], none).alias(name)), name
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 Words are runs of anything but ASCII white space, lower-cased A-Z only. A word's hash is a
 polynomial over its bytes, taken from running sums over a piece of text; a shingle's hash
-combines the hashes of its words. Pieces are cut at white space and hold at most ``PIECE``
+combines the hashes of its words. Pieces are cut between words and hold at most ``PIECE``
 bytes, so memory does not grow with a text; a word longer than that is hashed by itself.
 """
 
@@ -41,18 +41,19 @@ _DOWN = _powers(pow(_ODD, -1, 1 << 64), PIECE + 1)
 _PLACE = mix(np.arange(1, SHINGLE + 2, dtype=np.uint64) * np.uint64(_ODD)) | np.uint64(1)
 
 
-def _pieces(text: bytes) -> list[bytes]:
-    """``text`` cut at white space into pieces of at most ``PIECE`` bytes, or single words."""
-    out, start = [], 0
+def _pieces(text: bytes, separators: np.ndarray = _SPACE) -> list[bytes]:
+    """``text`` cut between words into pieces of at most ``PIECE`` bytes, or single words."""
+    out, start, flat = [], 0, np.frombuffer(text, np.uint8)
     while len(text) - start > PIECE:
-        window = text[start : start + PIECE]
-        # The last white space: strip what follows it, which is the beginning of a word.
-        cut = len(window) - len(window.split()[-1]) if window.split() and not window[-1:].isspace() else PIECE
-        if cut == 0:  # a word longer than a piece
-            end = start + PIECE
-            while end < len(text) and not _SPACE[text[end]]:
-                end += 1
-            cut = end - start
+        between = np.flatnonzero(separators[flat[start : start + PIECE]])
+        if len(between):
+            cut = int(between[-1]) + 1
+        else:  # a word longer than a piece
+            cut = PIECE
+            while start + cut < len(text) and not separators[flat[start + cut : start + cut + PIECE]].any():
+                cut += PIECE
+            after = np.flatnonzero(separators[flat[start + cut : start + cut + PIECE]])
+            cut = min(len(text) - start, cut + (int(after[0]) if len(after) else PIECE))
         out.append(text[start : start + cut])
         start += cut
     out.append(text[start:])
@@ -88,7 +89,7 @@ def word_hashes(texts: list[bytes], separators: np.ndarray = _SPACE) -> list[np.
 
     for i, text in enumerate(texts):
         if len(text) > PIECE:
-            parts = [_hash_piece(p, separators)[0] if len(p) <= PIECE else np.array([xxhash.xxh3_64_intdigest(p)], np.uint64) for p in _pieces(text)]
+            parts = [_hash_piece(p, separators)[0] if len(p) <= PIECE else np.array([xxhash.xxh3_64_intdigest(p)], np.uint64) for p in _pieces(text, separators)]
             out[i] = np.concatenate(parts)
             continue
         if size + len(text) + 1 > PIECE:
