@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -30,11 +31,36 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+# Folders written while ``recorded`` is open; None otherwise.
+_recording: list[str] | None = None
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``materialize`` writes meanwhile, for :func:`discard`."""
+    global _recording
+    before, _recording = _recording, []
+    try:
+        yield _recording
+    finally:
+        _recording = before
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes intermediate tables that nothing reads any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    folders.clear()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts lineage,
     fixes any task-dependent value, survives the loss of an executor."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    if _recording is not None:
+        _recording.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -10,26 +10,35 @@ text, so all records of a refused text overflow together.
 
 Before the exchange every Arrow batch is collapsed by the same table to one record a
 distinct text with its member ids, so a group that holds a third of all rows crosses the
-network once a batch, and the members themselves (ids only) never meet in one task.
+network once a batch, and the members themselves (ids only) never meet in one task. A
+first pass counts content hashes; a bitmap of fixed size marks those that several rows
+have, and only records with a marked hash need comparing and are partitioned.
+A record that is marked by chance finds itself alone there.
 """
 
 from __future__ import annotations
 
 import hashlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyline.llm.common import as_bytes, extended, free_name, materialize, table
+from keyline.llm.common import MAX_BROADCAST_BYTES, as_bytes, checked_broadcast, extended, free_name, materialize, table
 
 # Bytes of distinct text that one bucket's table may hold.
 TABLE_BYTES = 64 << 20
+# Bits of the bitmap of repeated hashes, as a power of two: 32 MB, at most 4 million words.
+MARK_BITS = 28
+LOST_BYTES = 16  # of one record's number, in a broadcast
 
 
 def _better(a: int | None, b: int | None) -> bool:
@@ -37,8 +46,36 @@ def _better(a: int | None, b: int | None) -> bool:
     return a is not None and (b is None or a > b)
 
 
-def _collapse(id_index: int, text_index: int, names: list[str]):
-    """Per Arrow batch: one row a distinct text, the winning member's row plus the group."""
+def _content_hash(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The content hashes of an Arrow batch, with the number of its rows that have them."""
+    for batch in batches:
+        counts = Counter((raw or b"").lower() for raw in as_bytes(batch.column(0)))
+        yield pa.RecordBatch.from_arrays([pa.array([_content_hash(t) for t in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["h", "n"])
+
+
+def repeated_hashes(docs: DataFrame, text_col: str) -> np.ndarray:
+    """Bitmap, as words, of the hashes that several rows of ``docs`` have."""
+    hashed = docs.select(text_col).mapInArrow(_hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
+    place = F.shiftrightunsigned("h", 64 - MARK_BITS)
+    word = hashed.select(F.floor(place / 64).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - MARK_BITS}) % 64 AS INT))").alias("bit"))
+    rows = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    marks = np.zeros(1 << (MARK_BITS - 6), np.int64)
+    marks[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return marks
+
+
+def marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes.view(np.uint64) >> np.uint64(64 - MARK_BITS)
+    return (marks.view(np.uint64)[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _collapse(id_index: int, text_index: int, carry: bool, marks: Broadcast, names: list[str]):
+    """Per Arrow batch: one row a distinct text, the winning member's row plus the group.
+    Without ``carry`` the text goes along only where it has to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, serial = TaskContext.get().partitionId() << 40, 0
@@ -56,16 +93,22 @@ def _collapse(id_index: int, text_index: int, names: list[str]):
                     best[slot] = row
                 members[slot].append(ids[row])
             rows = batch.take(pa.array(best, pa.int64()))
+            hashes = np.array([_content_hash(t) for t in slots], np.int64)
+            compare = pa.array(marked(marks.value, hashes))
+            kept = list(rows.columns[:id_index])
+            if not carry:
+                kept[text_index] = pc.if_else(compare, kept[text_index], pa.scalar(None, kept[text_index].type))
             own = [
                 pa.array(range(base + serial, base + serial + len(best)), pa.int64()),
-                pa.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in slots], pa.int64()),
+                pa.array(hashes),
                 pa.array([hashlib.sha256(t).hexdigest() for t in slots], pa.string()),
                 pa.array([len(t) for t in slots], pa.int64()),
                 pa.array([ids[r] for r in best], pa.int64()),
                 pa.array(members, pa.list_(pa.int64())),
+                compare,
             ]
             serial += len(best)
-            yield pa.RecordBatch.from_arrays([*rows.columns, *own], names=names)
+            yield pa.RecordBatch.from_arrays([*kept, *own], names=names)
 
     return run
 
@@ -148,12 +191,14 @@ class ExactGroups:
         return rows.select("doc_id", "keep_id", "group_size", (F.col("pos") == F.col("place")).alias("kept"), "text_sha256")
 
     def survivors(self) -> DataFrame:
-        """The rows that stay, with all columns of the input, unchanged."""
-        won = self._resolved.filter(F.col("gid") == F.col("winner")).select(F.col("gid").alias(self._own["gid"]))
-        return self._collapsed.join(won, self._own["gid"], "left_semi").select(*[F.col(f"`{c}`") for c in self._columns])
+        """The rows that stay, with all columns of the input, unchanged; rows are not shuffled
+        while the numbers of those that go fit a broadcast."""
+        lost = self._resolved.filter(F.col("gid") != F.col("winner")).select(F.col("gid").alias(self._own["gid"]))
+        lost = F.broadcast(lost) if lost.count() * LOST_BYTES <= MAX_BROADCAST_BYTES else lost
+        return self._collapsed.join(lost, self._own["gid"], "left_anti").select(*[F.col(f"`{c}`") for c in self._columns])
 
 
-def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> ExactGroups:
+def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES, carry: bool = True) -> ExactGroups:
     """Group rows whose texts are identical after lower-casing A-Z; of a group, the row
     with the largest id stays.
 
@@ -161,33 +206,39 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     any id; a group of null ids only keeps one of them and has a null ``keep_id``. Of
     rows that repeat both id and text exactly one stays. Texts of any length are compared
     whole; a text over ``table_bytes`` has a table to itself. An empty table gives empty
-    results. Extra columns travel with their row, under any name.
+    results. Extra columns travel with their row, under any name. Without ``carry`` texts
+    are not written again unless they must be compared, and ``survivors`` has none.
     """
-    own = {k: free_name(docs, f"grace_{k}") for k in ("gid", "h", "sha", "bytes", "id", "members")}
-    typed = docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long"))
-    kinds = {"sha": T.StringType(), "members": T.ArrayType(T.LongType())}
-    schema = extended(typed, **{name: kinds.get(k, T.LongType()) for k, name in own.items()})
-    index = {c: i for i, c in enumerate(docs.columns)}
-    collapsed = materialize(
-        typed.mapInArrow(_collapse(index[id_col], index[text_col], [f.name for f in schema]), schema), "grace-collapsed"
-    )
-    records = collapsed.select(
+    spark = docs.sparkSession
+    own = {k: free_name(docs, f"grace_{k}") for k in ("gid", "h", "sha", "bytes", "id", "members", "compare")}
+    marks = repeated_hashes(docs, text_col)
+    shared = checked_broadcast(spark, marks, marks.nbytes)
+    number = free_name(docs, "grace_number")
+    typed = docs.withColumn(number, F.col(f"`{id_col}`").cast("long"))
+    kinds = {"sha": T.StringType(), "members": T.ArrayType(T.LongType()), "compare": T.BooleanType()}
+    schema = extended(docs, **{name: kinds.get(k, T.LongType()) for k, name in own.items()})
+    collapse = _collapse(len(docs.columns), docs.columns.index(text_col), carry, shared, [f.name for f in schema])
+    collapsed = materialize(typed.mapInArrow(collapse, schema), "grace-collapsed")
+    every = collapsed.select(
         F.col(own["gid"]).alias("gid"),
         F.col(own["h"]).alias("h"),
         F.size(own["members"]).cast("long").alias("n"),
         F.col(own["id"]).alias("id"),
         F.col(f"`{text_col}`").alias("text"),
+        F.col(own["compare"]).alias("compare"),
     )
-    volume = collapsed.agg(F.coalesce(F.sum(own["bytes"]), F.lit(0))).first()[0]
-    spark = docs.sparkSession
-    resolved, level = None, 0
+    alone = every.filter(~F.col("compare")).select("gid", "h", "n", "id", F.lit(None).cast("string").alias("text"), F.col("id").alias("keep_id"), F.col("gid").alias("winner"), F.col("n").alias("group_size"), F.lit(False).alias("spilled"))
+    records = every.filter("compare").drop("compare")
+    collapsed_marked = collapsed.filter(F.col(own["compare"]))
+    volume = collapsed_marked.agg(F.coalesce(F.sum(own["bytes"]), F.lit(0))).first()[0]
+    resolved, level = alone, 0
     while records is not None:
         # Twice the buckets that an even split needs, so that most levels are the last.
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * volume // table_bytes + 1)
         spread = records.repartition(buckets, F.xxhash64("h", F.lit(level)))
         probed = materialize(spread.mapInArrow(_probe(table_bytes), PROBED_SCHEMA), f"grace-level{level}")
         done = probed.filter(~F.col("spilled"))
-        resolved = done if resolved is None else resolved.unionByName(done)
+        resolved = resolved.unionByName(done)
         spilled = probed.filter("spilled")
         left, volume = spilled.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
         records = spilled.select("gid", "h", "n", "id", "text") if left else None
@@ -197,7 +248,7 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_groups(docs).decisions()
+    return exact_groups(docs, carry=False).decisions()
 
 
 ORACLE = """
