@@ -4,17 +4,41 @@
 rows that the stage before kept, and returns a DataFrame. ``run`` writes each stage's
 result as Parquet in the shared checkpoint folder and reads it back for the next. All but
 the last return the columns of ``documents``; the last returns the mix.
+
+A stage's result is read from tables that the stage wrote on its way. They are deleted
+when the next stage begins, whose ``docs`` is the written result, so that disk never holds
+the intermediates of two stages.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing
-from keyline.llm.common import materialize, table
+from keyline.llm.common import discard, materialize, recorded, table
+
+
+_leftovers: list[str] = []
+
+
+def _stage(function):
+    """A stage that first deletes what the stage before has left."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _leftovers)
+        with recorded() as folders:
+            out = function(spark, docs, sf_dir)
+        _leftovers.extend(folders)
+        return out
+
+    return run_stage
 
 
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is told with a score of at least ``ACCEPT``; text
     that is null or has no letter goes, and so does text that no language fits best."""
@@ -25,23 +49,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*docs.columns)
 
 
+@_stage
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of documents with equal texts, the one with the largest id."""
+    """Keeps, of documents with equal texts (A-Z lowered), the one with the largest id; null
+    and empty texts are equal, a null id loses to any, and of rows that repeat both id and
+    text one stays. An empty table stays empty."""
     return exact_dedup.exact_groups(docs).survivors()
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each component of near duplicates, the document with the least id."""
+    """Keeps, of each component of near duplicates, the document with the least id; a null
+    id loses to any. Documents without words stay; rows that repeat both id and text are one
+    document and stay together. An empty table stays empty."""
     return jaccard_join.keep_one(docs)
 
 
+@_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that have no window similar to a benchmark item."""
+    """Keeps documents that have no window similar to a benchmark item; null and empty texts
+    stay, null and empty items match nothing. An empty table stays empty."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each remaining document with the words taken from it."""
+    """The mix: each remaining document with the words taken from it; null and empty texts
+    have none, a null source is a source. An empty table stays empty."""
     return mixing.mix_sources(docs)
 
 
@@ -61,4 +95,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, _leftovers)
     return docs
