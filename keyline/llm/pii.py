@@ -1,14 +1,15 @@
 """Personal data by rules and by bootstrapped contexts.
 
-Rules find e-mail addresses, IP addresses, card and phone numbers. These are the seeds of
-a bootstrap. The lexical pattern of a place is the two words to its left (at the
-start of a line those of the line before, at the start of the text those to its right);
-places are the seeds, all other identifier-like words (with a digit) and runs of such
-words a space apart. Spark holds the
-graph of patterns and instances (distinct values) and scores it in rounds: a pattern is
-trusted if it holds enough distinct known identifiers and these are most of its instances;
-an instance becomes known when a trusted pattern holds it. Places that trusted patterns
-hold and no rule found are the discovered identifiers.
+Rules find e-mail addresses, IP addresses, card and phone numbers. These, and strings whose
+shape alone tells an identifier (``SHAPES``), are the seeds of a bootstrap. Places are the
+rules' matches and all candidates: words with a digit, runs of them a space apart, and
+whatever is assigned to a name (``name = "value"``, ``name: value``). The lexical patterns
+of a place are the one, two and three words to its left (line breaks count as words, and
+what is attached to the place before it as one), and the nearest ones on both sides. Spark
+holds the graph of patterns and instances (distinct values) and scores it in rounds: a
+pattern is trusted if it holds enough distinct known identifiers and these are most of its
+instances; an instance becomes known when a trusted pattern holds it. Candidates that a
+trusted pattern holds are the discovered identifiers.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,8 +41,17 @@ NOT_DIGIT = re.compile(r"[^0-9]+")
 IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]++")
 TOKEN = r"(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]++"
 GROUPS = re.compile(rf"(?<![A-Za-z0-9_-]){TOKEN}(?: {TOKEN})++")
-IDENTIFIER_CHARS = (6, 64)
-CONTEXT_CHARS = 80
+ASSIGNED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z_][A-Za-z0-9_-]*+[ \t]*+[:=][ \t]*+[\"']?+([^\s\"',;]++)")
+CANDIDATES = ((IDENTIFIER, 0), (GROUPS, 0), (ASSIGNED, 1))
+# Shapes that tell an identifier by themselves.
+SHAPES = re.compile(
+    r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,}"
+    r"|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+    r"|AKIA[0-9A-Z]{16}|gh[opsu]_[0-9A-Za-z]{36}"
+)
+WORD = re.compile(r"\S+")
+DIGITS = re.compile(r"[0-9]+")
+KEY_CHARS = 64  # a longer word or value is known by its digest
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -81,47 +92,78 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def context(text: str, start: int, end: int) -> str:
-    """The pattern of a place: the two words to its left on its line, digits as 0. Without
-    any, the last two of the text before with a line break, or the next two behind one."""
-    left = text[max(0, start - CONTEXT_CHARS) : start]
-    words = " ".join(left.rpartition("\n")[2].split()[-2:])
-    if not words and (before := left.split()[-2:]):
-        words = " ".join(before) + " \n"
-    elif not words and (after := text[end : end + CONTEXT_CHARS].split()[:2]):
-        words = "\n " + " ".join(after)
-    return re.sub(r"[0-9]+", "0", words.lower())
-
-
-def places(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
-    """``(start, end, pattern, value, known)``: the spans and the other identifiers."""
-    out = [(s, e, context(text, s, e), text[s:e].lower(), True) for s, _, e in spans]
-    for pattern in (IDENTIFIER, GROUPS):
-        out += _candidates(pattern, text, spans)
-    return [p for p in out if p[2]]
+def _key(word: str) -> str:
+    """A word or value of bounded length: itself, or a digest that is longer."""
+    return word if len(word) <= KEY_CHARS else "sha256:" + hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+class _Words:
+    """The words of a text, for the patterns around its places."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.spans = [m.span() for m in WORD.finditer(text)]
+        self.starts = [a for a, _ in self.spans]
+
+    def _key(self, a: int, b: int) -> str:
+        return _key(DIGITS.sub("0", self.text[a:b].lower()))
+
+    def _side(self, at: int, step: int, edge: int, n: int) -> list[str]:
+        """Up to ``n`` words from word ``at`` on, line breaks among them, nearest first."""
+        out: list[str] = []
+        while len(out) < n and 0 <= at < len(self.spans):
+            a, b = self.spans[at]
+            if self.text.find("\n", *((b, edge) if step < 0 else (edge, a))) >= 0:
+                out.append("\n")
+            out.append(self._key(a, b))
+            edge, at = (a if step < 0 else b), at + step
+        return out[:n]
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """The patterns of the place, from one word to both sides; none for a whole text."""
+        first = bisect_right(self.starts, start) - 1
+        last = bisect_right(self.starts, end - 1) - 1
+        a, b = self.spans[first][0], self.spans[last][1]
+        left = ([self._key(a, start)] if a < start else []) + self._side(first - 1, -1, a, 3)
+        right = ([self._key(end, b)] if end < b else []) + self._side(last + 1, 1, b, 2)
+        out = [" ".join(reversed(left[:n])) + " *" for n in range(1, min(3, len(left)) + 1)]
+        if right:
+            out.append(" ".join([*reversed(left[:1]), "*", *right[: 1 if left else 2]]))
+        return out
+
+
+def places(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, list[str], str, bool, bool]]:
+    """``(start, end, patterns, value, known, by rule)``: the rules' spans and the candidates
+    that overlap none."""
+    words = _Words(text)
+    held = {(s, e): True for s, _, e in spans}
+    for pattern, group in CANDIDATES:
+        for place in _candidates(pattern, group, text, spans):
+            held.setdefault(place, False)
+    out = []
+    for (s, e), rule in held.items():
+        value = text[s:e]
+        out.append((s, e, words.patterns(s, e), _key(value.lower()), rule or SHAPES.fullmatch(value) is not None, rule))
+    return out
 
 
-def _candidates(pattern: re.Pattern, text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
+def _candidates(pattern: re.Pattern, group: int, text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
     """Places of ``pattern`` that overlap no span."""
-    out: list[tuple[int, int, str, str, bool]] = []
-    covered, reach = sorted((s, e) for s, _, e in spans), 0
-    at = 0
+    covered, reach, at = sorted((s, e) for s, _, e in spans), 0, 0
     for m in pattern.finditer(text):
-        if not IDENTIFIER_CHARS[0] <= m.end() - m.start() <= IDENTIFIER_CHARS[1]:
-            continue
-        while at < len(covered) and covered[at][0] < m.end():
+        start, end = m.span(group)
+        while at < len(covered) and covered[at][0] < end:
             reach = max(reach, covered[at][1])
             at += 1
-        if reach <= m.start():
-            out.append((m.start(), m.end(), context(text, m.start(), m.end()), m.group().lower(), False))
-    return out
+        if reach <= start:
+            yield start, end
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_PLACE = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("pattern", pa.string()), ("value", pa.string()), ("known", pa.bool_())])
+_PLACE = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("patterns", pa.list_(pa.string())), ("value", pa.string()), ("known", pa.bool_()), ("rule", pa.bool_())])
 FOUND = (
     "row long, doc_id long, base array<struct<start:long,kind:int,end:long>>, "
-    "places array<struct<start:long,end:long,pattern:string,value:string,known:boolean>>, base_sha256 string"
+    "places array<struct<start:long,end:long,patterns:array<string>,value:string,known:boolean,rule:boolean>>, base_sha256 string"
 )
 
 
@@ -132,7 +174,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(1).to_pylist():
             spans = base_spans(text) if text else []
             base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-            around.append([dict(zip(("start", "end", "pattern", "value", "known"), p)) for p in places(text, spans)] if text else [])
+            around.append([dict(zip(("start", "end", "patterns", "value", "known", "rule"), p)) for p in places(text, spans)] if text else [])
             digests.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest())
         n = len(base)
         yield pa.RecordBatch.from_arrays(
@@ -148,15 +190,16 @@ def trusted_patterns(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     The score is the share of known values among all values of the pattern. Only patterns
     that hold ``KNOWN_VALUES`` known ones can be trusted in any round, and what a pattern
     holds only grows, so the rounds go on until nothing changes (or ``rounds`` are done).
+    Joins are by shuffle: neither table has a bound.
     """
     known = edges.filter("known").select("value").distinct()
     trusted = None
     for done in itertools.count(1):
-        marked = edges.join(known.withColumn("is_known", F.lit(True)), "value", "left")
+        marked = edges.join(known.withColumn("is_known", F.lit(True)).hint("merge"), "value", "left")
         scores = marked.groupBy("pattern").agg(F.count("*").alias("n"), F.count("is_known").alias("hits"))
         trusted = scores.filter((F.col("hits") >= KNOWN_VALUES) & (F.col("hits") >= PRECISION * F.col("n")))
         trusted = materialize(trusted.select("pattern", (F.col("hits") / F.col("n")).alias("score")), "pii-patterns")
-        more = edges.join(trusted, "pattern", "left_semi").select("value")
+        more = edges.join(trusted.hint("merge"), "pattern", "left_semi").select("value")
         grown = materialize(known.union(more).distinct(), "pii-known")
         if done == rounds or grown.count() == known.count():
             break
@@ -170,17 +213,20 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     Null text counts as empty and has no spans. Texts of any length are searched whole.
     Rules apply to each row by itself, so repeated rows give the same base spans; a place
-    that is the whole text has no pattern. Null ids stay null. An empty table gives an
+    that is the whole text has no pattern. Of ``id`` spans that lie in one another the
+    longest stays; none overlaps a base span. Null ids stay null. An empty table gives an
     empty result; other columns are ignored.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     found = materialize(docs.mapInArrow(_found, FOUND), "pii-found")
     at = found.filter(F.size("places") > 0).select("row", F.explode("places").alias("place")).select("row", "place.*")
+    at = at.withColumn("pattern", F.explode("patterns")).drop("patterns")
     edges = at.groupBy("pattern", "value").agg(F.max("known").alias("known"))
     trusted = trusted_patterns(materialize(edges, "pii-edges"), rounds)
-    extra = at.filter("not known").join(trusted, "pattern", "left_semi").groupBy("row").agg(
-        F.collect_list(F.struct("start", F.lit(KINDS.index("id")).alias("kind"), "end")).alias("extra")
-    )
+    held = at.filter("not rule").join(trusted.hint("merge"), "pattern", "left_semi").select("row", "start", "end").distinct()
+    extra = held.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(KINDS.index("id")).alias("kind"), "end")).alias("extra"))
+    wider = lambda x, y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (y != x)
+    extra = extra.select("row", F.filter("extra", lambda x: ~F.exists("extra", lambda y: wider(x, y))).alias("extra"))
     spans = F.array_sort(F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.concat("base", "extra")))
     return found.join(extra, "row", "left").select("doc_id", spans.alias("spans"), "base", "base_sha256")
 
