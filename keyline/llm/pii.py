@@ -104,19 +104,32 @@ class _Words:
         self.text = text
         self.spans = [m.span() for m in WORD.finditer(text)]
         self.starts = [a for a, _ in self.spans]
+        self._keys: dict[int, str] = {}
+        self._breaks: dict[int, bool] = {}
 
     def _key(self, a: int, b: int) -> str:
         return _key(DIGITS.sub("0", self.text[a:b].lower()))
 
-    def _side(self, at: int, step: int, edge: int, n: int) -> list[str]:
+    def _word(self, at: int) -> str:
+        if at not in self._keys:
+            self._keys[at] = self._key(*self.spans[at])
+        return self._keys[at]
+
+    def _broken(self, at: int) -> bool:
+        """Whether a line break lies before word ``at``."""
+        if at not in self._breaks:
+            before = self.spans[at - 1][1] if at else 0
+            self._breaks[at] = self.text.find("\n", before, self.spans[at][0]) >= 0
+        return self._breaks[at]
+
+    def _side(self, at: int, step: int, n: int) -> list[str]:
         """Up to ``n`` words from word ``at`` on, line breaks among them, nearest first."""
         out: list[str] = []
         while len(out) < n and 0 <= at < len(self.spans):
-            a, b = self.spans[at]
-            if self.text.find("\n", *((b, edge) if step < 0 else (edge, a))) >= 0:
+            if self._broken(at + 1 if step < 0 else at):
                 out.append("\n")
-            out.append(self._key(a, b))
-            edge, at = (a if step < 0 else b), at + step
+            out.append(self._word(at))
+            at += step
         return out[:n]
 
     def patterns(self, start: int, end: int) -> list[str]:
@@ -124,8 +137,9 @@ class _Words:
         first = bisect_right(self.starts, start) - 1
         last = bisect_right(self.starts, end - 1) - 1
         a, b = self.spans[first][0], self.spans[last][1]
-        left = ([self._key(a, start)] if a < start else []) + self._side(first - 1, -1, a, 3)
-        right = ([self._key(end, b)] if end < b else []) + self._side(last + 1, 1, b, 2)
+        # What is attached to the place, its nearest characters, is a word of its own.
+        left = ([self._key(max(a, start - KEY_CHARS), start)] if a < start else []) + self._side(first - 1, -1, 3)
+        right = ([self._key(end, min(b, end + KEY_CHARS))] if end < b else []) + self._side(last + 1, 1, 2)
         out = [" ".join(reversed(left[:n])) + " *" for n in range(1, min(3, len(left)) + 1)]
         if right:
             out.append(" ".join([*reversed(left[:1]), "*", *right[: 1 if left else 2]]))
