@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pandas as pd
 import public_tokenizers
@@ -122,9 +123,33 @@ def test_toxicity_held_out(spark):
     n1 = int(held.toxic.sum())
     auc = (rank[held.toxic == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(held) - n1))
     assert auc >= 0.75 and held.toxic[held.predicted == 1].mean() >= 0.8
+    assert held.predicted[held.toxic == 1].mean() >= 0.65
     assert (got.predicted == (got.score >= 0.7)).all() and got.score.between(0, 1).all()
 
 
+def test_toxicity_on_enough_labels(spark):
+    """Held-out recall and precision where some hundred toxic rows teach."""
+    sf = "/root/testdata/sf0.1"
+    got = toxicity.op6_toxicity(spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").toPandas()
+    assert got.predicted[got.toxic == 1].mean() >= 0.85 and got.predicted[got.toxic == 0].mean() <= 0.02
+
+
+def test_differences_are_plain_zstandard_s():
+    """Against one compressor a window, built anew."""
+    import zstandard
+
+    model = toxicity.CompressionModel(["plain", "words", "here"], [b" dread", b"scum "])
+    raw = toxicity.windows("plain dreadful words here scum " * 9 + "last dreadnought")
+    lengths = []
+    for content in model._contents:
+        own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        own.precompute_compress(level=toxicity.LEVEL)
+        lengths.append([len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False).compress(w)) for w in raw])
+    assert len(model._contents[0]) == len(model._contents[1])
+    assert model.differences(raw).tolist() == [a - b for a, b in zip(*lengths)] and model.differences(raw).max() > 0
+    assert toxicity.windows(None) == [] and model.features(["", None, "plain words"]).sum() == 0
+
+
 def test_toxicity_of_planted_words(spark):
     """Documents with the words that only toxic training documents have."""
     plain = [(i, prose(100 + i, 60), 0) for i in range(200)]
@@ -202,6 +227,33 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert [s["kind"] for s in found[3]["spans"]] == [0]
 
 
+def test_bootstrap_finds_planted_secrets(spark):
+    """At least 0.9 of planted places of several forms, whatever their length; prose none."""
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("bcdfgaeiou") for _ in range(n))
+    secrets = [r.choice([*["%040x" % r.getrandbits(160)] * 6, word(11), f"{word(4)}{r.randrange(100)}", "k" * 90 + str(r.randrange(10**6))]) for _ in range(120)]
+    forms = ['the token = "%s" is set', "use password: %s and go", "with api_key='%s' then", "login as                                   \n                                                          %s please"]
+    rows, want = [], {}
+    for i, secret in enumerate(secrets + ["%040x" % r.getrandbits(160) for _ in range(40)]):
+        before, after = prose(1000 + i, 12), prose(2000 + i, 9)
+        text = f"{before} {forms[i % 4] % secret} {after}"
+        at = text.index(secret, len(before))
+        rows.append((i, text))
+        want[i] = (at, at + len(secret))
+    rows += [(5000 + i, prose(4000 + i, 40)) for i in range(100)]
+    got = {x["doc_id"]: {(s["start"], s["end"]) for s in x["spans"]} for x in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(place in got[i] for i, place in want.items() if i % 4 < 3) >= 0.9 * sum(i % 4 < 3 for i in want)
+    assert not any(got[5000 + i] for i in range(100))
+
+
+def test_bootstrap_finds_every_token_of_the_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r["spans"] for r in pii.op10_pii(spark, sf).collect()}
+    places = [(i, m.start(1), m.end(1)) for i, t in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)]
+    assert places and all(f"id:{a}:{b}" in got[i].split(",") for i, a, b in places)
+
+
 def test_bootstrap_spreads_over_rounds(spark):
     """A value known from a trusted pattern makes another pattern trusted in the next round."""
     edges = [("a b", f"v{i}", True) for i in range(6)] + [("a b", f"w{i}", False) for i in range(3)]
