@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyline.operators.sort import restore_key_sample
 from keyline.session import reliable_checkpoint
 from keyline.sources.lines import join_small
 
@@ -52,6 +53,7 @@ def with_previous(sorted_df: DataFrame, columns: list[str], prefix: str = "prev_
     partition.
     """
     fixed = reliable_checkpoint(sorted_df)
+    restore_key_sample(sorted_df.sparkSession)
     placed = fixed.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
     previous = [T.StructField(prefix + c, fixed.schema[c].dataType) for c in columns]
     schema = T.StructType([*placed.schema.fields, *previous, T.StructField("_head", T.BooleanType())])

@@ -47,18 +47,40 @@ SAMPLE_SHARE = 8
 SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
-def bound_key_sample(spark, df: DataFrame, column: str, parts: int) -> None:
+_sample_before: dict[int, str] = {}  # the setting before it was lowered, by session
+
+
+def bound_key_sample(spark, df: DataFrame | None, column: str | None, parts: int, mean: float | None = None) -> None:
     """Bound the bytes of sort keys that a range exchange samples to the driver.
 
     Spark samples about 3 x sampleSizePerPartition x partitions whole keys. The setting
-    is lowered (never raised) so that keys of the mean length of ``df.column``, over
-    all its lines (one aggregate), fit in an eighth of ``spark.driver.maxResultSize``. It stays
-    lowered in the session; fewer samples only make partitions less even.
+    is lowered (never raised) so that keys of ``mean`` bytes fit in an eighth of
+    ``spark.driver.maxResultSize``; without ``mean`` it is that of ``df.column``, over all
+    its rows (one aggregate). The setting is read when the exchange runs:
+    :func:`restore_key_sample` puts it back after the job. Fewer samples only make
+    partitions less even.
     """
     limit = conf_bytes(spark, "spark.driver.maxResultSize", 1 << 30) or 1 << 30
-    mean = (df.agg(F.avg(F.octet_length(column))).first()[0] or 0) + 48
-    fit = int(limit / SAMPLE_SHARE / mean / 3 / max(1, parts))
-    spark.conf.set(SAMPLE_SETTING, max(1, min(fit, int(spark.conf.get(SAMPLE_SETTING, "100")))))
+    if mean is None:
+        mean = df.agg(F.avg(F.octet_length(column))).first()[0] or 0
+    fit = max(1, int(limit / SAMPLE_SHARE / (mean + 48) / 3 / max(1, parts)))
+    now = spark.conf.get(SAMPLE_SETTING, "100")
+    if fit < int(now):
+        _sample_before.setdefault(id(spark), now)
+        spark.conf.set(SAMPLE_SETTING, fit)
+
+
+def restore_key_sample(spark) -> None:
+    """Put the setting that :func:`bound_key_sample` lowered back."""
+    if id(spark) in _sample_before:
+        spark.conf.set(SAMPLE_SETTING, _sample_before.pop(id(spark)))
+
+
+def _fixed(sorted_df: DataFrame) -> DataFrame:
+    """``sorted_df`` written to the checkpoint folder; its exchange has then run."""
+    out = reliable_checkpoint(sorted_df)
+    restore_key_sample(sorted_df.sparkSession)
+    return out
 
 
 def _staged(df: DataFrame, number: str, text: str, text_order: str, tiebreak: str | None) -> DataFrame:
@@ -95,6 +117,10 @@ def sort_records(
     right after ``df``, which is the same on a retry only where ``df``'s row order is
     (a scan); over shuffled rows pass a column name holding a stable unique id, or
     ``None`` to switch it off.
+
+    The sample of keys is bounded as :func:`bound_key_sample` says; a job of one's own over
+    the result calls :func:`restore_key_sample` when it is done (:func:`with_positions` and
+    the file jobs do).
     """
     staged = _staged(df, number, text, text_order, tiebreak)
     keys = ["_k", "number"] + (["_u"] if tiebreak is not None else [])
@@ -139,14 +165,14 @@ def sort_shards(
     parts = num_partitions or range_partitions(spark, df)
     bound_key_sample(spark, df, text, parts)
     runs = keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("_u")
-    fixed = reliable_checkpoint(runs)
+    fixed = _fixed(runs)
     shard = F.struct(*shards).alias("_s")  # null shards are equal as parts of a struct
     placed = fixed.select("*", shard, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
     # Shards meet partitions in runs, so this has at most shards + partitions rows.
     met = placed.groupBy("_p", "_s").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
     before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     met = reliable_checkpoint(met.select("_p", "_s", "_i0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    out = join_small(placed, met, ["_p", "_s"])
+    out = join_small(placed, met, ["_p", "_s"], row_bytes=256)
     rank = (F.col("_off") + F.col("_i") - F.col("_i0") + F.lit(1)).alias("rank")
     return out.select(*shards, rank, "number", text_from_key(F.col("_k"), F.col("_t")).alias("text"))
 
@@ -175,11 +201,11 @@ def with_positions(sorted_df: DataFrame) -> DataFrame:
     give ``pos = offset(partition) + index in partition + 1``. No single-partition
     window over the data.
     """
-    fixed = reliable_checkpoint(sorted_df)
+    fixed = _fixed(sorted_df)
     ided = fixed.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
     counts = ided.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", "_i0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = reliable_checkpoint(counts.select("_p", "_i0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")))
     out = join_small(ided, offsets, ["_p"])
     pos = (F.col("_off") + F.col("_i") - F.col("_i0") + F.lit(1)).alias("pos")
     return out.select(pos, *[c for c in fixed.columns])

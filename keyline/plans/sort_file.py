@@ -15,11 +15,12 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from keyline.functions.encoding import resolve_encoding
 from keyline.functions.record import KEYED_LINE, LineFormat
 from keyline.functions.text import text_from_key
 from keyline.operators.filter import all_parsed
-from keyline.operators.sort import bound_key_sample, range_partitions
-from keyline.sources.lines import scan_lines
+from keyline.operators.sort import bound_key_sample, range_partitions, restore_key_sample
+from keyline.sources.lines import Listing, mean_key_bytes, paths_by_charset, scan_lines
 from keyline.sources.sinks import check_not_same, write_lines, write_report
 
 MODES = ("drop", "strict")
@@ -33,7 +34,7 @@ def validate_paths(*paths) -> None:
 
 
 def parsed_scan(
-    spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop", line_format: LineFormat = KEYED_LINE
+    spark: SparkSession, path, encoding: str = "utf-8", mode: str = "drop", line_format: LineFormat = KEYED_LINE, listing: Listing | None = None
 ) -> DataFrame:
     """``value, number, text, parse_error, _m`` for every line of ``path``.
 
@@ -42,7 +43,7 @@ def parsed_scan(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    scan = scan_lines(spark, path, encoding, with_split="id")
+    scan = scan_lines(spark, path, encoding, with_split="id", listing=listing)
     parsed = line_format.parse_frame(scan, keep=["value", "_m"])
     return parsed.where(all_parsed()) if mode == "strict" else parsed
 
@@ -66,15 +67,16 @@ def sorted_records(
     Without one, they are dropped before the exchange.
     """
     fmt = line_format or LineFormat(text_order)
-    parsed = parsed_scan(spark, path, encoding, mode, fmt)
-    parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False))
+    listing = paths_by_charset(spark, path, resolve_encoding(encoding))
+    parsed = parsed_scan(spark, path, encoding, mode, fmt, listing)
+    parts = num_partitions or range_partitions(spark, scan_lines(spark, path, encoding, with_split=False, listing=listing))
     rows = parsed.select(*fmt.columns, "parse_error", "_m")
     if observation is None and mode != "strict":
         rows = rows.filter(F.col("parse_error").isNull())
     keyed = fmt.keyed(rows)
     staged = keyed.select("_k", "number", "_t", F.col("_m").alias("_u"))
     keys = [*fmt.order_by("_k", "number"), "_u"]
-    bound_key_sample(spark, scan_lines(spark, path, encoding, with_split=False), "value", parts)
+    bound_key_sample(spark, None, None, parts, mean_key_bytes(spark, listing))
     ordered = staged.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     if observation is not None:
         ordered = ordered.observe(
@@ -108,8 +110,11 @@ def sort_file(
     fmt = line_format or LineFormat(text_order)
     started = time.time()
     obs = Observation("keyline_sort")
-    recs = sorted_records(spark, input_path, encoding, mode, fmt.text_order, num_partitions, obs, fmt)
-    write_lines(recs, output_path, fmt.format(F.col("number"), F.col("text")), encoding, single_file)
+    try:
+        recs = sorted_records(spark, input_path, encoding, mode, fmt.text_order, num_partitions, obs, fmt)
+        write_lines(recs, output_path, fmt.format(F.col("number"), F.col("text")), encoding, single_file)
+    finally:
+        restore_key_sample(spark)
     metrics = obs.get
     report = {
         "status": "ok",

@@ -8,9 +8,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Row bound under which a small side table (one row per input split, per file or
+# Byte bound under which a small side table (one row per input split, per file or
 # per sorted partition) is broadcast; above it the join falls back to a shuffle.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "keyline") -> SparkSession:

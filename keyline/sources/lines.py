@@ -14,14 +14,16 @@ files are packed into one task.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from functools import reduce
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyline.functions.encoding import WIDE, decode_bytes, resolve_encoding
-from keyline.session import BROADCAST_ROW_LIMIT
+from keyline.session import BROADCAST_BYTES, reliable_checkpoint
 from keyline.sources.wide import open_file, scan_wide
 
 SPLIT_COLS = ["_f", "_b"]
@@ -91,7 +93,7 @@ def list_files(spark: SparkSession, path) -> list[str]:
     return [r.path for r in files.orderBy(*file_order("path")).collect()]
 
 
-def paths_by_charset(spark: SparkSession, path, declared: str) -> list[tuple[str, list[str]]]:
+def paths_by_charset(spark: SparkSession, path, declared: str) -> "Listing":
     """The files of ``path`` by charset: what their byte-order mark says, else ``declared``.
     Only the listing and the first four bytes of each file are read."""
     files = spark.read.format("binaryFile").load(_paths(path)).select("path")
@@ -109,15 +111,63 @@ def paths_by_charset(spark: SparkSession, path, declared: str) -> list[tuple[str
     return list(groups.items())
 
 
-def scan_lines(spark: SparkSession, path, encoding: str = "utf-8", with_split: bool | str = True) -> DataFrame:
+# Windows of the input that the driver reads to judge the length of sort keys.
+KEY_WINDOWS = 64
+KEY_WINDOW_BYTES = 16 << 10
+_CODECS = (".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate")
+
+
+def mean_key_bytes(spark: SparkSession, listing: "Listing") -> float | None:
+    """Bytes of a line as a sample of equally many lines from every split would have
+    them: the mean, over ``KEY_WINDOWS`` windows evenly spread over all bytes, of the mean
+    line length in a window (the whole window where no line ends in it). At most 1 MB is
+    read, by the driver. None where files are compressed, or there are none."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for _, paths in listing:
+        for p in paths:
+            hadoop = jvm.org.apache.hadoop.fs.Path(p)
+            fs = hadoop.getFileSystem(conf)
+            for status in fs.globStatus(hadoop) or []:
+                inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+                files += [(fs, x.getPath(), x.getLen()) for x in inner if x.getLen() and not x.getPath().getName().startswith(("_", "."))]
+    total = sum(n for _, _, n in files)
+    if not total or any(p.getName().endswith(_CODECS) for _, p, _ in files):
+        return None
+    ends = list(accumulate(n for _, _, n in files))
+    means = []
+    for k in range(KEY_WINDOWS):
+        at = total * k // KEY_WINDOWS
+        i = bisect_right(ends, at)
+        fs, path, size = files[i]
+        start = at - (ends[i] - size)
+        stream = fs.open(path)
+        try:
+            stream.seek(start)
+            data = bytes(stream.readNBytes(KEY_WINDOW_BYTES))
+        finally:
+            stream.close()
+        means.append(len(data) / max(1, data.count(b"\n") or data.count(b"\r")))
+    return sum(means) / len(means)
+
+
+Listing = list[tuple[str, list[str]]]  # files, or the paths they came from, by charset
+
+
+def scan_lines(
+    spark: SparkSession, path, encoding: str = "utf-8", with_split: bool | str = True, listing: Listing | None = None
+) -> DataFrame:
     """Read text lines as ``value`` (plus ``_f, _b, _m`` when ``with_split``;
     only ``_m``, a unique scan position, when ``with_split="id"``).
 
     A byte-order mark is dropped and, whatever ``encoding`` says, names its file's
     charset. Invalid UTF-8 becomes U+FFFD, blank lines are kept, and a final line
-    without a break is a line.
+    without a break is a line. ``listing`` is what :func:`paths_by_charset` gave for the
+    path, for jobs that scan it several times.
     """
-    scans = [_scan(spark, p, c, with_split) for c, p in paths_by_charset(spark, path, resolve_encoding(encoding))]
+    listing = listing or paths_by_charset(spark, path, resolve_encoding(encoding))
+    scans = [_scan(spark, p, c, with_split) for c, p in listing]
     return reduce(DataFrame.unionByName, scans)
 
 
@@ -169,17 +219,14 @@ def split_offsets(scan: DataFrame, per_file: bool = False) -> DataFrame:
     return counts.withColumn("_off", F.coalesce(prior, F.lit(0)).cast("bigint"))
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", row_bytes: int = 32) -> DataFrame:
     """Join a per-split (or per-partition) table back to the rows.
 
-    The small side is materialised once (it is tiny and must be identical for
-    every task) and broadcast when its row count is under ``BROADCAST_ROW_LIMIT``;
-    otherwise the join is a regular shuffle join, whose groups are bounded by one
-    split each.
+    ``small`` is a written table (every task must see the same one) whose rows take about
+    ``row_bytes``. It is broadcast up to ``BROADCAST_BYTES``; otherwise the join is a
+    regular shuffle join, whose groups are bounded by one split each.
     """
-    small = small.persist()
-    n = small.count()
-    side = F.broadcast(small) if n <= BROADCAST_ROW_LIMIT else small
+    side = F.broadcast(small) if small.count() * row_bytes <= BROADCAST_BYTES else small
     return big.join(side, on=on, how=how)
 
 
@@ -187,10 +234,18 @@ def number_lines(scan: DataFrame, per_file: bool = False, keep_split: bool = Fal
     """PRJ-4: add ``line_no`` (from 1) in file order without a global window.
 
     ``line_no = offset(split) + (_m - first _m of split) + 1``. Numbers run over all
-    files in path order (a folder reads as one file) unless ``per_file``.
+    files in path order (a folder reads as one file) unless ``per_file``. The table of
+    splits is written once; a split is known in it by a 64-bit hash of its file and
+    block, so a row is three numbers whatever the paths. Should two splits ever share a
+    hash, paths and blocks are joined instead.
     """
-    offsets = split_offsets(scan, per_file)
-    out = join_small(scan, offsets.select(*SPLIT_COLS, "_m0", "_off"), SPLIT_COLS)
+    offsets = reliable_checkpoint(split_offsets(scan, per_file).select(*SPLIT_COLS, "_m0", "_off"))
+    split = F.xxhash64(*SPLIT_COLS).alias("_s")
+    hashed = offsets.select(split, "_m0", "_off")
+    if hashed.select("_s").distinct().count() == offsets.count():
+        out = join_small(scan.select("*", split), hashed, ["_s"]).drop("_s")
+    else:
+        out = scan.join(offsets, SPLIT_COLS)
     out = out.withColumn("line_no", F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1))
     drop = ["_m0", "_off"] + ([] if keep_split else ["_f", "_b", "_m"])
     return out.drop(*drop)

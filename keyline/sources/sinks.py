@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,22 +69,78 @@ def write_lines(
     single_file: bool = False,
     compression: str | None = None,
 ) -> None:
-    """SNK-1 / SNK-2: write one line per row, overwriting ``path``.
+    """SNK-1 / SNK-2: write one line per row, in place of what ``path`` holds.
 
     Rows keep their partition order, so a range-sorted DataFrame yields part files
-    whose name order is the global order. ``single_file`` coalesces to one part
-    (``Sort`` stays below the coalesce, so order is kept) but then one task writes
-    everything: meant for small outputs only.
+    whose name order is the global order. Parts are written beside ``path`` and take its
+    place when all are there: a job that fails leaves the old output whole.
+    ``single_file`` joins the parts, in name order, into one file at that point, byte by byte on
+    the driver's file system client, so no task writes more than its part.
     """
     col = F.col(line) if isinstance(line, str) else line
     value, sep = encoded_line(col, encoding)
-    out = df.select(value.alias("value"))
-    if single_file:
-        out = out.coalesce(1)
-    w = out.write.mode("overwrite").option("lineSep", sep)
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
+    w = df.select(value.alias("value")).write.mode("error").option("lineSep", sep)
     if compression:
         w = w.option("compression", compression)
-    w.text(path)
+    try:
+        w.text(staged)
+        if single_file:
+            _join_parts(spark, staged)
+        _take_place(spark, staged, path)
+    finally:
+        _delete(spark, staged)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop, fs = _hadoop(spark, path)
+    fs.delete(hadoop, True)
+
+
+def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """``staged`` becomes ``path``; what was there goes only after that."""
+    new, fs = _hadoop(spark, staged)
+    target, _ = _hadoop(spark, path)
+    old, _ = _hadoop(spark, f"{staged}.old")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"can't move {path!r} aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"can't put the output at {path!r}")
+    if had:
+        fs.delete(old, True)
+
+
+def _join_parts(spark: SparkSession, folder: str) -> None:
+    """The part files of ``folder`` as one, ``part-00000`` with their suffix."""
+    jvm = spark.sparkContext._jvm
+    base, fs = _hadoop(spark, folder)
+    parts = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("part-")]
+    if len(parts) < 2:
+        return
+    parts.sort(key=lambda p: (int(p.getName().split("-")[1].split(".")[0]), p.getName()))
+    suffix = "." + parts[0].getName().partition(".")[2] if "." in parts[0].getName() else ""
+    whole = jvm.org.apache.hadoop.fs.Path(base, "joined")
+    out = fs.create(whole)
+    try:
+        for p in parts:
+            stream = fs.open(p)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            stream.close()
+    finally:
+        out.close()
+    for p in parts:
+        fs.delete(p, False)
+    fs.rename(whole, jvm.org.apache.hadoop.fs.Path(base, f"part-00000{suffix}"))
 
 
 REPORT_SCHEMA = T.StructType(

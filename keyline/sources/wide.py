@@ -162,6 +162,10 @@ class _Reader(DataSourceReader):
             parts.append(_Part(len(parts), current))
         return parts or [_Part(0, [])]
 
+    def __getstate__(self):
+        """What tasks get: their own splits come with the partition, not the listing."""
+        return self.__dict__ | {"files_json": "[]"}
+
     def read(self, partition):
         u = len(_UNITS[self.charset][2])
         window = max(u, (self.window // u) * u)
