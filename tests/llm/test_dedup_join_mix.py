@@ -294,3 +294,43 @@ def test_archive_round_trip_with_gaps(spark, tmp_dir):
     assert after.filter("gap is null").count() == 6
     gap = after.filter("gap is not null").first()
     assert gap["start"] == 0 and gap["end"] > 100
+
+
+def test_gzip_members_are_read_in_linear_time():
+    """8,000 members; a damaged one is a gap and the next is found."""
+    import gzip
+    import time
+
+    member = lambda i: gzip.compress(_record(b"payload %d " % i * 40), mtime=0)
+    members = [member(i) for i in range(8000)]
+    started = time.process_time()
+    out = list(warc.salvage(warc.EMPTY_MEMBER.join(members)))
+    assert len(out) == 8000 and all(h for _, _, h, _, _ in out) and time.process_time() - started < 4
+    hurt = bytearray(members[1])
+    hurt[len(hurt) // 2] ^= 255
+    kept = list(warc.salvage(members[0] + bytes(hurt) + members[2]))
+    assert [h is None for _, _, h, _, _ in kept] == [False, True, False]
+    assert (kept[1][0], kept[1][1]) == (len(members[0]), len(members[0]) + len(hurt))
+
+
+def test_long_headers_and_many_false_starts():
+    """A header over 64 KiB is a record's; version lines in junk cost no second search."""
+    long = _record(b"block").replace(b"WARC/1.1\r\n", b"WARC/1.1\r\nX-Long: " + b"h" * 100_000 + b"\r\n", 1)
+    assert [b for _, _, h, b, _ in warc.salvage(long) if h] == [b"block"]
+    junk = b"WARC/1.1\r\njunk\n" * 100_000
+    out = list(warc.salvage(junk + long))
+    assert [h is None for _, _, h, _, _ in out] == [True, False]
+
+
+@pytest.mark.parametrize("compress", [False, True])
+def test_archives_keep_urls_and_size_classes(spark, tmp_dir, compress):
+    rows = [(i, f"http://host/{i}", "x" * n) for i, n in enumerate([10, 10, 2000, 2000, 70_000, 1_200_000, 1_300_000])] + [(None, None, "y"), (None, "http://n", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_warc(warc.with_revisits(pages), f"{tmp_dir}/w", compress=compress)
+    got = warc.read_warc(spark, f"{tmp_dir}/w").collect()
+    assert all(r.gap is None for r in got) and len({r.record_id for r in got}) == len(rows)
+    assert sorted(r.uri for r in got) == sorted(u or "urn:none" for _, u, _ in rows)
+    assert sorted(r.payload_bytes for r in got) == sorted(len(h or "") for _, _, h in rows)
+    import os
+
+    assert sorted(os.listdir(f"{tmp_dir}/w")) == ["size-0", "size-1", "size-2"]
