@@ -24,6 +24,12 @@ most ``REGION_SHINGLES`` is one task. A larger one is dealt into blocks, and as
 pivots as fit in half a task are replicated to every block; they are then decided against
 the whole region and leave it, and what is left is a region of the next round.
 
+*Links.* All links lie within components. A component's classes are compared with one
+another, each pair once, from posting lists of whole sets; one of more than
+``REGION_SHINGLES`` is dealt into blocks, and every two blocks meet in a task. A task gives
+each class the number of documents that it links with there, never the pairs, so a group
+of thousands of near copies yields thousands of rows.
+
 Every link is decided by the exact sizes of intersection and union of whole sets
 (of 64-bit shingle hashes; class ids are 64-bit hashes of whole sets too).
 """
@@ -308,31 +314,107 @@ def _class_components(sets: DataFrame, cells: DataFrame) -> DataFrame:
         members = materialize(placed.filter(~small & ~F.col("query")).select("cls", "n", "region"), "jaccard-regions")
 
 
-def _joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows as (doc_id, hash of the text, n, cls), and the components of classes that link."""
+def link_counts(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, across: bool) -> np.ndarray:
+    """For each set the total ``weight`` of the others that it links with: of the other
+    ``side`` (0 or 1) if ``across``, else of all.
+
+    Intersections are counted from posting lists; tokens that at least an eighth of the
+    sets have are columns of a dense product instead, which has at most eight times as
+    many cells as the sets have tokens.
+    """
+    n = np.array([len(x) for x in sets])
+    out = np.zeros(len(sets), np.int64)
+    rows, others = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if across else (np.arange(len(sets)),) * 2
+    if not len(rows) or not len(others):
+        return out
+    token = np.concatenate([sets[i] for i in others])
+    holder = np.repeat(np.arange(len(others), dtype=np.int32), n[others])
+    order = np.argsort(token, kind="stable")
+    token, holder = token[order], holder[order]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    df = np.diff(first, append=len(token))
+    key = token[first]
+    dense = np.where(df >= max(16, len(others) / 8), np.cumsum(df >= max(16, len(others) / 8)) - 1, -1)
+    width = int(dense.max()) + 1
+    table = np.zeros((len(others), width), np.float32)
+    of_entry = np.repeat(dense, df)
+    table[holder[of_entry >= 0], of_entry[of_entry >= 0]] = 1
+    for a in range(0, len(rows), 256):
+        part = rows[a : a + 256]
+        own = np.zeros((len(part), width), np.float32)
+        shared = np.zeros((len(part), len(others)), np.int64)
+        for k, i in enumerate(part):
+            at = np.minimum(np.searchsorted(key, sets[i]), len(key) - 1)
+            at = at[key[at] == sets[i]]
+            own[k, dense[at][dense[at] >= 0]] = 1
+            at = at[dense[at] < 0]
+            size = df[at]
+            places = np.repeat(first[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            shared[k] = np.bincount(holder[places], minlength=len(others))
+        if width:
+            shared += np.rint(own @ table.T).astype(np.int64)
+        linked = 100 * shared >= 75 * (n[part][:, None] + n[others][None, :] - shared)
+        if across:
+            out[others] += linked.T @ weight[part]
+        else:
+            linked[np.arange(len(part)), part] = False
+        out[part] += linked @ weight[others]
+    return out
+
+
+def _counted(group: pa.Table) -> pa.Table:
+    group = group.combine_chunks()
+    tokens = group.column("tokens").combine_chunks()
+    offsets, values = tokens.offsets.to_numpy(), tokens.values.to_numpy()
+    sets = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    own, low, high = (group.column(c).to_numpy() for c in ("own", "low", "high"))
+    links = link_counts(sets, group.column("copies").to_numpy(), (own != low).astype(np.int8), bool(low[0] != high[0]))
+    return pa.table({"cls": group.column("cls"), "links": pa.array(links, pa.int64())})
+
+
+def _class_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cls, links``: documents of other classes that a document of the class links with."""
+    copies = members.filter("n > 0").groupBy("cls").agg(F.count("*").alias("copies"))
+    known = labels.join(copies, "cls").join(sets.select("cls", "n").dropDuplicates(["cls"]), "cls")
+    blocks = known.groupBy("component").agg(F.ceil(F.sum("n") / (REGION_SHINGLES // 2)).cast("int").alias("blocks"))
+    dealt = known.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = dealt.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cls", "copies")
+    units = units.join(sets.select("cls", "tokens").dropDuplicates(["cls"]), "cls")
+    counted = units.groupBy("component", "low", "high").applyInArrow(_counted, "cls long, links long")
+    return materialize(counted.groupBy("cls").agg(F.sum("links").alias("links")), "jaccard-link-counts")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows as (doc_id, hash of the text, n, cls), the components of classes that link, and
+    whole sets of those among them."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
     members = materialize(hashed.mapInArrow(_members, "doc_id long, hash long, n long, cls long"), "jaccard-members")
-    return members, _class_components(*_candidates(docs, members))
+    sets, cells = _candidates(docs, members)
+    return members, _class_components(sets, cells), sets
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` (and ``class_id``) for every row of ``docs``.
+    """``doc_id, n_shingles, component_id`` (and ``class_id``, ``n_links``) for every row of ``docs``.
 
     A text's set is its distinct 5-word shingles over ``[^\\x20\\x09-\\x0D]+`` words with
     A-Z lower-cased; with fewer words, all of them are one shingle. Null text and text
     without words have an empty set: 0 shingles, linked with nothing, ``component_id`` the
     row's own id. Texts of any length are taken whole. Rows with equal sets link whatever
     their ids, repeated rows too. Null ids are left out of a component's least id; it is
-    null if all are. An empty table gives an empty result; other columns are ignored.
+    null if all are. ``n_links`` is the number of other rows that the row links with, its
+    equals among them. An empty table gives an empty result; other columns are ignored.
     """
-    members, labels = _joined(docs, id_col, text_col)
-    classes = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
+    members, labels, sets = _joined(docs, id_col, text_col)
+    classes = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+    classes = classes.join(_class_links(members, labels, sets), "cls", "left")
+    classes = classes.withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
     classes = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = classes.join(least, "component").select("cls", "class_id", "component_id")
-    linked = members.filter("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
-    alone = members.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+    named = classes.join(least, "component").select("cls", "class_id", "component_id", "n_links")
+    linked = members.filter("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", "n_links")
+    alone = members.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone)
 
 
@@ -345,7 +427,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     duplicates and stay. An empty table stays empty. Rows are told by id and text hash;
     the table of those that go is broadcast if small enough, else joined by a shuffle.
     """
-    members, labels = _joined(docs, id_col, text_col)
+    members, labels, _ = _joined(docs, id_col, text_col)
     rows = members.filter("n > 0").join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     rows = rows.select("component", "doc_id", "hash", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls", "hash").alias("place"))
     best = rows.groupBy("component").agg(F.min("place").alias("best"), F.count("*").alias("n")).filter("n > 1")
