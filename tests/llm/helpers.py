@@ -80,6 +80,13 @@ def jaccard_components(rows: list[tuple]) -> list[tuple]:
     return [(doc_id, len(sets[i]), least[find(i)]) for i, (doc_id, _) in enumerate(rows)]
 
 
+def jaccard_links(rows: list[tuple]) -> list[tuple]:
+    """(id, number of other rows that the row links with), every pair compared."""
+    sets = [shingle_set(t) for _, t in rows]
+    link = lambda a, b: bool(a) and 100 * len(a & b) >= 75 * len(a | b)
+    return [(doc_id, sum(link(sets[i], s) for j, s in enumerate(sets) if j != i)) for i, (doc_id, _) in enumerate(rows)]
+
+
 def plain_pii(text: str | None) -> list[tuple[int, str, int]]:
     """(start, kind, end) by the rules as they are written, with plain patterns."""
     text = text or ""

@@ -4,7 +4,7 @@ import gzip
 import random
 
 import pytest
-from helpers import jaccard_components, odd_rows, prose, shingle_set
+from helpers import jaccard_components, jaccard_links, odd_rows, prose, shingle_set
 from pyspark.sql import functions as F
 
 from keyline.llm import decontamination, exact_dedup, jaccard_join, license_scan, mixing, warc
@@ -47,9 +47,10 @@ def test_components(spark):
 
 
 def test_jaccard_odd_rows(spark, odd, result):
-    got = jaccard_join.op2_jaccard_join(spark, odd).select("doc_id", "n_shingles", "component_id")
-    want = jaccard_components([(r[0], r[1]) for r in odd_rows()])
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    got = jaccard_join.op2_jaccard_join(spark, odd).collect()
+    plain = [(r[0], r[1]) for r in odd_rows()]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == sorted(jaccard_components(plain), key=repr)
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=repr) == sorted(jaccard_links(plain), key=repr)
 
 
 def _near_rows(seed: int) -> list[tuple]:
@@ -76,8 +77,9 @@ def test_jaccard_against_brute_force(spark, monkeypatch, seed, limit):
     monkeypatch.setattr(jaccard_join, "REGION_SHINGLES", limit)
     rows = _near_rows(seed)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, cls string").repartition(4)
-    got = jaccard_join.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
-    assert sorted(map(tuple, got.collect())) == sorted(jaccard_components(rows))
+    got = jaccard_join.jaccard_components(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(jaccard_components(rows))
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted(jaccard_links(rows))
 
 
 def test_keep_one_of_each_component(spark, odd):
