@@ -36,8 +36,9 @@ from keyline.llm.common import MAX_BROADCAST_BYTES, as_bytes, checked_broadcast,
 
 # Bytes of distinct text that one bucket's table may hold.
 TABLE_BYTES = 64 << 20
-# Bits of the bitmap of repeated hashes, as a power of two: 32 MB, at most 4 million words.
-MARK_BITS = 28
+# Bits of the bitmap of repeated hashes, as a power of two: 4 MB, at most 524,288 words.
+# Where very many hashes repeat, more records are marked by chance and compared.
+MARK_BITS = 25
 LOST_BYTES = 16  # of one record's number, in a broadcast
 
 
@@ -53,8 +54,8 @@ def _content_hash(text: bytes) -> int:
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The content hashes of an Arrow batch, with the number of its rows that have them."""
     for batch in batches:
-        counts = Counter((raw or b"").lower() for raw in as_bytes(batch.column(0)))
-        yield pa.RecordBatch.from_arrays([pa.array([_content_hash(t) for t in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["h", "n"])
+        counts = Counter(_content_hash((raw or b"").lower()) for raw in as_bytes(batch.column(0)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["h", "n"])
 
 
 def repeated_hashes(docs: DataFrame, text_col: str) -> np.ndarray:
