@@ -14,6 +14,7 @@ import pytest
 import sentencepiece
 import tokenizers
 from helpers import DOCS, LOWER, odd_rows, prose, split_words
+from pyspark.sql import functions as F
 
 from keyline.llm import alignment, bloom_lm, whitening
 
@@ -41,11 +42,11 @@ def vectors(seed, n, d, scale=1.0):
     return (r.normal(size=(n, d)) @ r.normal(size=(d, d)) * scale).tolist()
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e6, 1e15])
+@pytest.mark.parametrize("scale", [1.0, 1e6, 1e12])
 def test_whitening_is_numpy_s(spark, scale):
     rows = [(i, v) for i, v in enumerate(vectors(3, 60, 5, scale))]
     rows += [(100, rows[0][1]), (100, rows[0][1]), (None, rows[1][1]), (101, None), (102, [1.0, None, 1.0, 1.0, 1.0]), (103, [math.nan] * 5), (104, [math.inf] * 5), (105, []), (106, [1.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("whitened", pytest.importorskip("pyspark.sql.functions").lit("x"))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("whitened", F.lit("x"))
     got, model, error = whitening.whiten(df)
     n, _, deviations, off, cov = plain_whitening([r for r in rows if r[1] is None or len(r[1]) == 5])
     assert model.n == n and got.columns == ["vec_id", "whitened", "deviation", "_whitened"]
@@ -55,7 +56,8 @@ def test_whitening_is_numpy_s(spark, scale):
     assert model.values == pytest.approx(e[::-1][:4], rel=1e-9)
     assert model.explained == pytest.approx(e[::-1][:4] / e.sum(), rel=1e-9)
     want = np.abs(off @ v[:, ::-1][:, :4] / np.sqrt(e[::-1][:4]))
-    assert sorted(np.abs(r["_whitened"]).round(6).tolist() for r in out) == pytest.approx(sorted(want.round(6).tolist()), abs=2e-6)
+    mine = np.abs([r["_whitened"] for r in out])
+    assert np.allclose(mine[np.lexsort(mine.T)], want[np.lexsort(want.T)], rtol=1e-6, atol=1e-6)
     assert error < 1e-9
 
 
@@ -236,12 +238,12 @@ class ExactModel:
             w = self.padded(t)
             for k in range(order):
                 self.count.update(tuple(w[i - k : i + 1]) for i in range(order, len(w)))
-                self.count[("<s>",) * (k + 1)] += 1
-        own = [(g, c) for g, c in self.count.items() if len(g) == 1 and g != ("<s>",)]
+                self.count[("\n<s>",) * (k + 1)] += 1
+        own = [(g, c) for g, c in self.count.items() if len(g) == 1 and g != ("\n<s>",)]
         self.tokens, self.distinct = sum(c for _, c in own), len(own)
 
     def padded(self, text):
-        return ["<s>"] * self.order + split_words((text or "").translate(LOWER)) + ["</s>"]
+        return ["\n<s>"] * self.order + split_words((text or "").translate(LOWER)) + ["\n</s>"]
 
     def base(self, text):
         w = self.padded(text)[self.order :]
