@@ -3,6 +3,8 @@ the shared checkpoint folder, size-checked broadcasts, Arrow batch access, folds
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -54,6 +56,17 @@ def discard(spark: SparkSession, folders: list[str]) -> None:
     folders.clear()
 
 
+def release_memory() -> None:
+    """Gives memory that the driver's Python no longer uses back to the system: collected
+    tables and models that have been broadcast."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts lineage,
     fixes any task-dependent value, survives the loss of an executor."""
