@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyline.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing
-from keyline.llm.common import discard, materialize, recorded, table
-
+from keyline.llm.common import discard, materialize, recorded, release_memory, table
 
 _leftovers: list[str] = []
 
@@ -33,6 +32,7 @@ def _stage(function):
         with recorded() as folders:
             out = function(spark, docs, sf_dir)
         _leftovers.extend(folders)
+        release_memory()
         return out
 
     return run_stage
